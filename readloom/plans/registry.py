@@ -26,4 +26,6 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     from readloom.plans import (  # noqa: F401
         graph_queries,
+        interval_queries,
+        read_queries,
     )
