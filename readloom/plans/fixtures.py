@@ -50,6 +50,30 @@ SELECT CAST(o_custkey % 24 + 1 AS INT) AS chrom_num,
  CAST(o_custkey % 60 AS INT) AS qual FROM {orders} WHERE o_orderkey % 3 <> 0""",
     "f_messages": """
 SELECT ts, user_id, event_type AS text, value >= 10 AS is_retweet FROM {events}""",
+    "f_tagged": """
+SELECT ts, user_id, concat('seen ', event_type, ' #', event_type, ' by #k', user_id % 20, ' a#b') AS text FROM {events}""",
+    "f_ids": """
+SELECT DISTINCT qname, flag, ref_idx, pos, mapq, cigar, mate_ref_idx, pnext, tlen, seq, qual, rg,
+ md5(concat_ws('|', qname, flag, ref_idx, pos, mapq, cigar, mate_ref_idx, pnext, tlen, seq, qual, rg)) AS read_id FROM {f_reads}""",
+    "f_refbases": """
+SELECT ref_idx, tile, repeat(concat(substr('ACGTTGCAAC', 1 + (7 + ref_idx) % 10, 1), substr('ACGTTGCAAC', 1 + (14 + ref_idx) % 10, 1),
+  substr('ACGTTGCAAC', 1 + (21 + ref_idx) % 10, 1), substr('ACGTTGCAAC', 1 + (28 + ref_idx) % 10, 1), substr('ACGTTGCAAC', 1 + (35 + ref_idx) % 10, 1),
+  substr('ACGTTGCAAC', 1 + (42 + ref_idx) % 10, 1), substr('ACGTTGCAAC', 1 + (49 + ref_idx) % 10, 1), substr('ACGTTGCAAC', 1 + (56 + ref_idx) % 10, 1),
+  substr('ACGTTGCAAC', 1 + (63 + ref_idx) % 10, 1), substr('ACGTTGCAAC', 1 + (70 + ref_idx) % 10, 1)), 100) AS bases
+FROM (SELECT ref_idx, CAST(floor((pos - 1) / 1000) AS INT) AS tile FROM {f_reads} WHERE ref_idx >= 0
+ UNION SELECT ref_idx, CAST(floor((pos + 38) / 1000) AS INT) FROM {f_reads} WHERE ref_idx >= 0) t""",
+    "f_damaged": """
+SELECT qname, CAST(CASE m WHEN 0 THEN flag | 2 WHEN 1 THEN flag | 8 WHEN 2 THEN flag | 32 WHEN 3 THEN flag | 64 WHEN 4 THEN flag | 128
+  WHEN 5 THEN flag & ~192 WHEN 9 THEN flag | 4 WHEN 10 THEN flag | 260 ELSE flag END AS INT) AS flag,
+ CASE m WHEN 13 THEN -1 WHEN 14 THEN 77 ELSE ref_idx END AS ref_idx, CASE m WHEN 15 THEN 0 WHEN 16 THEN 2000000 ELSE pos END AS pos,
+ CASE m WHEN 11 THEN 300 ELSE mapq END AS mapq,
+ CASE m WHEN 12 THEN '*' WHEN 20 THEN '5H10M' WHEN 21 THEN '3S2H10M' WHEN 22 THEN '2I3I' WHEN 23 THEN '2I5M2I' WHEN 24 THEN '2P10M'
+  WHEN 25 THEN '10M2P' WHEN 26 THEN '5S5H' WHEN 27 THEN '10M5S3H' WHEN 28 THEN '3H5S10M' WHEN 29 THEN '10M5S2M' WHEN 30 THEN '4M2P3S'
+  WHEN 31 THEN '2I3S2I5M' WHEN 32 THEN '1D2I1D' WHEN 33 THEN '5M3H2M' WHEN 34 THEN '10P' ELSE cigar END AS cigar,
+ CASE m WHEN 6 THEN 3 WHEN 7 THEN -1 ELSE mate_ref_idx END AS mate_ref_idx, pnext, CASE m WHEN 8 THEN 600000000 ELSE tlen END AS tlen,
+ CASE m WHEN 18 THEN '*' ELSE seq END AS seq, CASE m WHEN 18 THEN '*' WHEN 19 THEN substr(qual, 1, 20) ELSE qual END AS qual,
+ CASE m WHEN 17 THEN 'ZZ' ELSE rg END AS rg
+FROM (SELECT *, (pos + mapq * 7 + length(qname)) % 40 AS m FROM {f_reads}) d""",
 }
 
 
@@ -59,13 +83,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = FIXTURES[name]
-    used = {t: table(spark, sf_dir, t) for t in set(re.findall(r"{(\w+)}", text))}
+    used = {t: (fixture if t in FIXTURES else table)(spark, sf_dir, t) for t in set(_names(text))}
     return spark.sql(text, **used)
 
 
+def _names(text: str) -> list[str]:
+    return re.findall(r"{(\w+)}", text)
+
+
+def _with_parents(name: str) -> list[str]:
+    parents = [p for p in _names(FIXTURES[name]) if p in FIXTURES]
+    return [n for p in parents for n in _with_parents(p)] + [name]
+
+
 def with_fixtures(sql: str) -> str:
     """Prefix ``sql`` with the fixtures it names, as plain CTEs over the bare table names."""
-    wanted = [n for n in FIXTURES if re.search(rf"\b{n}\b", sql)]
+    wanted = list(dict.fromkeys(p for n in FIXTURES if re.search(rf"\b{n}\b", sql) for p in _with_parents(n)))
     if not wanted:
         return sql.strip()
     ctes = ",\n".join(f"{n} AS ({re.sub(r'{(\w+)}', r'\1', FIXTURES[n]).strip()})" for n in wanted)

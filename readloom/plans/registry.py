@@ -25,7 +25,9 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     from readloom.plans import (  # noqa: F401
+        base_queries,
         graph_queries,
         interval_queries,
         read_queries,
+        variant_queries,
     )
