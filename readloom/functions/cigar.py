@@ -65,7 +65,7 @@ def deleted_bases(cigar) -> Column:
 
 
 def maps_no_base(cigar) -> Column:
-    return ~F.contains(F.translate(_col(cigar), F.lit("=X"), F.lit("MM")), F.lit("M"))
+    return ~_col(cigar).rlike("[M=X]")
 
 
 def alignment_end(pos="pos", cigar="cigar", flag="flag") -> Column:

@@ -33,7 +33,8 @@ def _placed(df: DataFrame, order: list) -> tuple[DataFrame, DataFrame]:
     return placed.withColumn("_local", local), offsets
 
 
-def _numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+def number_rows(df: DataFrame, order: list, name: str) -> DataFrame:
+    """Adds the position of every row in the given order, and ``_total``, the number of rows."""
     rows, offsets = _placed(df, order)
     return (rows.join(F.broadcast(offsets), "_part")
             .withColumn(name, F.col("_start") + F.col("_local"))
@@ -42,10 +43,10 @@ def _numbered(df: DataFrame, order: list, name: str) -> DataFrame:
 
 def ordinal(df: DataFrame, order: list, name: str = "ord") -> DataFrame:
     """Contiguous 0-based position of every row in the given order."""
-    return _numbered(df, order, name).drop("_total")
+    return number_rows(df, order, name).drop("_total")
 
 
-def bucket_of(position: Column, total: Column, n: int) -> Column:
+def bucket_of(position: Column, total: Column, n: int | Column) -> Column:
     """Bucket of a position when ``total`` rows are cut into n runs, the first total % n one longer."""
     short = F.floor(total / F.lit(n))
     long_runs = total % n
@@ -56,7 +57,7 @@ def bucket_of(position: Column, total: Column, n: int) -> Column:
 
 def balance_load(df: DataFrame, n: int, order: list, name: str = "bucket") -> DataFrame:
     """Contiguous buckets 0..n-1 in the given order whose sizes differ by at most one."""
-    rows = _numbered(df, order, "_ord")
+    rows = number_rows(df, order, "_ord")
     return rows.withColumn(name, bucket_of(F.col("_ord"), F.col("_total"), n)).drop("_ord", "_total")
 
 

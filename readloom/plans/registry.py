@@ -26,8 +26,10 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     from readloom.plans import (  # noqa: F401
         base_queries,
+        file_queries,
         graph_queries,
         interval_queries,
         read_queries,
+        trend_queries,
         variant_queries,
     )
