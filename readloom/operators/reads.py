@@ -13,6 +13,7 @@ from readloom.functions import bases as B
 from readloom.functions import cigar as C
 from readloom.functions import flags as FL
 from readloom.operators.skew import HOT_ROWS, MAX_HOT_KEYS, copy_rows, lookup_join, slice_rows
+from readloom.session import cut_lineage
 
 FLAG_COLUMNS = {
     "is_paired": FL.PAIRED, "is_proper": FL.PROPER, "is_unmapped": FL.UNMAPPED, "is_mate_unmapped": FL.MATE_UNMAPPED,
@@ -227,11 +228,13 @@ def mark_duplicates(reads: DataFrame, min_qual: int = 15) -> DataFrame:
         "_mrev": F.coalesce(FL.pair_only(FL.MATE_REVERSE), F.lit(False)),
     })
     score = F.struct((-B.quality_sum("qual", min_qual)).alias("neg"), F.col("qname").alias("name"))
-    best = (keyed.filter(F.col("_lib").isNotNull()).groupBy(*keys)
+    best = (keyed.filter(eligible).groupBy(*keys)
             .agg(F.min(score).alias("_best"), F.count(F.lit(1)).alias("_n")))
-    hot = (best.filter(F.col("_n") > HOT_ROWS).orderBy(F.desc("_n"), *keys).limit(MAX_HOT_KEYS)
+    # a read alone at its key needs no look-up, which leaves a small table
+    contested = cut_lineage(best.filter(F.col("_n") > 1).select(*keys, F.col("_best.name").alias("_winner"), "_n"))
+    hot = (contested.filter(F.col("_n") > HOT_ROWS).orderBy(F.desc("_n"), *keys).limit(MAX_HOT_KEYS)
            .select(*keys, F.ceil(F.col("_n") / F.lit(HOT_ROWS)).cast("int").alias("_fan")))
-    winners = copy_rows(best.select(*keys, F.col("_best.name").alias("_winner")), hot, keys)
+    winners = copy_rows(contested.drop("_n"), hot, keys)
     joined = slice_rows(keyed, hot, keys).join(winners, [*keys, "_slot"], "left")
     return joined.select(*reads.columns, F.coalesce(F.col("qname") != F.col("_winner"), F.lit(False)).alias("is_dup"))
 

@@ -7,6 +7,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from readloom.session import scratch_dir
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -53,8 +55,8 @@ SELECT ts, user_id, event_type AS text, value >= 10 AS is_retweet FROM {events}"
     "f_tagged": """
 SELECT ts, user_id, concat('seen ', event_type, ' #', event_type, ' by #k', user_id % 20, ' a#b') AS text FROM {events}""",
     "f_ids": """
-SELECT DISTINCT qname, flag, ref_idx, pos, mapq, cigar, mate_ref_idx, pnext, tlen, seq, qual, rg,
- md5(concat_ws('|', qname, flag, ref_idx, pos, mapq, cigar, mate_ref_idx, pnext, tlen, seq, qual, rg)) AS read_id FROM {f_reads}""",
+SELECT *, md5(concat_ws('|', qname, flag, ref_idx, pos, mapq, cigar, mate_ref_idx, pnext, tlen, seq, qual, rg)) AS read_id
+FROM (SELECT DISTINCT qname, flag, ref_idx, pos, mapq, cigar, mate_ref_idx, pnext, tlen, seq, qual, rg FROM {f_reads}) d""",
     "f_refbases": """
 SELECT ref_idx, tile, repeat(concat(substr('ACGTTGCAAC', 1 + (7 + ref_idx) % 10, 1), substr('ACGTTGCAAC', 1 + (14 + ref_idx) % 10, 1),
   substr('ACGTTGCAAC', 1 + (21 + ref_idx) % 10, 1), substr('ACGTTGCAAC', 1 + (28 + ref_idx) % 10, 1), substr('ACGTTGCAAC', 1 + (35 + ref_idx) % 10, 1),
@@ -81,7 +83,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+# Read-like inputs are written once per session as parquet, as a pipeline would keep them.
+STORED = {"f_costar", "f_reads", "f_ids", "f_refbases", "f_damaged"}
+_stored_paths: dict[tuple[str, str, str], str] = {}
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if name not in STORED:
+        return _select(spark, sf_dir, name)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    if key not in _stored_paths:
+        path = scratch_dir(spark, name)
+        _select(spark, sf_dir, name).write.parquet(path)
+        _stored_paths[key] = path
+    return spark.read.parquet(_stored_paths[key])
+
+
+def _select(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = FIXTURES[name]
     used = {t: (fixture if t in FIXTURES else table)(spark, sf_dir, t) for t in set(_names(text))}
     return spark.sql(text, **used)
