@@ -13,7 +13,7 @@ from readloom.operators.skew import HOT_ROWS, copy_rows, hot_keys, slice_rows, s
 from readloom.session import cut_lineage, fixed_layout
 
 SEED_NAME = "Bacon, Kevin (I)"
-MAX_CAST = 1024     # larger casts stay factored as hub rows
+MAX_CAST = 128      # larger casts stay factored as hub rows
 PAGE = 1 << 16      # neighbours per adjacency row
 
 # Labels of the report.
@@ -129,9 +129,10 @@ class _Side:
     def __init__(self, edges: DataFrame, key: str, other: str, hot_rows: int):
         self.key, self.other, self.on = key, other, [key]
         rows = edges.select(key, other)
-        hot = cut_lineage(hot_keys(edges, [key], hot_rows))
-        self.hot = None if hot.isEmpty() else hot
-        if self.hot is not None:
+        self.hot = None
+        heaviest = edges.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+        if heaviest is not None and heaviest > hot_rows:
+            self.hot = cut_lineage(hot_keys(edges, [key], hot_rows))
             self.on = [key, "_slot"]
             rows = slice_rows(rows, self.hot, [key])
         self.rows = cut_lineage(rows.repartition(*self.on).sortWithinPartitions(*self.on))

@@ -12,12 +12,15 @@ RUN = 1 << 18   # rows per window when a neighbour row is needed
 _LOCAL_BITS = 33  # monotonically_increasing_id() keeps the partition above this bit
 
 
-def _placed(df: DataFrame, order: list) -> tuple[DataFrame, DataFrame]:
+def _placed(df: DataFrame, order: list, stored: bool) -> tuple[DataFrame, DataFrame]:
     """Sorted and checkpointed rows with (_part, _local), and (_part, _start, _total) per partition.
 
     The input position is the last sort key, so even a third of all rows being equal splits
-    over several range partitions. The offsets table has one row per partition.
+    over several range partitions. A scan of files gives every row the same position when a lost task runs
+    again, shuffled rows may not: unless ``stored`` says the input is such a scan, it is checkpointed first.
+    The offsets table has one row per partition.
     """
+    df = df if stored else cut_lineage(df)
     placed = (
         df.withColumn("_tie", F.monotonically_increasing_id())
         .orderBy(*order, "_tie").drop("_tie")
@@ -33,17 +36,17 @@ def _placed(df: DataFrame, order: list) -> tuple[DataFrame, DataFrame]:
     return placed.withColumn("_local", local), offsets
 
 
-def number_rows(df: DataFrame, order: list, name: str) -> DataFrame:
+def number_rows(df: DataFrame, order: list, name: str, stored: bool = False) -> DataFrame:
     """Adds the position of every row in the given order, and ``_total``, the number of rows."""
-    rows, offsets = _placed(df, order)
+    rows, offsets = _placed(df, order, stored)
     return (rows.join(F.broadcast(offsets), "_part")
             .withColumn(name, F.col("_start") + F.col("_local"))
             .drop("_part", "_at", "_local", "_start"))
 
 
-def ordinal(df: DataFrame, order: list, name: str = "ord") -> DataFrame:
-    """Contiguous 0-based position of every row in the given order."""
-    return number_rows(df, order, name).drop("_total")
+def ordinal(df: DataFrame, order: list, name: str = "ord", stored: bool = False) -> DataFrame:
+    """Contiguous 0-based position of every row in the given order; ``stored``: see ``_placed``."""
+    return number_rows(df, order, name, stored).drop("_total")
 
 
 def bucket_of(position: Column, total: Column, n: int | Column) -> Column:
@@ -55,9 +58,9 @@ def bucket_of(position: Column, total: Column, n: int | Column) -> Column:
     return F.when(position < long_runs * (short + 1), in_long).otherwise(in_short).cast("int")
 
 
-def balance_load(df: DataFrame, n: int, order: list, name: str = "bucket") -> DataFrame:
+def balance_load(df: DataFrame, n: int, order: list, name: str = "bucket", stored: bool = False) -> DataFrame:
     """Contiguous buckets 0..n-1 in the given order whose sizes differ by at most one."""
-    rows = number_rows(df, order, "_ord")
+    rows = number_rows(df, order, "_ord", stored)
     return rows.withColumn(name, bucket_of(F.col("_ord"), F.col("_total"), n)).drop("_ord", "_total")
 
 

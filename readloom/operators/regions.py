@@ -17,13 +17,13 @@ def map_chunks(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd
 
 
 def apply_regions(df: DataFrame, order: list, fn: Callable[[pd.DataFrame], pd.DataFrame], schema,
-                  max_rows: int = 1 << 20) -> DataFrame:
+                  max_rows: int = 1 << 20, stored: bool = False) -> DataFrame:
     """Run ``fn`` on contiguous regions of at most ``max_rows`` rows in the given order.
 
     Regions have equal counts, whatever the keys, so no group outgrows a task. ``fn`` gets the rows with
     their ``bucket`` and ``_row`` number, sorted.
     """
-    rows = number_rows(df, order, "_row")
+    rows = number_rows(df, order, "_row", stored)
     regions = F.greatest(F.ceil(F.col("_total") / F.lit(max_rows)), F.lit(1))
     bucketed = rows.withColumn("bucket", bucket_of(F.col("_row"), F.col("_total"), regions)).drop("_total")
 

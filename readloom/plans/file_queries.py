@@ -109,7 +109,7 @@ def zip_by_position(spark, sf_dir):
 @query("sr7_fastq_order", f"""
 WITH {PAIRS_SQL} SELECT row_number() OVER (ORDER BY rec_id, source, line_no) - 1 AS ord, value FROM fl""")
 def fastq_order(spark, sf_dir):
-    return O.ordinal(zipped(spark, sf_dir), ["rec_id", "source", "line_no"]).select("ord", "value")
+    return O.ordinal(zipped(spark, sf_dir), ["rec_id", "source", "line_no"], stored=True).select("ord", "value")
 
 
 @query("io10_write_chunks", f"""
@@ -264,7 +264,7 @@ def header_dates(spark, sf_dir):
 SELECT row_number() OVER (ORDER BY {COORD}) - 1 AS ord, upper(qname) AS qname, flag, pos FROM f_reads""")
 def export_uppercase_names(spark, sf_dir):
     path = scratch_dir(spark, "upper")
-    placed = O.ordinal(named_reads(spark, sf_dir), R.coordinate_order())
+    placed = O.ordinal(named_reads(spark, sf_dir), R.coordinate_order(), stored=True)
     no_header = spark.createDataFrame([], "ord long, value string")
     S.write_sam(R.export_uppercase_names(placed), no_header, path, "unsorted", presorted_by="ord")
     lines = T.positioned_lines(spark, path)
@@ -376,4 +376,4 @@ def apply_regions(spark, sf_dir):
                              "first_pos": [int(region.pos.iloc[0])], "last_pos": [int(region.pos.iloc[-1])]})
 
     return RG.apply_regions(main_reads(spark, sf_dir), R.region_order(), summarise,
-                            "bucket int, n long, first_pos int, last_pos int", max_rows=4000)
+                            "bucket int, n long, first_pos int, last_pos int", max_rows=4000, stored=True)

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from readloom.operators import graph as G
 from readloom.plans.fixtures import fixture
 from readloom.plans.registry import query
+from readloom.session import cut_lineage
 
 SEED_SQL = "SELECT actor FROM f_costar GROUP BY actor ORDER BY count(*) DESC, actor LIMIT 1"
 
-# Pair rows for casts of at most 1024, hub rows for larger ones.
-EDGES_SQL = """cast_size AS (SELECT title, count(*) AS n FROM f_costar GROUP BY title),
+# Pair rows for casts up to the bound, hub rows for larger ones.
+EDGES_SQL = f"""cast_size AS (SELECT title, count(*) AS n FROM f_costar GROUP BY title),
 edges AS (
  SELECT DISTINCT a.actor AS src, b.actor AS dst, CAST(NULL AS BIGINT) AS hub FROM f_costar a
- JOIN f_costar b ON a.title = b.title JOIN cast_size c ON c.title = a.title WHERE a.actor <> b.actor AND c.n <= 1024
- UNION ALL SELECT a.actor, CAST(NULL AS BIGINT), a.title FROM f_costar a JOIN cast_size c ON c.title = a.title WHERE c.n > 1024)"""
+ JOIN f_costar b ON a.title = b.title JOIN cast_size c ON c.title = a.title WHERE a.actor <> b.actor AND c.n <= {G.MAX_CAST}
+ UNION ALL SELECT a.actor, CAST(NULL AS BIGINT), a.title FROM f_costar a JOIN cast_size c ON c.title = a.title WHERE c.n > {G.MAX_CAST})"""
 
 WALK_SQL = f"""seed AS ({SEED_SQL}),
 walk AS (
@@ -71,7 +72,7 @@ SELECT DISTINCT e.dst AS id, 1 AS dist FROM seed s JOIN edges e ON e.src = s.act
 UNION SELECT h.src, 1 FROM seed s JOIN edges e ON e.src = s.actor JOIN edges h ON h.hub = e.hub""")
 def expand_frontier(spark, sf_dir):
     bip = bipartite(spark, sf_dir)
-    return G.expand_frontier(G.seed_distance(_vertices(bip), top_actor(bip)), G.costar_edges(bip))
+    return G.expand_frontier(G.seed_distance(_vertices(bip), top_actor(bip)), cut_lineage(G.costar_edges(bip)))
 
 
 @query("jn3_relax", f"""
@@ -83,7 +84,7 @@ FROM (SELECT DISTINCT actor AS id FROM f_costar) v LEFT JOIN cand c ON c.id = v.
 def relax(spark, sf_dir):
     bip = bipartite(spark, sf_dir)
     start = G.seed_distance(_vertices(bip), top_actor(bip))
-    return G.relax(start, G.expand_frontier(start, G.costar_edges(bip)))
+    return G.relax(start, G.expand_frontier(start, cut_lineage(G.costar_edges(bip))))
 
 
 @query("ag1_min_by_key", "SELECT actor, min(title) AS title FROM f_costar GROUP BY actor")

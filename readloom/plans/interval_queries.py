@@ -67,7 +67,7 @@ f AS (SELECT bucket, count(*) AS n, min(ref_idx::BIGINT * 1000000000 + pos) AS l
 SELECT bucket, n, CAST(lo // 1000000000 AS INT) AS first_ref, CAST(lo % 1000000000 AS INT) AS first_pos,
  CAST(hi // 1000000000 AS INT) AS last_ref, CAST(hi % 1000000000 AS INT) AS last_pos FROM f""")
 def region_groups(spark, sf_dir):
-    return I.region_groups(main_reads(spark, sf_dir), 7, R.region_order())
+    return I.region_groups(main_reads(spark, sf_dir), 7, R.region_order(), stored=True)
 
 
 @query("ag11_reference_stats", """

@@ -111,13 +111,13 @@ def _ranked(order: str, where: str = "true") -> str:
 @query("wn1_balance_load", f"""
 SELECT {CORE_SQL}, CAST(ntile(7) OVER (ORDER BY {REGION}) - 1 AS INT) AS bucket FROM f_reads WHERE {MAPPED}""")
 def balance_load(spark, sf_dir):
-    rows = O.balance_load(R.mapped_main_chroms(reads(spark, sf_dir)), 7, R.region_order())
+    rows = O.balance_load(R.mapped_main_chroms(reads(spark, sf_dir)), 7, R.region_order(), stored=True)
     return rows.select(*CORE, "bucket")
 
 
 @query("wn2_ordinal", _ranked(REGION))
 def ordinal(spark, sf_dir):
-    return O.ordinal(reads(spark, sf_dir), R.region_order()).select("ord", *CORE)
+    return O.ordinal(reads(spark, sf_dir), R.region_order(), stored=True).select("ord", *CORE)
 
 
 NAME_FILE = "qname, flag, ref_idx, pos, cigar, mapq, seq, qual"
@@ -131,19 +131,19 @@ SELECT ord, CASE WHEN pun THEN '*' ELSE concat(pref, ':', ppos) END AS prev_key,
  CASE WHEN un THEN '*' ELSE concat(ref_idx, ':', pos) END AS key FROM l
 WHERE (pun AND NOT un) OR (NOT pun AND NOT un AND (pref > ref_idx OR (pref = ref_idx AND ppos > pos)))""")
 def sort_violations(spark, sf_dir):
-    return O.sort_violations(O.ordinal(reads(spark, sf_dir), NAME_FILE.split(", ")), "coordinate", run=1 << 12)
+    return O.sort_violations(O.ordinal(reads(spark, sf_dir), NAME_FILE.split(", "), stored=True), "coordinate", run=1 << 12)
 
 
 @query("sr3_coordinate_sort", _ranked(COORD))
 def coordinate_sort(spark, sf_dir):
-    return O.ordinal(reads(spark, sf_dir), R.coordinate_order()).select("ord", *CORE)
+    return O.ordinal(reads(spark, sf_dir), R.coordinate_order(), stored=True).select("ord", *CORE)
 
 
 @query("sr4_queryname_sort", f"""
 SELECT qname, min(row_number) - 1 AS first_ord, max(row_number) - 1 AS last_ord, sum(CASE WHEN flag & 64 <> 0 THEN row_number - 1 END)::BIGINT AS first_end_ords
 FROM (SELECT qname, flag, row_number() OVER (ORDER BY {NAME}) AS row_number FROM f_reads) GROUP BY qname""")
 def queryname_sort(spark, sf_dir):
-    rows = O.ordinal(reads(spark, sf_dir), R.queryname_order())
+    rows = O.ordinal(reads(spark, sf_dir), R.queryname_order(), stored=True)
     return rows.groupBy("qname").agg(
         F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"),
         F.sum(F.when(FL.has(FL.FIRST), F.col("ord"))).alias("first_end_ords"))
@@ -151,7 +151,7 @@ def queryname_sort(spark, sf_dir):
 
 @query("sr5_region_sort", _ranked(REGION, MAPPED))
 def region_sort(spark, sf_dir):
-    return O.ordinal(R.mapped_main_chroms(reads(spark, sf_dir)), R.region_order()).select("ord", *CORE)
+    return O.ordinal(R.mapped_main_chroms(reads(spark, sf_dir)), R.region_order(), stored=True).select("ord", *CORE)
 
 
 @query("jn5_query_overlapping", f"""

@@ -53,7 +53,7 @@ SELECT row_number() OVER (ORDER BY chrom_num, pos, line) - 1 AS ord, chrom_num,
 def variant_sort(spark, sf_dir):
     a = calls(spark, sf_dir)[0]
     line = F.concat(F.lit("chr"), "chrom_num", F.lit(":"), "pos", "ref", F.lit(">"), "alt")
-    return ordinal(a.select("chrom_num", "pos", line.alias("line")), V.variant_order()).select("ord", "chrom_num", "pos", "line")
+    return ordinal(a.select("chrom_num", "pos", line.alias("line")), V.variant_order(), stored=True).select("ord", "chrom_num", "pos", "line")
 
 
 @query("sr6_variant_sort_distinct", """

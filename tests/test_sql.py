@@ -16,7 +16,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_sql(spark, con, name):
-    assert compare(spark, con, name, SF) is None
+    assert compare(spark, con, name, SF, may_be_empty=True) is None
 
 
 def test_every_query_has_sql():
