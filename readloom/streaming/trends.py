@@ -96,10 +96,12 @@ def topk_stream(counts: DataFrame, k: int = 5, key: str = "text") -> DataFrame:
 def stream_topk_sink(counts: DataFrame, k: int, path: str, checkpoint: str, key: str = "text") -> StreamingQuery:
     """Per trigger: the k most frequent keys of the latest window that changed, as parquet under batch_id=..."""
     def top(batch: DataFrame, batch_id: int) -> None:
-        latest = batch.groupBy("win_start", "win_end", key).agg(F.max("cnt").alias("cnt"))
-        newest = latest.agg(F.max("win_start").alias("win_start"))
-        topk_per_window(latest.join(F.broadcast(newest), "win_start"), k, key).write.mode("overwrite").parquet(
-            f"{path}/batch_id={batch_id}")
+        # one pass over the batch: reading it twice would run the stateful query twice
+        saved = batch.persist()
+        newest = saved.agg(F.max("win_start").alias("win_start"))
+        topk_per_window(saved.join(F.broadcast(newest), "win_start"), k, key).drop("win_end").write.mode(
+            "overwrite").parquet(f"{path}/batch_id={batch_id}")
+        saved.unpersist()
 
     return (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).foreachBatch(top).start())
