@@ -151,7 +151,7 @@ def separation(bip: DataFrame, seed, max_dist: int = 6, hot_rows: int = HOT_ROWS
     new layer only has to drop what the layer before last held. Each layer is checkpointed.
     """
     edges = cut_lineage(bip.select("actor", "title").distinct())
-    with fixed_layout(bip.sparkSession):
+    with fixed_layout(bip.sparkSession, edges.count()):
         by_actor = _Side(edges, "actor", "title", hot_rows)
         by_title = _Side(edges, "title", "actor", hot_rows)
         vertices = by_actor.rows.select(F.col("actor").alias("id")).distinct()

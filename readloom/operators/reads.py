@@ -179,7 +179,9 @@ def mate_join(reads: DataFrame) -> DataFrame:
     paired = FL.has(FL.PAIRED)
     side = lambda skip, name: (
         F.count_if(paired & ~FL.has(skip)).alias(f"_n{name}"),
-        F.min(F.when(paired & ~FL.has(skip), F.struct("pos", "flag"))).alias(f"_m{name}"))
+        # used where there is one candidate only, so each minimum is its value
+        F.min(F.when(paired & ~FL.has(skip), F.col("pos"))).alias(f"_pos{name}"),
+        F.min(F.when(paired & ~FL.has(skip), F.col("flag"))).alias(f"_flag{name}"))
     found = (
         reads.groupBy("qname", F.col("ref_idx").alias("_ref"), spot("ref_idx", "pos").alias("_pos"))
         .agg(F.count_if(~paired).alias("_unpaired"), *side(FL.FIRST, 1), *side(FL.SECOND, 2))
@@ -190,12 +192,12 @@ def mate_join(reads: DataFrame) -> DataFrame:
     joined = seekers.join(found, ["qname", "_ref", "_pos"], "left")
     # a first end skips first ends, anything else skips second ends
     n = F.coalesce(F.when(F.col("_first"), F.col("_n1")).otherwise(F.col("_n2")), F.lit(0))
-    mate = F.when(n == 1, F.when(F.col("_first"), F.col("_m1")).otherwise(F.col("_m2")))
+    mate = lambda c: F.when(n == 1, F.when(F.col("_first"), F.col(f"_{c}1")).otherwise(F.col(f"_{c}2")))
     error = (F.when(F.col("_first") == F.col("_second"), F.lit("NOT_ONE_END"))
              .when(F.col("_unpaired") > 0, F.lit("PAIRED_AND_UNPAIRED"))
              .when(n > 1, F.lit("MULTIPLE_MATES")))
-    return joined.select("qname", F.when(F.col("_first"), 1).otherwise(2).alias("end"), mate["pos"].alias("mate_pos"),
-                         mate["flag"].alias("mate_flag"), n.alias("n_mates"), error.alias("error"))
+    return joined.select("qname", F.when(F.col("_first"), 1).otherwise(2).alias("end"), mate("pos").alias("mate_pos"),
+                         mate("flag").alias("mate_flag"), n.alias("n_mates"), error.alias("error"))
 
 
 def attach_read_group(reads: DataFrame, rgs: DataFrame) -> DataFrame:

@@ -96,7 +96,7 @@ def min_by_key(spark, sf_dir):
 WITH {EDGES_SQL}
 SELECT src, 0 AS page, array_to_string(list_sort(list(DISTINCT dst)), ',') AS nbrs FROM edges WHERE hub IS NULL GROUP BY src""")
 def adjacency(spark, sf_dir):
-    pairs = G.costar_edges(bipartite(spark, sf_dir)).filter("hub IS NULL")
+    pairs = cut_lineage(G.costar_edges(bipartite(spark, sf_dir)).filter("hub IS NULL"))
     return G.adjacency(pairs).withColumn("nbrs", F.array_join(F.col("nbrs").cast("array<string>"), ","))
 
 

@@ -53,15 +53,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 @contextlib.contextmanager
-def fixed_layout(spark: SparkSession):
+def fixed_layout(spark: SparkSession, rows: int, rows_per_task: int = 1 << 18):
     """Run with static plans, so that checkpoints remember how their rows are partitioned.
 
     An adaptive plan does not know its final partitioning in advance, and a checkpoint taken from
     it is shuffled again by every later join. Loops that join one table many times lay it out here.
+    As nothing coalesces small partitions then, a table of few ``rows`` gets fewer than the session's.
     """
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+    before = {key: spark.conf.get(key) for key in keys}
+    wanted = max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_task))
+    spark.conf.set(keys[0], "false")
+    spark.conf.set(keys[1], str(min(int(before[keys[1]]), wanted)))
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
