@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from readloom.operators.skew import HOT_ROWS, copy_rows, hot_keys, slice_rows, sliced_join, union_all
 from readloom.session import cut_lineage, fixed_layout
 
-SEED_NAME = "Bacon, Kevin (I)"
+SEED_NAME = "Bacon, Kevin (I)"  # where the walk starts unless told otherwise
 MAX_CAST = 128      # larger casts stay factored as hub rows
 PAGE = 1 << 16      # neighbours per adjacency row
 
@@ -101,7 +101,7 @@ def min_by_key(df: DataFrame, key: str, value: str) -> DataFrame:
 def expand_frontier(dist: DataFrame, edges: DataFrame) -> DataFrame:
     """One step: (neighbour, smallest dist + 1) over pair rows and hub rows alike.
 
-    Through a hub a vertex may meet itself, one step farther; ``relax`` drops that.
+    ``edges`` is read several times, so store or checkpoint it. Through a hub a vertex may meet itself, one step farther; ``relax`` drops that.
     """
     known = dist.filter(F.col("dist").isNotNull())
     step = (F.col("dist") + 1).cast("int").alias("dist")
@@ -144,7 +144,7 @@ class _Side:
         return start.join(self.rows, self.on).select(F.col(self.other).alias("id")).distinct()
 
 
-def separation(bip: DataFrame, seed, max_dist: int = 6, hot_rows: int = HOT_ROWS) -> DataFrame:
+def separation(bip: DataFrame, seed=SEED_NAME, max_dist: int = 6, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(id, dist) for every actor; dist null if not within ``max_dist`` steps of ``seed``.
 
     Breadth-first over the bipartite graph. A neighbour of layer h lies in layer h-1 or h+1, so a
@@ -188,7 +188,7 @@ def names_at_distance(dist: DataFrame, d: int = 6) -> DataFrame:
     return dist.filter(F.col("dist") == d).select("id").orderBy("id")
 
 
-def separation_report(bip: DataFrame, seed, max_dist: int = 6, records: DataFrame | None = None) -> DataFrame:
+def separation_report(bip: DataFrame, seed=SEED_NAME, max_dist: int = 6, records: DataFrame | None = None) -> DataFrame:
     """(ord, label, value): totals, the histogram, then the names at ``max_dist``.
 
     Names share the last ord; order the report by (ord, value). ``records`` are the raw input

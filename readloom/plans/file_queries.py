@@ -11,11 +11,11 @@ from readloom.operators import intervals as I
 from readloom.operators import ordering as O
 from readloom.operators import reads as R
 from readloom.operators import regions as RG
-from readloom.operators.skew import lookup_join, union_all
+from readloom.operators.skew import lookup_join
 from readloom.plans.fixtures import fixture, table
 from readloom.plans.graph_queries import WALK_SQL, bipartite, top_actor
 from readloom.plans.interval_queries import SPANS, islands, main_reads
-from readloom.plans.read_queries import COORD, MAPPED, NAME_FILE, REGION, reads
+from readloom.plans.read_queries import COORD, MAPPED, REGION, reads
 from readloom.plans.registry import query
 from readloom.session import scratch_dir
 from readloom.sources import sam as S

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from readloom.functions import cigar as C
 from readloom.operators import intervals as I
 from readloom.operators import reads as R
 from readloom.plans.fixtures import fixture
