@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import exact_dedup
+from readloom.llm import bpe, exact_dedup
 from readloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,8 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
   sha256(norm) AS text_sha256 FROM d WINDOW g AS (PARTITION BY norm)""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_byte_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
