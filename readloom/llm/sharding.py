@@ -41,7 +41,7 @@ def longest_walk(spark, rows: int, seed: int = SEED) -> int:
     """How many more passes a point beyond the last row can need; points that never come back are never reached."""
     a, b = _grid(rows)
     beyond, steps = a * b - rows, 0
-    points = spark.range(rows, a * b).withColumn("__go", F.lit(True))
+    points = spark.range(rows, a * b).withColumn("__go", F.col("id") >= 0)
     while beyond:
         points = _permute_once(points, "id", rows, seed).filter(F.col("id") >= rows)
         steps, before, beyond = steps + 1, beyond, points.count()
