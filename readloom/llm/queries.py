@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import bpe, decontam, exact_dedup, sharding, simhash
-from readloom.llm.common import table
+from readloom.llm import bpe, decontam, exact_dedup, langid, sharding, simhash
+from readloom.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +64,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_simhash")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold_of("doc_id", 3) == 1
+    model = langid.train(docs.filter(~held_out))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
