@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import bpe, decontam, exact_dedup, langid, sharding, simhash
+from readloom.llm import bpe, decontam, exact_dedup, langid, sharding, simhash, toxicity
 from readloom.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold_of("doc_id", 3) == 1
     model = langid.train(docs.filter(~held_out))
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = table(spark, sf_dir, "documents"), fold_of("doc_id", 5)
+    labels = table(spark, sf_dir, "labels").filter(fold != 0)
+    model = toxicity.train(docs, labels, calibration=fold == 1)
+    return toxicity.score(docs, model).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
