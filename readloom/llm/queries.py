@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import bpe, decontam, exact_dedup, langid, sharding, simhash, toxicity
+from readloom.llm import bpe, decontam, exact_dedup, langid, sharding, simhash, suffix_dedup, toxicity
 from readloom.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter(fold != 0)
     model = toxicity.train(docs, labels, calibration=fold == 1)
     return toxicity.score(docs, model).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.strip_repeats(table(spark, sf_dir, "documents")).drop("kept")
