@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import bpe, decontam, exact_dedup, langid, sharding, simhash, suffix_dedup, toxicity
+from readloom.llm import bpe, decontam, exact_dedup, langid, pii, sharding, simhash, suffix_dedup, toxicity
 from readloom.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_suffix_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.strip_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op7_pii")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
