@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from readloom.llm import bpe, decontam, exact_dedup, langid, pii, sharding, simhash, suffix_dedup, toxicity
+from readloom.llm import bpe, decontam, exact_dedup, html, langid, pii, sharding, simhash, suffix_dedup, toxicity
 from readloom.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_pii")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+@query("op3_html_extraction")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html.main_text(pages, html.train(pages))
