@@ -333,22 +333,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
     _contexts(texts, bitmap, length).write.parquet(path)
     placed = spark.read.parquet(path)
     members = placed.select("ctx", "digest", "at").distinct()
-    contexts = placed.filter("bytes is not null").groupBy("ctx").agg(F.first("anchor").alias("anchor"), F.first("bytes").alias("bytes"))
     many = (placed.groupBy("ctx").agg(F.min(F.xxhash64("digest", "at")).alias("p"), F.max(F.xxhash64("digest", "at")).alias("q"))
             .filter("p <> q").select("ctx"))
-
-    stored = scratch_dir(spark, "distinct-contexts")
-    contexts.write.parquet(stored)
-    contexts = spark.read.parquet(stored)
-    total = contexts.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    given = placed.filter("bytes is not null").select("ctx", "anchor", "bytes")
+    sizes = cut_lineage(given.select("ctx", "anchor", F.octet_length("bytes").cast("long").alias("size")).distinct())
+    total = sizes.agg(F.sum("size")).first()[0] or 0
     shards = max(spark.sparkContext.defaultParallelism, -(-total // SHARD_BYTES))
-    hot = cut_lineage(hot_keys(contexts, ["anchor"], HOT_CONTEXTS))
-    marked = contexts.join(F.broadcast(hot), "anchor", "left")
-    found = (marked.filter("_fan is null").select("ctx", "anchor", "bytes", F.pmod("anchor", F.lit(shards)).alias("shard"))
-             .groupBy("shard").applyInPandas(_shard(length), f"ctx binary, spans {_SPAN_TYPE}"))
-    found = found.unionByName(_windows_of_hot(marked.filter("_fan is not null"), length))
-    whole = contexts.join(many, "ctx").select("ctx", F.array(F.struct(
-        F.lit(0).cast("long").alias("a"), F.octet_length("bytes").cast("long").alias("b"))).alias("spans"))
+    hot = cut_lineage(hot_keys(sizes, ["anchor"], HOT_CONTEXTS))
+    marked = given.join(F.broadcast(hot), "anchor", "left")
+    # Contexts that several tasks gave meet again in their shard, so that their bytes are shuffled once only.
+    dealt = (marked.filter("_fan is null").withColumn("shard", F.pmod("anchor", F.lit(shards))).repartition(shards, "shard")
+             .groupBy("shard", "ctx").agg(F.first("anchor").alias("anchor"), F.first("bytes").alias("bytes")))
+    found = dealt.groupBy("shard").applyInPandas(_shard(length), f"ctx binary, spans {_SPAN_TYPE}")
+    leavers = marked.filter("_fan is not null").groupBy("ctx").agg(F.first("bytes").alias("bytes"))
+    found = found.unionByName(_windows_of_hot(leavers, length))
+    whole = sizes.join(many, "ctx").select("ctx", F.array(F.struct(
+        F.lit(0).cast("long").alias("a"), F.col("size").alias("b"))).alias("spans"))
     ctx_spans = cut_lineage(found.unionByName(whole).groupBy("ctx").agg(F.flatten(F.collect_list("spans")).alias("spans")))
     placed_spans = sliced_join(members, ctx_spans, ["ctx"], "inner", HOT_ROWS)
     moved = F.transform("spans", lambda s: F.struct((s["a"] + F.col("at")).alias("a"), (s["b"] + F.col("at")).alias("b")))
