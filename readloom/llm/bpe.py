@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import gc
 import re
+from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import chain
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_VOCABULARY = 64 << 20  # bytes of a vocabulary file that is sent to the executors
-KEPT_PIECES = 1 << 19      # pieces after which a worker starts to remember afresh
+KEPT_PIECES = 1 << 20      # pieces after which a worker starts to remember afresh
 STEP_BYTES = 4 << 20       # text whose new pieces are merged together
 KEPT_LENGTH = 64           # longer pieces are merged each time
 
@@ -115,6 +116,7 @@ class Encoder:
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines()) if a}
         self.size = max(self.ranks.values(), default=-1) + 1
         self.cut = regex.compile(pattern).findall
+        self.by_blanks = pattern == public_tokenizers.PATTERN  # another pattern may have pieces with inner blanks
         self.known: dict[str, bytes] = {}
         pairs = {}
         for part, rank in self.ranks.items():
@@ -229,6 +231,8 @@ class Encoder:
 
     def chunks(self, text: str) -> list[str]:
         """Cuts before each blank that stands between two other characters, where no piece can reach across."""
+        if not self.by_blanks:
+            return [text]
         if "\0" in text or _WIDE.search(text):
             return [x if i == 0 else " " + x for i, x in enumerate(_BETWEEN.split(text))]
         return text.replace(" ", "\0 ").split("\0")
@@ -238,6 +242,13 @@ class Encoder:
         cut = [self.chunks(text) for text in texts]
         if len(self.known) > KEPT_PIECES:
             self.known = {}
+        gc.disable()  # nothing here is cyclic, and walking the pieces kept takes long
+        try:
+            return self._encode(cut)
+        finally:
+            gc.enable()
+
+    def _encode(self, cut: list[list[str]]) -> list[bytes]:
         known, ids, ranks = self.known, {}, self.ranks
         pieces = {x: self.cut(x) for x in set(chain.from_iterable(cut)).difference(known)}
         new = []
@@ -259,6 +270,12 @@ class Encoder:
         return [b"".join(map(known.__getitem__, own)) for own in cut]
 
 
+@lru_cache(maxsize=2)
+def _encoder(vocabulary: bytes, pattern: str) -> Encoder:
+    """One for all tasks of a worker, with the pieces it has seen."""
+    return Encoder(vocabulary, pattern)
+
+
 def read_vocabulary(path: str) -> bytes:
     with open(path, "rb") as file:
         content = file.read(MAX_VOCABULARY + 1)
@@ -282,8 +299,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     vocabulary = _vocabulary(docs.sparkSession, path)
 
     def run(batches):
-        gc.disable()  # nothing here is cyclic, and walking the pieces kept takes long
-        encoder = Encoder(vocabulary.value, pattern)
+        encoder = _encoder(vocabulary.value, pattern)
         for batch in batches:
             sizes = pc.binary_length(batch.column(1)).to_numpy()
             step = np.cumsum(sizes) // STEP_BYTES  # texts are taken about so many bytes at a time
@@ -300,12 +316,13 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
-def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None) -> DataFrame:
+def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None,
+           pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """doc_id, ids and the decoded bytes per row. Null ids are read as none; an id that the vocabulary lacks is an error."""
     vocabulary = _vocabulary(encoded.sparkSession, path)
 
     def run(batches):
-        token = {rank: part for part, rank in Encoder(vocabulary.value, "").ranks.items()}
+        token = {rank: part for part, rank in _encoder(vocabulary.value, pattern).ranks.items()}
         for batch in batches:
             ids = batch.column(1)
             offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy()

@@ -40,21 +40,32 @@ def sieve(keys: DataFrame, name: str) -> DataFrame:
             .groupBy("__word").agg(F.bit_or("__bits").alias("__bits")))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def sieved(rows: DataFrame, bitmap: DataFrame, name: str, flag: str = "__hit") -> DataFrame:
     """Marks the rows whose key may be in the sieve. The broadcast is bounded by the sieve's fixed size."""
-    hit = F.coalesce(F.col("__bits").bitwiseAND(_shift(_bit(F.col(name)))) != 0, F.lit(False))
-    return (rows.withColumn("__word", _word(F.col(name))).join(F.broadcast(bitmap), "__word", "left")
-            .withColumn(flag, hit).drop("__word", "__bits"))
+    word, bits = fresh(rows, "__sieve_word"), fresh(rows, "__sieve_bits")
+    hit = F.coalesce(F.col(bits).bitwiseAND(_shift(_bit(F.col(name)))) != 0, F.lit(False))
+    bitmap = bitmap.select(F.col("__word").alias(word), F.col("__bits").alias(bits))
+    return (rows.withColumn(word, _word(F.col(name))).join(F.broadcast(bitmap), word, "left")
+            .withColumn(flag, hit).drop(word, bits))
 
 
 def without_ids(docs: DataFrame, dropped: DataFrame, name: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose id is in ``dropped``; texts that the sieve lets pass are never shuffled.
 
     The sieve only decides which rows take the exact anti join, so the result does not depend on its
-    size. Rows with a null id stay.
+    size. Rows with a null id stay; columns of any name pass through.
     """
-    ids = dropped.select(F.col(name).alias("__id")).distinct()
-    marked = sieved(docs, sieve(ids, "__id"), name)
-    suspects = marked.filter("__hit").drop("__hit")
-    return (marked.filter(~F.col("__hit")).drop("__hit")
-            .unionByName(suspects.join(ids, F.col(name) == F.col("__id"), "left_anti")))
+    flag, own = fresh(docs, "__hit"), fresh(docs, "__id")
+    ids = dropped.select(F.col(name).alias(own)).distinct()
+    marked = sieved(docs, sieve(ids, own), name, flag)
+    suspects = marked.filter(flag).drop(flag)
+    return (marked.filter(~F.col(flag)).drop(flag)
+            .unionByName(suspects.join(ids, F.col(name) == F.col(own), "left_anti")))
