@@ -2,7 +2,7 @@
 
 Every block element is a variable, content or not. Its potential comes from what can be seen of it (name, hints in
 class, id and role, length, share of linked text, punctuation); parent and child are tied by another potential.
-Messages pass from the leaves up and from the root down (sum-product), which gives every block's marginal.
+The page itself counts as content. Messages pass from the leaves up and from the root down (sum-product), which gives every block's marginal.
 Blocks of text whose element is more likely content than not make up the text, in page order.
 
 Potentials are counts from labelled pages: layouts labelled by hand below, and a bounded sample of the corpus whose
@@ -204,6 +204,7 @@ class Model:
         odds = self.odds
         parents = [place[id(node.parent)] if node.parent is not None else -1 for node in nodes]
         own = [sum([odds.get(f, 0.0) for f in features(node)]) for node in nodes]
+        own[0] = 1e9  # the page as a whole holds the article
         up = [0.0] * len(nodes)  # log ratio of the message to the parent
         belief = own[:]
         for k in range(len(nodes) - 1, 0, -1):  # children come after their parents
@@ -231,21 +232,24 @@ def extract(page: str, model: Model) -> str:
 _ROLE = {"article": 1, "main": 1, "nav": 0, "footer": 0, "aside": 0, "form": 0, "header": 0, "menu": 0, "dialog": 0}
 
 
-def _labels(nodes: list[Node]) -> None:
-    """Labels of elements from their role or hint, handed down; elements without one stay out, unless they hold content."""
+def _labels(nodes: list[Node], by_hand: bool) -> None:
+    """Labels of elements from their role or hint, handed down; elements without one stay out, unless they hold content.
+
+    A hint for content is trusted in the layouts only.
+    """
     for node in nodes:
         over = node.parent.label if node.parent is not None else None
-        own = 0 if node.hint == "against" else _ROLE.get(node.name, over)
+        own = 0 if node.hint == "against" else _ROLE.get(node.name, 1 if by_hand and node.hint == "for" else over)
         node.label = 0 if over == 0 else own
     for node in reversed(nodes):
         if node.label is None and any(c.label == 1 for c in node.children):
             node.label = 1
 
 
-def count_page(page: str, weight: float = 1.0) -> Counter:
+def count_page(page: str, weight: float = 1.0, by_hand: bool = False) -> Counter:
     """Counts of (feature, label) and of labels of children given their parents' from a page that labels itself."""
     nodes, out = parse(page), Counter()
-    _labels(nodes)
+    _labels(nodes, by_hand)
     for node in nodes:
         if node.label is None:
             continue
@@ -269,15 +273,15 @@ _LAYOUTS = """
 <table class=layout><tr><td class=menu><a>a</a> <a>b</a></td><td class=main><h2>Head</h2>{P}{P}{P}</td></tr></table><form><p>Search the
 site</p><div>Your name</div></form><div class=ad><p>Buy now, only today.</p></div>
 ===
-<nav><ul><li><a>x</a></li><li><a>y</a></li></ul></nav><main><h1>H</h1><div class=text>{P}<div>{P}</div>{Q}<pre>code</pre><ol><li>Do this
+<nav><ul><li><a>x</a></li><li><a>y</a></li></ul></nav><main><h1>H</h1><div class=text>{P}<div>{P}</div><section><h2>I</h2>{P}{Q}</section><pre>code</pre><ol><li>Do this
 first, then wait.</li></ol><dl><dt>Term</dt><dd>What it means.</dd></dl><figure><figcaption>A bridge.</figcaption></figure></div></main>
 <aside><h4>Latest</h4><ul><li><a>n</a></li></ul></aside><div class=newsletter><form><p>Sign up.</p></form></div><footer><div>c</div></footer>
 ===
 <div class=banner>Sale</div><section class=story><h1>S</h1>{P}{P}<p>Short.</p><h2>Part</h2>{Q}</section><div class=footer><ul><li><a>Terms
 </a></li></ul></div>
 ===
-<body><dialog><p>We value your privacy, so please choose.</p></dialog><header><p>All the news, every day.</p></header><section>{P}{P}{Q}
-</section><form><p>Subscribe to our letter, it is free.</p><fieldset><legend>You</legend><p>Name.</p></fieldset></form><aside><p>He writes
+<body><dialog><p>We value your privacy, so please choose.</p></dialog><header><p>All the news, every day.</p></header><div class=wrap><section class=text><div>
+{P}</div>{P}<section>{Q}</section></section></div><form><p>Subscribe to our letter, it is free.</p><fieldset><legend>You</legend><p>Name.</p></fieldset></form><aside><p>He writes
 about bridges, and about roads.</p><p>More of his work, and that of others.</p></aside><footer><p>All rights reserved, 2020.</p></footer>
 """
 
@@ -306,7 +310,7 @@ def train(pages: DataFrame, bound: int = SAMPLE, html_col: str = "html") -> Mode
     counts = sample.mapInArrow(run, "feature string, label long, n double").groupBy("feature", "label").agg(F.sum("n").alias("n"))
     total: Counter = Counter()
     for layout in labelled_layouts():
-        total.update(count_page(layout, HAND_WEIGHT))
+        total.update(count_page(layout, HAND_WEIGHT, by_hand=True))
     # Features are names of elements and small classes; of names, the 4096 most frequent are kept.
     for r in counts.orderBy(F.desc("n"), "feature", "label").limit(1 << 13).collect():
         total[r.feature, r.label] += r.n

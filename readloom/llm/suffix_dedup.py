@@ -197,7 +197,7 @@ def _shard(length: int):
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part[part.duplicated("anchor", keep=False)]
         if part.empty:
-            return pd.DataFrame({"ctx": [], "spans": []})
+            return pd.DataFrame({"ctx": [], "spans": []}, dtype=object)
         part = part.sort_values("ctx")
         data = np.frombuffer(b"".join(part["bytes"]), np.uint8)
         sizes = part["bytes"].str.len().to_numpy()
