@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_VOCABULARY = 64 << 20  # bytes of a vocabulary file that is sent to the executors
-KEPT_PIECES = 1 << 20      # pieces after which a worker starts to remember afresh
+KEPT_PIECES = 1 << 18      # pieces after which a worker starts to remember afresh
 STEP_BYTES = 4 << 20       # text whose new pieces are merged together
 KEPT_LENGTH = 64           # longer pieces are merged each time
 

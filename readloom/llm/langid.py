@@ -20,6 +20,7 @@ from readloom.llm.common import text_of
 from readloom.session import cut_lineage
 
 SAMPLE = 800        # labelled rows of each language that a model is trained on
+MAX_LANGUAGES = 2000  # bounds the table of counts that is broadcast
 MAX_MACHINES = 5000  # machines of one model: 100 languages of one family; 20 kB each
 CELLS = 1 << 12     # hashed trigrams
 UNDETERMINED = "und"
@@ -109,8 +110,10 @@ class Model:
 def _sample(rows: DataFrame, bound: int) -> DataFrame:
     """At most ``bound`` rows of each language, chosen by a hash of the id and text; a filter thins them before the sort."""
     counts = cut_lineage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    if counts.count() > MAX_LANGUAGES:
+        raise ValueError("more languages than one model holds")
     pick = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(1 << 20))
-    thin = rows.withColumn("__p", pick).join(counts, "lang").filter(F.col("__p") * F.col("n") < 2.0 * bound * (1 << 20))
+    thin = rows.withColumn("__p", pick).join(F.broadcast(counts), "lang").filter(F.col("__p") * F.col("n") < 2.0 * bound * (1 << 20))
     first = Window.partitionBy("lang").orderBy("__p", "doc_id", F.xxhash64("text"))
     return thin.withColumn("__k", F.row_number().over(first)).filter(F.col("__k") <= bound).select("lang", "text")
 
