@@ -127,45 +127,16 @@ def gapped_positions(pos="pos", cigar="cigar") -> Column:
     return F.aggregate(elements(cigar), start, consume, lambda state: state["out"])
 
 
-def soft_clip(n: Column) -> Column:
-    return F.when(n == 0, F.lit("")).otherwise(F.concat(n.cast("string"), F.lit("S")))
+def _clip_tail(els: Column, room: Column) -> Column:
+    """Elements with everything after ``room`` reference bases turned into a soft clip; none if no aligned base remains.
 
-
-def clipped_cigar(pos, read_len, ref_len) -> Column:
-    """CIGAR of an ungapped alignment, soft-clipped where it hangs off either reference end; null if nothing is left."""
-    pos, read_len, ref_len = _col(pos), _col(read_len), _col(ref_len)
-    left = F.greatest(F.lit(1) - pos, F.lit(0))
-    right = F.greatest(pos + read_len - ref_len - 1, F.lit(0))
-    match = read_len - left - right
-    return F.when(match >= 1, F.concat(soft_clip(left), match.cast("string"), F.lit("M"), soft_clip(right)))
-
-
-def clipped_cigar_with_indel(pos, read_len, ref_len, indel_at, indel_len) -> Column:
-    """As ``clipped_cigar`` with one indel after ``indel_at`` bases; positive length inserts, negative deletes."""
-    pos, read_len, ref_len = _col(pos), _col(read_len), _col(ref_len)
-    indel_at, indel_len = _col(indel_at), _col(indel_len)
-    left = F.greatest(F.lit(1) - pos, F.lit(0))
-    right = F.greatest(pos + read_len - indel_len - ref_len - 1, F.lit(0))
-    first = indel_at - left
-    second = read_len - indel_at - F.greatest(indel_len, F.lit(0)) - right
-    text = F.concat(soft_clip(left), first.cast("string"), F.lit("M"), F.abs(indel_len).cast("string"),
-                    F.when(indel_len > 0, F.lit("I")).otherwise(F.lit("D")),
-                    second.cast("string"), F.lit("M"), soft_clip(right))
-    return F.when((first >= 1) & (second >= 1), text)
-
-
-def clip_past_end(pos, cigar, ref_len) -> Column:
-    """``cigar`` with everything past reference position ``ref_len`` turned into a soft clip.
-
-    Deletions and skips past the end vanish, hard clips stay. ``*`` if no aligned base remains.
+    Deletions and skips past the end vanish, hard clips stay.
     """
-    pos, ref_len = _col(pos), _col(ref_len)
-    room = F.greatest(ref_len - pos + 1, F.lit(0)).cast("int")
-    els = "array<struct<len:int,op:string>>"
-    start = F.struct(room.alias("room"), F.lit(0).alias("clip"), F.lit(0).alias("hard"), F.lit(0).alias("bases"),
-                     F.array().cast(els).alias("kept"))
+    kind = "array<struct<len:int,op:string>>"
+    start = F.struct(room.cast("int").alias("room"), F.lit(0).alias("clip"), F.lit(0).alias("hard"), F.lit(0).alias("bases"),
+                     F.array().cast(kind).alias("kept"))
     one = lambda n, op: F.array(F.struct(n.cast("int").alias("len"), op.alias("op")))
-    none = F.array().cast(els)
+    none = F.array().cast(kind)
 
     def consume(s, e):
         on_ref = F.contains(F.lit(REF_OPS), e["op"])
@@ -185,6 +156,45 @@ def clip_past_end(pos, cigar, ref_len) -> Column:
     def finish(s):
         out = F.concat(s["kept"], F.when(s["clip"] > 0, one(s["clip"], F.lit("S"))).otherwise(none),
                        F.when(s["hard"] > 0, one(s["hard"], F.lit("H"))).otherwise(none))
-        return F.when(s["bases"] > 0, format_elements(out)).otherwise(F.lit("*"))
+        return F.when(s["bases"] > 0, out).otherwise(none)
+
+    return F.aggregate(els, start, consume, finish)
+
+
+def clip_past_end(pos, cigar, ref_len) -> Column:
+    """``cigar`` with everything past reference position ``ref_len`` turned into a soft clip; ``*`` if nothing is left."""
+    room = F.greatest(_col(ref_len) - _col(pos) + 1, F.lit(0))
+    kept = _clip_tail(elements(cigar), room)
+    return F.when(F.size(kept) > 0, format_elements(kept)).otherwise(F.lit("*"))
+
+
+def _inside(pos: Column, els: Column, span: Column, ref_len: Column) -> Column:
+    """Elements clipped at both ends of the reference; the left end is the tail of the reversed elements."""
+    tail = _clip_tail(els, F.greatest(ref_len - pos + 1, F.lit(0)))
+    past = F.greatest(pos + span - 1 - ref_len, F.lit(0))
+    return F.reverse(_clip_tail(F.reverse(tail), F.greatest(F.least(pos + span - 1 - past, span - past), F.lit(0))))
+
+
+def _element(length: Column, op: Column) -> Column:
+    return F.struct(length.cast("int").alias("len"), op.alias("op"))
+
+
+def clipped_cigar(pos, read_len, ref_len) -> Column:
+    """CIGAR of an ungapped alignment, soft-clipped where it hangs off either reference end; null if nothing is left."""
+    pos, read_len, ref_len = _col(pos), _col(read_len), _col(ref_len)
+    kept = _inside(pos, F.array(_element(read_len, F.lit("M"))), read_len, ref_len)
+    return F.when(F.size(kept) > 0, format_elements(kept))
+
+
+def clipped_cigar_with_indel(pos, read_len, ref_len, indel_at, indel_len) -> Column:
+    """As ``clipped_cigar`` with one indel after ``indel_at`` bases; positive length inserts, negative deletes.
 
-    return F.aggregate(elements(cigar), start, consume, finish)
+    Null unless aligned bases remain on both sides of the indel.
+    """
+    pos, read_len, ref_len = _col(pos), _col(read_len), _col(ref_len)
+    indel_at, indel_len = _col(indel_at), _col(indel_len)
+    rest = read_len - indel_at - F.greatest(indel_len, F.lit(0))
+    gap = _element(F.abs(indel_len), F.when(indel_len > 0, F.lit("I")).otherwise(F.lit("D")))
+    els = F.array(_element(indel_at, F.lit("M")), gap, _element(rest, F.lit("M")))
+    kept = _inside(pos, els, read_len - indel_len, ref_len)
+    return F.when(F.size(F.filter(kept, lambda e: e["op"] == "M")) == 2, format_elements(kept))

@@ -5,8 +5,7 @@ from __future__ import annotations
 import re
 
 _CIGAR = re.compile(r"(\d+)([MIDNSHP=X])")
-# The three kinds of MD entries.
-_MD = re.compile(r"(\d+)|([ACTGNactgn])|\^([ACTGNactgn]+)")
+_MD = re.compile(r"([0-9]+)|([A-Za-z])|\^([A-Za-z]+)")  # the published grammar: numbers, bases, deleted runs
 
 
 def _expand_md(md: str) -> tuple[list[str | None], list[str]] | None:
@@ -57,4 +56,6 @@ def reference_text(seq: str | None, cigar: str | None, md: str | None, with_dele
         elif op in "IS":
             out.append(("0" if op == "S" else "-") * size)
             at += size
+    if taken != len(aligned) or at != len(seq) or next(runs, None) is not None:
+        return None  # MD, CIGAR and read disagree
     return "".join(out)

@@ -1,7 +1,7 @@
 """Degrees of separation over a bipartite (actor, title) table.
 
-The walk alternates actor -> title -> actor, so a round costs the rows it touches. The co-star
-pairs themselves are only listed for titles of bounded cast (``costar_edges``).
+The walk alternates actor -> title -> actor, so a round costs the rows it touches. The co-star relation stays
+factored (performer, title); its pairs are listed only where a result consists of them (``costar_pairs``).
 """
 
 from __future__ import annotations
@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.operators.skew import HOT_ROWS, copy_rows, hot_keys, slice_rows, sliced_join, union_all
+from readloom.operators.skew import HOT_ROWS, copy_rows, hot_keys, slice_rows, sliced_join, sliced_pairs, union_all
 from readloom.session import cut_lineage, fixed_layout
 
 SEED_NAME = "Bacon, Kevin (I)"  # where the walk starts unless told otherwise
-MAX_CAST = 128      # larger casts stay factored as hub rows
 PAGE = 1 << 16      # neighbours per adjacency row
 
 # Labels of the report.
@@ -58,40 +57,28 @@ def distinct_edges(edges: DataFrame) -> DataFrame:
     return edges.dropDuplicates()
 
 
-def costar_edges(bip: DataFrame, max_cast: int = MAX_CAST, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The co-star relation as (src, dst, hub).
+def costar_edges(bip: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The co-star relation as (src, hub): any two performers of a hub are co-stars.
 
-    A title with at most ``max_cast`` performers is listed as ordered pairs, hub null. A larger one
-    stays as one (performer, null, title) row per member: any two members of a hub are co-stars.
-    So the output is linear in the input, however large a cast gets, and nothing is lost.
+    One row per performer and title, for titles of two performers or more, however large a cast is.
     """
-    members = bip.select("actor", "title").distinct()
-    cast = members.groupBy("title").agg(F.count(F.lit(1)).alias("_cast"))
-    sized = cut_lineage(sliced_join(members, cast, ["title"], hot_rows=hot_rows))
-    listed = sized.filter(F.col("_cast") <= max_cast).select("title", "actor")
-    pairs = drop_self_pairs(
-        listed.withColumnRenamed("actor", "src").join(listed.withColumnRenamed("actor", "dst"), "title")
-        .select("src", "dst")
-    ).distinct()
-    hubs = sized.filter(F.col("_cast") > max_cast)
-    return union_all(
-        pairs.withColumn("hub", F.lit(None).cast(bip.schema["title"].dataType)),
-        hubs.select(F.col("actor").alias("src"),
-                    F.lit(None).cast(bip.schema["actor"].dataType).alias("dst"), F.col("title").alias("hub")),
-    )
+    members = bip.select(F.col("actor").alias("src"), F.col("title").alias("hub")).distinct()
+    shared = members.groupBy("hub").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("hub")
+    return sliced_join(members, shared, ["hub"], hot_rows=hot_rows).select("src", "hub")
 
 
-def adjacency(edges: DataFrame, page: int = PAGE) -> DataFrame:
-    """(src, page, nbrs): distinct sorted neighbours, at most about ``page`` of them per row.
+def costar_pairs(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every ordered pair (src, dst) of the relation, for results that consist of the pairs."""
+    other = edges.select(F.col("src").alias("dst"), "hub")
+    return drop_self_pairs(sliced_pairs(edges, other, ["hub"], hot_rows).select("src", "dst")).distinct()
 
-    A vertex with more neighbours continues on further pages, split by neighbour hash.
-    """
+
+def adjacency(edges: DataFrame, page: int = PAGE) -> DataFrame:
+    """(src, page, nbrs): distinct sorted neighbours, about ``page`` of them per row, split by neighbour hash."""
     flat = edges.select("src", "dst").distinct()
-    hot = hot_keys(flat, ["src"], page)
-    return (
-        slice_rows(flat, hot, ["src"], slot="page")
-        .groupBy("src", "page").agg(F.sort_array(F.collect_set("dst")).alias("nbrs"))
-    )
+    pages = flat.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / F.lit(page)).cast("int").alias("_pages"))
+    paged = sliced_join(flat, pages, ["src"]).withColumn("page", F.pmod(F.xxhash64("dst"), F.col("_pages")).cast("int"))
+    return paged.groupBy("src", "page").agg(F.sort_array(F.collect_set("dst")).alias("nbrs"))
 
 
 def min_by_key(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -99,20 +86,15 @@ def min_by_key(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def expand_frontier(dist: DataFrame, edges: DataFrame) -> DataFrame:
-    """One step: (neighbour, smallest dist + 1) over pair rows and hub rows alike.
+    """One step over the factored relation: (neighbour, smallest dist + 1).
 
-    ``edges`` is read several times, so store or checkpoint it. Through a hub a vertex may meet itself, one step farther; ``relax`` drops that.
+    Through a hub a vertex meets itself too, one step farther; ``relax`` drops that. ``edges`` is read twice, so
+    store or checkpoint it.
     """
     known = dist.filter(F.col("dist").isNotNull())
-    step = (F.col("dist") + 1).cast("int").alias("dist")
-    pairs = edges.select(F.col("src").alias("id"), "dst").filter(F.col("dst").isNotNull())
-    direct = sliced_join(pairs, known, ["id"]).select(F.col("dst").alias("id"), step)
-    if "hub" not in edges.columns:
-        return min_by_key(direct, "id", "dist")
-    hubs = edges.filter(F.col("hub").isNotNull()).select(F.col("src").alias("id"), "hub")
-    at_hub = min_by_key(sliced_join(hubs, known, ["id"]), "hub", "dist")
-    via = sliced_join(hubs, at_hub, ["hub"]).select("id", step)
-    return min_by_key(direct.unionByName(via), "id", "dist")
+    members = edges.select(F.col("src").alias("id"), "hub")
+    at_hub = min_by_key(sliced_join(members, known, ["id"]), "hub", "dist")
+    return min_by_key(sliced_join(members, at_hub, ["hub"]).select("id", (F.col("dist") + 1).cast("int").alias("dist")), "id", "dist")
 
 
 def relax(old: DataFrame, candidates: DataFrame) -> DataFrame:

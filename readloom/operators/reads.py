@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from readloom.functions import bases as B
 from readloom.functions import cigar as C
 from readloom.functions import flags as FL
-from readloom.operators.skew import HOT_ROWS, MAX_HOT_KEYS, copy_rows, lookup_join, slice_rows
+from readloom.operators.skew import HOT_ROWS, copy_rows, heavy_keys, lookup_join, slice_rows, sliced_join
 from readloom.session import cut_lineage
 
 FLAG_COLUMNS = {
@@ -173,7 +173,7 @@ def mate_join(reads: DataFrame) -> DataFrame:
     """For each paired read, the read of the other end at its mate position: (qname, end, mate_pos, mate_flag, n_mates, error).
 
     Candidates are first aggregated to one row per (name, reference, position), so no name
-    multiplies rows; a name holding very many reads is split by the adaptive skew join.
+    multiplies rows; the reads of a name with very many of them are sliced.
     """
     spot = lambda ref, pos: F.when(F.col(ref) == -1, F.lit(0)).otherwise(F.col(pos))
     paired = FL.has(FL.PAIRED)
@@ -189,7 +189,7 @@ def mate_join(reads: DataFrame) -> DataFrame:
     seekers = reads.filter(paired).select(
         "qname", F.col("mate_ref_idx").alias("_ref"), spot("mate_ref_idx", "pnext").alias("_pos"),
         FL.has(FL.FIRST).alias("_first"), FL.has(FL.SECOND).alias("_second"))
-    joined = seekers.join(found, ["qname", "_ref", "_pos"], "left")
+    joined = sliced_join(seekers, found, ["qname", "_ref", "_pos"], "left")
     # a first end skips first ends, anything else skips second ends
     n = F.coalesce(F.when(F.col("_first"), F.col("_n1")).otherwise(F.col("_n2")), F.lit(0))
     mate = lambda c: F.when(n == 1, F.when(F.col("_first"), F.col(f"_{c}1")).otherwise(F.col(f"_{c}2")))
@@ -234,8 +234,7 @@ def mark_duplicates(reads: DataFrame, min_qual: int = 15) -> DataFrame:
             .agg(F.min(score).alias("_best"), F.count(F.lit(1)).alias("_n")))
     # a read alone at its key needs no look-up, which leaves a small table
     contested = cut_lineage(best.filter(F.col("_n") > 1).select(*keys, F.col("_best.name").alias("_winner"), "_n"))
-    hot = (contested.filter(F.col("_n") > HOT_ROWS).orderBy(F.desc("_n"), *keys).limit(MAX_HOT_KEYS)
-           .select(*keys, F.ceil(F.col("_n") / F.lit(HOT_ROWS)).cast("int").alias("_fan")))
+    hot = heavy_keys(contested, keys, HOT_ROWS)
     winners = copy_rows(contested.drop("_n"), hot, keys)
     joined = slice_rows(keyed, hot, keys).join(winners, [*keys, "_slot"], "left")
     return joined.select(*reads.columns, F.coalesce(F.col("qname") != F.col("_winner"), F.lit(False)).alias("is_dup"))

@@ -8,22 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1 << 21      # a key with more rows than this is spread over several tasks
-MAX_HOT_KEYS = 100_000  # bound on the broadcast table of hot keys; lighter keys stay whole
+MAX_HOT_KEYS = 100_000  # the broadcast table of hot keys is smaller: its keys hold at least one in so many rows
+SPREAD = 1 << 16        # slices for rows whose key is null
 SMALL_ROWS = 100_000    # a lookup side counted to be no larger than this is broadcast
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, fan: str = "_fan") -> DataFrame:
     """Keys heavier than ``hot_rows`` with the number of slices each needs.
 
-    Counting combines map-side, so a hot key costs one row per task. The result has at most
-    ``MAX_HOT_KEYS`` rows (the heaviest, ties by key), which makes it safe to broadcast.
+    Counting combines map-side, so a hot key costs one row per task. A hot key also holds more than one in
+    ``MAX_HOT_KEYS`` of all rows, so there are fewer of them than that, which makes the result safe to broadcast.
     """
-    return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), *keys).limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias(fan))
-    )
+    return heavy_keys(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, hot_rows, fan)
+
+
+def heavy_keys(counts: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, fan: str = "_fan") -> DataFrame:
+    """``hot_keys`` from a table of keys with their rows in ``_n``."""
+    least = counts.agg(F.greatest(F.lit(hot_rows).cast("long"), F.floor(F.coalesce(F.sum("_n"), F.lit(0)) / MAX_HOT_KEYS))).scalar()
+    return (counts.filter(F.col("_n") > least)
+            .select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias(fan)))
 
 
 def _with_fan(df: DataFrame, hot: DataFrame, keys: list[str], fan: str) -> DataFrame:
@@ -49,7 +52,12 @@ def sliced_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     ``right`` should hold few rows per key; ``how`` may be inner, left, left_semi or left_anti.
     """
     hot = hot_keys(left, keys, hot_rows)
-    out = slice_rows(left, hot, keys).join(copy_rows(right, hot, keys), [*keys, "_slot"], how)
+    sliced = slice_rows(left, hot, keys)
+    if how in ("left", "left_anti"):  # rows with a null key find nothing wherever they go, so they are spread
+        missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        row = F.xxhash64(*[F.col(c) for c in left.columns if c not in keys] or [F.lit(0)])
+        sliced = sliced.withColumn("_slot", F.when(missing, F.pmod(row, F.lit(SPREAD)).cast("int")).otherwise(F.col("_slot")))
+    out = sliced.join(copy_rows(right, hot, keys), [*keys, "_slot"], how)
     return out.drop("_slot")
 
 

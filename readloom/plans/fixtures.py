@@ -14,8 +14,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 FIXTURES = {
     "f_costar": """
-SELECT DISTINCT o_custkey AS actor, l_partkey AS title FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
-WHERE l_quantity >= 46 AND l_discount >= 0.06""",
+SELECT DISTINCT o_custkey AS actor, l_partkey * 1000 + CAST(l_quantity AS INT) * 11 + CAST(round(l_discount * 100) AS INT) AS title
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     "f_dict": """
 SELECT CAST(n_nationkey AS INT) AS ref_idx, CASE n_nationkey WHEN 0 THEN 'chrM' WHEN 23 THEN 'chrX' WHEN 24 THEN 'chrY'
  ELSE concat('chr', n_nationkey) END AS rname, 1000000 AS length FROM {nation}

@@ -12,12 +12,8 @@ from readloom.session import cut_lineage
 
 SEED_SQL = "SELECT actor FROM f_costar GROUP BY actor ORDER BY count(*) DESC, actor LIMIT 1"
 
-# Pair rows for casts up to the bound, hub rows for larger ones.
-EDGES_SQL = f"""cast_size AS (SELECT title, count(*) AS n FROM f_costar GROUP BY title),
-edges AS (
- SELECT DISTINCT a.actor AS src, b.actor AS dst, CAST(NULL AS BIGINT) AS hub FROM f_costar a
- JOIN f_costar b ON a.title = b.title JOIN cast_size c ON c.title = a.title WHERE a.actor <> b.actor AND c.n <= {G.MAX_CAST}
- UNION ALL SELECT a.actor, CAST(NULL AS BIGINT), a.title FROM f_costar a JOIN cast_size c ON c.title = a.title WHERE c.n > {G.MAX_CAST})"""
+EDGES_SQL = """edges AS (SELECT DISTINCT actor AS src, title AS hub FROM f_costar
+ WHERE title IN (SELECT title FROM f_costar GROUP BY title HAVING count(*) > 1))"""
 
 WALK_SQL = f"""seed AS ({SEED_SQL}),
 walk AS (
@@ -42,7 +38,7 @@ def _vertices(bip: DataFrame) -> DataFrame:
     return bip.select(F.col("actor").alias("id")).distinct()
 
 
-@query("jn1_costar_edges", f"WITH {EDGES_SQL} SELECT src, dst, hub FROM edges")
+@query("jn1_costar_edges", f"WITH {EDGES_SQL} SELECT src, hub FROM edges")
 def costar_edges(spark, sf_dir):
     return G.costar_edges(bipartite(spark, sf_dir))
 
@@ -67,8 +63,7 @@ def seed_distance(spark, sf_dir):
 
 @query("jn2_expand_frontier", f"""
 WITH {EDGES_SQL}, seed AS ({SEED_SQL})
-SELECT DISTINCT e.dst AS id, 1 AS dist FROM seed s JOIN edges e ON e.src = s.actor WHERE e.hub IS NULL
-UNION SELECT h.src, 1 FROM seed s JOIN edges e ON e.src = s.actor JOIN edges h ON h.hub = e.hub""")
+SELECT DISTINCT h.src AS id, 1 AS dist FROM seed s JOIN edges e ON e.src = s.actor JOIN edges h ON h.hub = e.hub""")
 def expand_frontier(spark, sf_dir):
     bip = bipartite(spark, sf_dir)
     return G.expand_frontier(G.seed_distance(_vertices(bip), top_actor(bip)), cut_lineage(G.costar_edges(bip)))
@@ -76,8 +71,7 @@ def expand_frontier(spark, sf_dir):
 
 @query("jn3_relax", f"""
 WITH {EDGES_SQL}, seed AS ({SEED_SQL}),
-cand AS (SELECT DISTINCT e.dst AS id, 1 AS dist FROM seed s JOIN edges e ON e.src = s.actor WHERE e.hub IS NULL
- UNION SELECT h.src, 1 FROM seed s JOIN edges e ON e.src = s.actor JOIN edges h ON h.hub = e.hub)
+cand AS (SELECT DISTINCT h.src AS id, 1 AS dist FROM seed s JOIN edges e ON e.src = s.actor JOIN edges h ON h.hub = e.hub)
 SELECT v.id, CAST(CASE WHEN v.id = (SELECT actor FROM seed) THEN 0 ELSE c.dist END AS INT) AS dist
 FROM (SELECT DISTINCT actor AS id FROM f_costar) v LEFT JOIN cand c ON c.id = v.id""")
 def relax(spark, sf_dir):
@@ -91,11 +85,11 @@ def min_by_key(spark, sf_dir):
     return G.min_by_key(bipartite(spark, sf_dir), "actor", "title")
 
 
-@query("ag2_adjacency", f"""
-WITH {EDGES_SQL}
-SELECT src, 0 AS page, array_to_string(list_sort(list(DISTINCT dst)), ',') AS nbrs FROM edges WHERE hub IS NULL GROUP BY src""")
+@query("ag2_adjacency", """
+SELECT a.actor AS src, 0 AS page, array_to_string(list_sort(list(DISTINCT b.actor)), ',') AS nbrs
+FROM f_costar a JOIN f_costar b ON a.title = b.title WHERE a.actor <> b.actor GROUP BY a.actor""")
 def adjacency(spark, sf_dir):
-    pairs = cut_lineage(G.costar_edges(bipartite(spark, sf_dir)).filter("hub IS NULL"))
+    pairs = cut_lineage(G.costar_pairs(cut_lineage(G.costar_edges(bipartite(spark, sf_dir)))))
     return G.adjacency(pairs).withColumn("nbrs", F.array_join(F.col("nbrs").cast("array<string>"), ","))
 
 

@@ -11,11 +11,14 @@ from readloom.operators.skew import union_all
 from readloom.plans.fixtures import fixture, table
 from readloom.plans.registry import query
 
-KEY_SQL = "chrom_num, pos, ref, alt"
+KEY_SQL = "chrom, pos, ref, alt"
+# Names without a number, so that chrM and chrUn_1 hold calls at equal positions.
+NAME_SQL = "CASE chrom_num WHEN 24 THEN 'chrY' WHEN 23 THEN 'chrX' WHEN 22 THEN 'chrM' WHEN 21 THEN 'chrUn_1' ELSE concat('chr', chrom_num) END"
+A_SQL, B_SQL = (f"(SELECT *, {NAME_SQL} AS chrom FROM f_variants_{x})" for x in "ab")
 
 
 def calls(spark, sf_dir):
-    return fixture(spark, sf_dir, "f_variants_a"), fixture(spark, sf_dir, "f_variants_b")
+    return tuple(fixture(spark, sf_dir, f"f_variants_{x}").withColumn("chrom", F.expr(NAME_SQL)) for x in "ab")
 
 
 CHROM_SQL = "CASE n_nationkey % 5 WHEN 0 THEN concat('chr', n_nationkey + 1) WHEN 1 THEN 'chrX' WHEN 2 THEN 'chrY' WHEN 3 THEN 'chrM' ELSE concat('chrUn_', n_name) END"
@@ -42,7 +45,7 @@ def unknown_chroms(spark, sf_dir):
     return V.unknown_chroms(_chroms(spark, sf_dir))
 
 
-@query("pf9_call_quality_filter", f"SELECT {KEY_SQL}, qual FROM f_variants_a WHERE qual >= 30")
+@query("pf9_call_quality_filter", f"SELECT chrom_num, {KEY_SQL}, qual FROM {A_SQL} a WHERE qual >= 30")
 def call_quality_filter(spark, sf_dir):
     return V.call_quality_filter(calls(spark, sf_dir)[0])
 
@@ -66,16 +69,16 @@ def variant_sort_distinct(spark, sf_dir):
 
 @query("jn10_match_variants", f"""
 SELECT {KEY_SQL}, CASE WHEN a AND b THEN 'match' WHEN a THEN 'only_a' ELSE 'only_b' END AS status FROM (
- SELECT coalesce(x.chrom_num, y.chrom_num) AS chrom_num, coalesce(x.pos, y.pos) AS pos, coalesce(x.ref, y.ref) AS ref,
+ SELECT coalesce(x.chrom, y.chrom) AS chrom, coalesce(x.pos, y.pos) AS pos, coalesce(x.ref, y.ref) AS ref,
   coalesce(x.alt, y.alt) AS alt, x.pos IS NOT NULL AS a, y.pos IS NOT NULL AS b
- FROM (SELECT DISTINCT {KEY_SQL} FROM f_variants_a) x FULL JOIN (SELECT DISTINCT {KEY_SQL} FROM f_variants_b) y
- ON x.chrom_num = y.chrom_num AND x.pos = y.pos AND x.ref = y.ref AND x.alt = y.alt)""")
+ FROM (SELECT DISTINCT {KEY_SQL} FROM {A_SQL} a) x FULL JOIN (SELECT DISTINCT {KEY_SQL} FROM {B_SQL} b) y
+ ON x.chrom = y.chrom AND x.pos = y.pos AND x.ref = y.ref AND x.alt = y.alt)""")
 def match_variants(spark, sf_dir):
     return V.match_variants(*calls(spark, sf_dir))
 
 
 @query("ag14_variant_compare", f"""
-WITH a AS (SELECT DISTINCT {KEY_SQL} FROM f_variants_a), b AS (SELECT DISTINCT {KEY_SQL} FROM f_variants_b),
+WITH a AS (SELECT DISTINCT {KEY_SQL} FROM {A_SQL} x), b AS (SELECT DISTINCT {KEY_SQL} FROM {B_SQL} x),
 m AS (SELECT * FROM a INTERSECT SELECT * FROM b)
 SELECT (SELECT count(*) FROM a) AS total, (SELECT count(*) FROM m) AS matches,
  (SELECT count(*) FROM a) - (SELECT count(*) FROM m) AS diff, (SELECT count(*) FROM b) - (SELECT count(*) FROM m) AS only_in_b""")
@@ -83,22 +86,22 @@ def variant_compare(spark, sf_dir):
     return V.variant_compare(*calls(spark, sf_dir))
 
 
-@query("st1_union_all", f"SELECT {KEY_SQL}, qual FROM f_variants_a UNION ALL SELECT {KEY_SQL}, qual FROM f_variants_b")
+@query("st1_union_all", f"SELECT chrom_num, {KEY_SQL}, qual FROM {A_SQL} a UNION ALL SELECT chrom_num, {KEY_SQL}, qual FROM {B_SQL} b")
 def union_rows(spark, sf_dir):
     return union_all(*calls(spark, sf_dir))
 
 
-@query("st2_variant_intersect", f"SELECT {KEY_SQL} FROM f_variants_a INTERSECT SELECT {KEY_SQL} FROM f_variants_b")
+@query("st2_variant_intersect", f"SELECT {KEY_SQL} FROM {A_SQL} a INTERSECT SELECT {KEY_SQL} FROM {B_SQL} b")
 def variant_intersect(spark, sf_dir):
     return V.variant_intersect(*calls(spark, sf_dir))
 
 
-@query("st3_variant_missing", f"SELECT {KEY_SQL} FROM f_variants_a EXCEPT SELECT {KEY_SQL} FROM f_variants_b")
+@query("st3_variant_missing", f"SELECT {KEY_SQL} FROM {A_SQL} a EXCEPT SELECT {KEY_SQL} FROM {B_SQL} b")
 def variant_missing(spark, sf_dir):
     return V.variant_missing(*calls(spark, sf_dir))
 
 
-@query("st4_distinct_rows", f"SELECT DISTINCT {KEY_SQL} FROM f_variants_a")
+@query("st4_distinct_rows", f"SELECT DISTINCT {KEY_SQL} FROM {A_SQL} a")
 def distinct_rows(spark, sf_dir):
     return calls(spark, sf_dir)[0].select(*V.KEY).distinct()
 

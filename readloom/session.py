@@ -58,13 +58,13 @@ def fixed_layout(spark: SparkSession, rows: int, rows_per_task: int = 1 << 18):
 
     An adaptive plan does not know its final partitioning in advance, and a checkpoint taken from
     it is shuffled again by every later join. Loops that join one table many times lay it out here.
-    As nothing coalesces small partitions then, a table of few ``rows`` gets fewer than the session's.
+    As nothing coalesces or splits partitions then, their number follows from ``rows`` alone.
     """
     keys = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
     before = {key: spark.conf.get(key) for key in keys}
     wanted = max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_task))
     spark.conf.set(keys[0], "false")
-    spark.conf.set(keys[1], str(min(int(before[keys[1]]), wanted)))
+    spark.conf.set(keys[1], str(wanted))
     try:
         yield
     finally:

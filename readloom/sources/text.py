@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from readloom.operators.skew import lookup_join
+
 
 def read_blocks(spark: SparkSession, path: str, sep: str = "\n\n", encoding: str = "UTF-8") -> DataFrame:
     """Records split on ``sep``: (value). Other encodings than UTF-8 are decoded from the raw bytes."""
@@ -15,7 +17,7 @@ def read_blocks(spark: SparkSession, path: str, sep: str = "\n\n", encoding: str
 
 
 def positioned_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(ord, value): every line with its 0-based position, files in path order.
+    """(ord, value): every line with its 0-based position; part files follow their numbers, others their paths.
 
     A file split is read in order by one task, so a line's position is its rank in the split plus the
     lines of the splits before it. Only the table of splits (one row per 128 MB or so) is ranked; the
@@ -25,9 +27,10 @@ def positioned_lines(spark: SparkSession, path: str) -> DataFrame:
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"))
     splits = lines.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    folder, part = F.regexp_replace("_file", "[^/]*$", ""), F.regexp_extract("_file", "/part-([0-9]+)[^/]*$", 1).try_cast("long")
+    before = Window.orderBy(folder, part, "_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return (lines.join(F.broadcast(starts), ["_file", "_block"])
+    return (lookup_join(lines, starts, ["_file", "_block"], "inner")
             .select((F.col("_start") + F.col("_at") - F.col("_first")).alias("ord"), "value"))
 
 
@@ -40,7 +43,7 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     line = lambda n: F.max(F.when(F.col("ord") % 4 == n, F.col("value")))
     return (
         lines.groupBy(F.floor(F.col("ord") / 4).alias("rec_id"))
-        .agg(F.ltrim(line(0), F.lit("@")).alias("name"), line(1).alias("seq"), line(2).alias("plus"), line(3).alias("qual"))
+        .agg(F.regexp_replace(line(0), "^@", "").alias("name"), line(1).alias("seq"), line(2).alias("plus"), line(3).alias("qual"))
     )
 
 

@@ -94,14 +94,20 @@ def topk_stream(counts: DataFrame, k: int = 5, key: str = "text") -> DataFrame:
 
 
 def stream_topk_sink(counts: DataFrame, k: int, path: str, checkpoint: str, key: str = "text") -> StreamingQuery:
-    """Per trigger: the k most frequent keys of the latest window that changed, as parquet under batch_id=..."""
+    """Per trigger: the k most frequent keys of the latest window, as parquet under batch_id=...
+
+    A trigger hands over the counts that changed only, so they are kept beside ``path`` and the window is ranked in
+    full from what all triggers so far have written. A replayed trigger overwrites itself.
+    """
+    kept = f"{path.rstrip('/')}-counts"
+
     def top(batch: DataFrame, batch_id: int) -> None:
-        # one pass over the batch: reading it twice would run the stateful query twice
-        saved = batch.persist()
-        newest = saved.agg(F.max("win_start").alias("win_start"))
-        topk_per_window(saved.join(F.broadcast(newest), "win_start"), k, key).drop("win_end").write.mode(
-            "overwrite").parquet(f"{path}/batch_id={batch_id}")
-        saved.unpersist()
+        batch.write.mode("overwrite").parquet(f"{kept}/batch_id={batch_id}")  # one pass over the stateful query
+        spark = batch.sparkSession
+        newest = spark.read.parquet(f"{kept}/batch_id={batch_id}").agg(F.max("win_start").alias("w")).first()["w"]
+        known = spark.read.parquet(kept).filter((F.col("batch_id") <= batch_id) & (F.col("win_start") == F.lit(newest)))
+        full = known.groupBy("win_start", key).agg(F.max_by("cnt", "batch_id").alias("cnt"))
+        topk_per_window(full, k, key).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).foreachBatch(top).start())

@@ -3,6 +3,7 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from readloom.functions import flags as FL
 from readloom.sources import sam as S
@@ -78,3 +79,32 @@ def test_vcf_lines(spark, tmp_path):
 def test_flag_bits():
     assert [FL.PAIRED, FL.PROPER, FL.UNMAPPED, FL.MATE_UNMAPPED, FL.REVERSE, FL.MATE_REVERSE, FL.FIRST, FL.SECOND, FL.NOT_PRIMARY,
             FL.FAILS_QC, FL.DUPLICATE] == [1 << i for i in range(11)]
+
+
+def test_part_files_follow_their_numbers(spark, tmp_path):
+    for n in (99999, 100000, 7):
+        (tmp_path / f"part-{n:05d}-x.txt").write_text(f"{n}\n")
+    rows = T.positioned_lines(spark, str(tmp_path)).orderBy("ord").collect()
+    assert [r.value for r in rows] == ["7", "99999", "100000"]
+
+
+def test_one_at_sign_belongs_to_the_record(spark, tmp_path):
+    (tmp_path / "a.fq").write_text("@@n1\nAC\n+\nII\n")
+    assert T.read_fastq(spark, str(tmp_path / "a.fq")).first().name == "@n1"
+
+
+def test_header_first_and_unnumbered_contigs_last(spark, tmp_path):
+    rows = [("chrUn_1", None, 7, "chrUn_1\t7"), ("chr2", 2, 9, "chr2\t9"), ("chrM", None, 7, "chrM\t7"), ("chr1", 1, 9, "chr1\t9")]
+    V.write_vcf(spark.createDataFrame(rows, "chrom string, chrom_num int, pos int, line string"), str(tmp_path / "v"))
+    lines = [r.value for r in T.positioned_lines(spark, str(tmp_path / "v")).orderBy("ord").collect()]
+    assert lines == [V.HEADER, "chr1\t9", "chr2\t9", "chrM\t7", "chrUn_1\t7"]
+
+
+def test_unsorted_records_are_written_by_many_tasks(spark, tmp_path):
+    reads = spark.range(1000).repartition(6).select(
+        F.concat(F.lit("r"), "id").alias("qname"), *[F.lit(v).alias(n) for n, v in zip(S.COLUMNS[1:], (4, "*", 0, 0, "*", "*", 0, 0, "A", "I"))])
+    header = spark.createDataFrame([(0, "@HD\tVN:1.0")], "ord long, value string")
+    S.write_sam(reads, header, str(tmp_path / "s"), "unsorted")
+    lines = [r.value for r in T.positioned_lines(spark, str(tmp_path / "s")).orderBy("ord").collect()]
+    assert lines[0] == "@HD\tVN:1.0" and len(lines) == 1001
+    assert sum(p.stat().st_size > 0 for p in (tmp_path / "s").glob("part-*")) == 7

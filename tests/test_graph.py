@@ -45,21 +45,26 @@ def test_separation_of_unknown_seed(bip):
 
 def test_distances_differ_by_at_most_one_across_an_edge(spark, bip):
     dist = G.separation(bip, "a")
-    ends = G.costar_edges(bip).join(dist.withColumnRenamed("id", "src"), "src").join(
+    ends = G.costar_pairs(G.costar_edges(bip)).join(dist.withColumnRenamed("id", "src"), "src").join(
         dist.select(F.col("id").alias("dst"), F.col("dist").alias("d2")), "dst")
     assert ends.filter("abs(dist - d2) > 1 OR (dist IS NULL) <> (d2 IS NULL)").isEmpty()
 
 
-def test_large_cast_becomes_hub_rows_and_nothing_is_lost(spark):
-    pairs = [(f"p{i}", "big") for i in range(6)] + [("p0", "s"), ("q", "s")]
+def test_a_large_cast_stays_linear_and_nothing_is_lost(spark):
+    pairs = [(f"p{i}", "big") for i in range(1200)] + [("p0", "s"), ("q", "s"), ("alone", "own")]
     bip = spark.createDataFrame(pairs, "actor string, title string")
-    edges = G.costar_edges(bip, max_cast=3)
-    assert {(r.src, r.dst) for r in edges.filter("hub IS NULL").collect()} == {("p0", "q"), ("q", "p0")}
-    assert edges.filter("hub = 'big'").count() == 6
+    edges = G.costar_edges(bip, hot_rows=100)
+    assert {(r.src, r.hub) for r in edges.collect()} == set(pairs) - {("alone", "own")}
     seed = G.seed_distance(bip.select(F.col("actor").alias("id")).distinct(), "q")
     one = G.relax(seed, G.expand_frontier(seed, edges))
     two = G.relax(one, G.expand_frontier(one, edges))
     assert {r.id: r.dist for r in two.collect()} == brute(pairs, "q", 2)
+    lists = G.adjacency(G.costar_pairs(edges, hot_rows=100), page=500).collect()
+    near = defaultdict(set)
+    for r in lists:
+        near[r.src] |= set(r.nbrs)
+    assert len(near["p7"]) == 1199 and near["p0"] == {f"p{i}" for i in range(1, 1200)} | {"q"} and near["q"] == {"p0"}
+    assert max(len(r.nbrs) for r in lists) < 600
 
 
 def test_adjacency_pages(spark):
