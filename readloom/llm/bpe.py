@@ -118,6 +118,7 @@ class Encoder:
         self.cut = regex.compile(pattern).findall
         self.by_blanks = pattern == public_tokenizers.PATTERN  # another pattern may have pieces with inner blanks
         self.known: dict[str, bytes] = {}
+        self.token = {rank: part for part, rank in self.ranks.items()}
         pairs = {}
         for part, rank in self.ranks.items():
             for i in range(1, len(part)):
@@ -289,6 +290,24 @@ def _vocabulary(spark: SparkSession, path: str | None):
     return spark.sparkContext.broadcast(read_vocabulary(path or public_tokenizers.path(VOCABULARY)))
 
 
+def _encoded(encoder: Encoder, batches):
+    """Some rows of (id, text) at a time, about STEP_BYTES of text, and their ids as an array of lists."""
+    for batch in batches:
+        step = np.cumsum(pc.binary_length(batch.column(1)).to_numpy()) // STEP_BYTES
+        for own in np.split(np.arange(len(step)), np.flatnonzero(np.diff(step)) + 1):
+            rows = batch.slice(own[0], len(own)) if len(own) else batch
+            found = encoder.encode_all(rows.column(1).to_pylist())
+            offsets = np.zeros(len(found) + 1, np.int64)
+            np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
+            yield rows, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
+
+
+def _decoded(encoder: Encoder, ids: pa.ListArray) -> pa.Array:
+    offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+    token = encoder.token.__getitem__
+    return pa.array([b"".join(map(token, flat[a:b].tolist())) for a, b in zip(offsets, offsets[1:])], pa.binary())
+
+
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
            pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """doc_id and ids (array of int) per row, in the order of the text.
@@ -299,18 +318,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     vocabulary = _vocabulary(docs.sparkSession, path)
 
     def run(batches):
-        encoder = _encoder(vocabulary.value, pattern)
-        for batch in batches:
-            sizes = pc.binary_length(batch.column(1)).to_numpy()
-            step = np.cumsum(sizes) // STEP_BYTES  # texts are taken about so many bytes at a time
-            for own in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(step)) + 1):
-                rows = batch.slice(own[0], len(own)) if len(own) else batch
-                found = encoder.encode_all(rows.column(1).to_pylist())
-                offsets = np.zeros(len(found) + 1, np.int64)
-                np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
-                flat = np.frombuffer(b"".join(found), "<i4")
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([rows.column(0), ids], ["doc_id", "ids"])
+        for rows, ids in _encoded(_encoder(vocabulary.value, pattern), batches):
+            yield pa.RecordBatch.from_arrays([rows.column(0), ids], ["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
@@ -322,12 +331,9 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", pat
     vocabulary = _vocabulary(encoded.sparkSession, path)
 
     def run(batches):
-        token = {rank: part for part, rank in _encoder(vocabulary.value, pattern).ranks.items()}
         for batch in batches:
             ids = batch.column(1)
-            offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
-            texts = [b"".join(map(token.__getitem__, flat[a:b].tolist())) for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(texts, pa.binary())],
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, _decoded(_encoder(vocabulary.value, pattern), ids)],
                                              ["doc_id", "ids", "decoded"])
 
     rows = encoded.select(F.col(id_col).alias("doc_id"),
@@ -336,9 +342,22 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", pat
         run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
 
 
-def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """Digests of ids and decoded bytes per row: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    return decode(encode(docs, id_col, text_col, path), path=path).select(
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
+               pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """Digests of ids and decoded bytes per row: doc_id, n_tokens, ids_sha256, decoded_sha256.
+
+    As ``decode(encode(docs))``, in one pass through one worker a task. Nulls and repeats: see ``encode``.
+    """
+    vocabulary = _vocabulary(docs.sparkSession, path)
+
+    def run(batches):
+        encoder = _encoder(vocabulary.value, pattern)
+        for rows, ids in _encoded(encoder, batches):
+            yield pa.RecordBatch.from_arrays([rows.column(0), ids, _decoded(encoder, ids)], ["doc_id", "ids", "decoded"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    done = rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
+    return done.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
