@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1 << 21      # a key with more rows than this is spread over several tasks
-MAX_HOT_KEYS = 100_000  # the broadcast table of hot keys is smaller: its keys hold at least one in so many rows
 SPREAD = 1 << 16        # slices for rows whose key is null
 SMALL_ROWS = 100_000    # a lookup side counted to be no larger than this is broadcast
 
@@ -16,16 +15,15 @@ SMALL_ROWS = 100_000    # a lookup side counted to be no larger than this is bro
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, fan: str = "_fan") -> DataFrame:
     """Keys heavier than ``hot_rows`` with the number of slices each needs.
 
-    Counting combines map-side, so a hot key costs one row per task. A hot key also holds more than one in
-    ``MAX_HOT_KEYS`` of all rows, so there are fewer of them than that, which makes the result safe to broadcast.
+    Counting combines map-side, so a hot key costs one row per task. There are
+    fewer hot keys than rows / ``hot_rows``: 10^11 rows have 47,000 of them at most at the default, 1 MB to broadcast.
     """
     return heavy_keys(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, hot_rows, fan)
 
 
 def heavy_keys(counts: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, fan: str = "_fan") -> DataFrame:
     """``hot_keys`` from a table of keys with their rows in ``_n``."""
-    least = counts.agg(F.greatest(F.lit(hot_rows).cast("long"), F.floor(F.coalesce(F.sum("_n"), F.lit(0)) / MAX_HOT_KEYS))).scalar()
-    return (counts.filter(F.col("_n") > least)
+    return (counts.filter(F.col("_n") > hot_rows)
             .select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias(fan)))
 
 
