@@ -5,16 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.operators.skew import sliced_join
-from readloom.session import cut_lineage
+from readloom.operators.skew import copy_rows, heavy_keys, slice_rows
+from readloom.session import scratch_dir
 
 HOT_LINKS = 1 << 17  # links of one node after which its star is built in slices
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """Written to the shared folder and read again. A checkpoint would hand on what the planner knows of the columns,
+    which doubles with each renaming of u and v until planning a round takes minutes."""
+    path = scratch_dir(df.sparkSession, "links")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _star(edges: DataFrame) -> DataFrame:
-    """Every edge (u, v) with the least number among u and its partners."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return sliced_join(edges, least, ["u"], "inner", HOT_LINKS)
+    """Every edge (u, v) with the least number among u and its partners; one table of nodes serves the minimum and the slices."""
+    least = _stored(edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
+                        .select("u", F.least("u", "m").alias("m"), "_n"))
+    hot = heavy_keys(least, ["u"], HOT_LINKS)
+    return (slice_rows(edges, hot, ["u"]).join(copy_rows(least.drop("_n"), hot, ["u"]), ["u", "_slot"]).drop("_slot"))
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -35,14 +45,14 @@ def _state(edges: DataFrame):
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """node and root, the least node of its component, for every linked node but the roots themselves.
 
-    Links may repeat, run either way or join a node with itself. Every round is checkpointed, and a round
+    Links may repeat, run either way or join a node with itself. Every round is written out, and a round
     moves one row per link; the rounds grow with the logarithm of the largest component.
     """
-    edges = cut_lineage(links.filter(F.col(a) != F.col(b))
+    edges = _stored(links.filter(F.col(a) != F.col(b))
                         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     state = _state(edges)
     while state[0]:
-        edges = cut_lineage(_small(_large(edges)))
+        edges = _stored(_small(_stored(_large(edges))))
         state, before = _state(edges), state
         if state == before:
             break
