@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.operators.skew import copy_rows, heavy_keys, slice_rows
-from readloom.session import scratch_dir
+from readloom.session import cut_lineage, scratch_dir
 
 HOT_LINKS = 1 << 17  # links of one node after which its star is built in slices
 
@@ -21,8 +21,8 @@ def _stored(df: DataFrame) -> DataFrame:
 
 def _star(edges: DataFrame) -> DataFrame:
     """Every edge (u, v) with the least number among u and its partners; one table of nodes serves the minimum and the slices."""
-    least = _stored(edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
-                        .select("u", F.least("u", "m").alias("m"), "_n"))
+    least = cut_lineage(edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
+                            .select("u", F.least("u", "m").alias("m"), "_n"))
     hot = heavy_keys(least, ["u"], HOT_LINKS)
     return (slice_rows(edges, hot, ["u"]).join(copy_rows(least.drop("_n"), hot, ["u"]), ["u", "_slot"]).drop("_slot"))
 
@@ -52,7 +52,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
                         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     state = _state(edges)
     while state[0]:
-        edges = _stored(_small(_stored(_large(edges))))
+        edges = _stored(_small(cut_lineage(_large(edges))))
         state, before = _state(edges), state
         if state == before:
             break
