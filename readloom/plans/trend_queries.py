@@ -11,6 +11,7 @@ from readloom.session import scratch_dir
 from readloom.streaming import trends as S
 
 WIDTH, SLIDE = "6 hours", "3 hours"
+TRIGGERS = 4
 WHOLE_RANGE = "400 days"  # a delay under which no row of the table counts as late
 
 
@@ -113,30 +114,60 @@ def sliding_reduce_stream(spark, sf_dir):
     return spark.read.schema(counts.schema).parquet(out)
 
 
-@query("ss4_topk_stream", f"""
-WITH {RESHARES}, {windows_sql('reshares', 'text')} SELECT win_start, win_end, text, cnt FROM counts ORDER BY cnt DESC, text, win_start LIMIT 5""")
+def _newest(spark: SparkSession, out: str, key: str = "text") -> DataFrame:
+    """What the last trigger of a top-k sink wrote."""
+    rows = spark.read.parquet(out)
+    newest = rows.agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(F.broadcast(newest), "batch_id").select("win_start", key, "cnt", "rnk")
+
+
+def _in_triggers(spark: SparkSession, sf_dir: str, start) -> None:
+    """The events in time order, a quarter of their ids per trigger; the stream restarts in between."""
+    events, path = table(spark, sf_dir, "events"), scratch_dir(spark, "events")
+    ids = (events.agg(F.max("event_id")).first()[0] or 0) + 1
+    for k in range(TRIGGERS):
+        quarter = F.floor(F.col("event_id") * TRIGGERS / F.lit(ids)) == k
+        events.filter(quarter).write.mode("append").parquet(path)
+        start(S.stream_messages(spark, path, events.schema, 1 << 20)).awaitTermination()
+
+
+def _top_sql(source: str, key: str, k: int) -> str:
+    return f"""{windows_sql(source, key)}
+SELECT win_start, {key}, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, {key}) AS INT) AS rnk FROM counts
+WHERE win_start = (SELECT max(win_start) FROM counts) ORDER BY rnk LIMIT {k}"""
+
+
+@query("ss4_topk_stream", f"WITH {RESHARES}, {_top_sql('reshares', 'text', 5)}")
 def topk_stream(spark, sf_dir):
-    """Complete mode, sorted and cut to five rows on every trigger."""
-    out = scratch_dir(spark, "top")
-    counts = S.sliding_counts(S.filter_reshares(_stream(spark, sf_dir)), WIDTH, SLIDE, delay=WHOLE_RANGE)
+    """The five largest counts of the current window, over several triggers with a delay that closes windows."""
+    out, offsets = scratch_dir(spark, "top"), scratch_dir(spark, "offsets")
 
-    def save(batch, batch_id):
-        batch.write.mode("overwrite").parquet(out)
+    def start(events):
+        messages = events.select("ts", F.col("event_type").alias("text"), (F.col("value") >= 10).alias("is_retweet"))
+        counts = S.sliding_counts(S.filter_reshares(messages), WIDTH, SLIDE, delay="3 hours")
+        return S.stream_topk_sink(counts, 5, out, offsets)
 
-    stream = (S.topk_stream(counts).writeStream.outputMode("complete").trigger(availableNow=True)
-              .option("checkpointLocation", scratch_dir(spark, "offsets")).foreachBatch(save).start())
-    stream.awaitTermination()
-    return spark.read.parquet(out)
+    _in_triggers(spark, sf_dir, start)
+    return _newest(spark, out)
+
+
+@query("ss3_hashtag_trends_stream", f"WITH {TAGS}, {_top_sql('tags', 'tag', 10)}")
+def hashtag_trends_stream(spark, sf_dir):
+    """Hashtags of the current window, over several triggers."""
+    out, offsets = scratch_dir(spark, "trends"), scratch_dir(spark, "offsets")
 
+    def start(events):
+        text = F.concat(F.lit("seen "), "event_type", F.lit(" #"), "event_type", F.lit(" by #k"),
+                        (F.col("user_id") % 20).cast("string"), F.lit(" a#b"))
+        return S.stream_hashtag_trends(events.select("ts", text.alias("text")), out, offsets, WIDTH, SLIDE, 10, "3 hours")
 
-@query("io14_stream_topk_sink", f"""
-WITH {RESHARES}, {windows_sql('reshares', 'text')}
-SELECT win_start, text, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, text) AS INT) AS rnk FROM counts
-WHERE win_start = (SELECT max(win_start) FROM counts) ORDER BY rnk LIMIT 5""")
+    _in_triggers(spark, sf_dir, start)
+    return _newest(spark, out, "tag")
+
+
+@query("io14_stream_topk_sink", f"WITH {RESHARES}, {_top_sql('reshares', 'text', 5)}")
 def stream_topk_sink(spark, sf_dir):
     out = scratch_dir(spark, "top")
     counts = S.sliding_counts(S.filter_reshares(_stream(spark, sf_dir)), WIDTH, SLIDE, delay=WHOLE_RANGE)
     S.stream_topk_sink(counts, 5, out, scratch_dir(spark, "offsets")).awaitTermination()
-    rows = spark.read.parquet(out)
-    newest = rows.agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(F.broadcast(newest), "batch_id").select("win_start", "text", "cnt", "rnk")
+    return _newest(spark, out)

@@ -88,31 +88,36 @@ def hashtag_trends(df: DataFrame, width: str = "5 minutes", slide: str = "1 seco
     return topk_per_window(sliding_reduce(extract_hashtags(df), width, slide, "tag"), k, "tag")
 
 
-def topk_stream(counts: DataFrame, k: int = 5, key: str = "text") -> DataFrame:
-    """For complete output mode: the k largest counts overall, as of each trigger."""
-    return counts.orderBy(F.desc("cnt"), F.asc(key), F.asc("win_start")).limit(k)
-
-
 def stream_topk_sink(counts: DataFrame, k: int, path: str, checkpoint: str, key: str = "text") -> StreamingQuery:
-    """Per trigger: the k most frequent keys of the latest window, as parquet under batch_id=...
+    """Per trigger that changes a count: the k most frequent keys of the latest window, as parquet under batch_id=...
 
-    A trigger hands over the counts that changed only, so they are kept beside ``path`` and the window is ranked in
-    full from what all triggers so far have written. A replayed trigger overwrites itself.
+    A trigger hands over the counts that changed only, so those of the latest window are kept beside ``path``: every
+    trigger reads what the one before it left, in two folders that take turns. What is kept is one window's keys.
+    A replayed trigger overwrites itself; late rows do not bring an older window back.
     """
     kept = f"{path.rstrip('/')}-counts"
 
     def top(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{kept}/batch_id={batch_id}")  # one pass over the stateful query
-        spark = batch.sparkSession
-        newest = spark.read.parquet(f"{kept}/batch_id={batch_id}").agg(F.max("win_start").alias("w")).first()["w"]
-        known = spark.read.parquet(kept).filter((F.col("batch_id") <= batch_id) & (F.col("win_start") == F.lit(newest)))
-        full = known.groupBy("win_start", key).agg(F.max_by("cnt", "batch_id").alias("cnt"))
-        topk_per_window(full, k, key).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        read = batch.sparkSession.read.schema(batch.schema).parquet
+        batch.write.mode("overwrite").parquet(f"{kept}/changed")  # one pass over the stateful query
+        changed = read(f"{kept}/changed")
+        known = changed.unionByName(read(f"{kept}/{(batch_id - 1) % 2}")) if batch_id else changed
+        newest = known.agg(F.max("win_start").alias("win_start"))
+        window = known.join(F.broadcast(newest), "win_start").groupBy("win_start", "win_end", key).agg(F.max("cnt").alias("cnt"))
+        window.write.mode("overwrite").parquet(f"{kept}/{batch_id % 2}")  # counts of a window never fall
+        if not changed.isEmpty():
+            topk_per_window(read(f"{kept}/{batch_id % 2}"), k, key).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).foreachBatch(top).start())
 
 
+def stream_hashtag_trends(df: DataFrame, path: str, checkpoint: str, width: str = "5 minutes", slide: str = "1 second",
+                          k: int = 10, delay: str = "0 seconds") -> StreamingQuery:
+    """On a stream: per trigger the k most frequent hashtags of the latest window."""
+    return stream_topk_sink(sliding_counts(extract_hashtags(df), width, slide, "tag", delay), k, path, checkpoint, "tag")
+
+
 def stream_counts_sink(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Per trigger: the counts that changed, as parquet under batch_id=... A replayed batch overwrites itself."""
     def save(batch: DataFrame, batch_id: int) -> None:
