@@ -12,8 +12,8 @@ HOT_LINKS = 1 << 17  # links of one node after which its star is built in slices
 
 
 def _stored(df: DataFrame) -> DataFrame:
-    """Written to the shared folder and read again. A checkpoint would hand on what the planner knows of the columns,
-    which doubles with each renaming of u and v until planning a round takes minutes."""
+    """Written to the shared folder and read again. With a checkpoint rounds took ever longer to start, most likely since it hands on the constraints of the columns,
+    which grow with each renaming of u and v (inferred, not profiled)."""
     path = scratch_dir(df.sparkSession, "links")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
