@@ -5,24 +5,30 @@ before them. Orders 3 to 5 belong to a class; they back off to one bigram model
 rare expression speaks for neither class. A text is scored by the difference of the two log-likelihoods per byte,
 over the whole text and over its strongest stretches. A logistic curve makes a probability of it; it
 is fitted on rows of one fold with models that have not counted that fold.
+
+Every counted gram and context is a row of a Spark table. Texts are dealt into shards of some MB; the different grams of
+a shard are joined to the table, and what is found goes back to the shard, so no task holds the model.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from readloom.llm.common import sieve, sieved, text_of
+from readloom.operators.skew import HOT_ROWS, sliced_join, union_all
 from readloom.session import cut_lineage
 
 ORDER, SHARED = 5, 2
 DISCOUNT = 0.75
-# Cells per order (primes): the model keeps the most frequent gram of a cell, so its size is fixed. Its counts are of all grams.
-CELLS = {3: 131_071, 4: 262_139, 5: 524_287}
-CONTEXT_CELLS = {3: 65_521, 4: 131_071, 5: 262_139}
+SHARD_BYTES = 8 << 20       # text whose different grams are looked up together
 STRETCHES = (48, 256)       # bytes
 CALIBRATION_ROWS = 4000     # rows that the curve is fitted on at most
 _STEP = 1 << 21             # bytes handled at once
@@ -86,101 +92,152 @@ def _levels(counted: DataFrame) -> dict[int, DataFrame]:
     return levels
 
 
-def _cells(level: DataFrame, order: int):
-    """One row per cell: the most frequent gram with its counts and those of its context."""
-    context = level.groupBy(F.shiftright("key", 8).alias("h")).agg(
-        *[F.sum(c).alias(f"sum_{c}") for c in _COUNTS],
-        *[F.sum((F.col(c) > 0).cast("long")).alias(f"kinds_{c}") for c in _COUNTS])
-    full = level.withColumn("h", F.shiftright("key", 8)).join(context, "h")
-    columns = ["key", *_COUNTS, *[f"{x}_{c}" for x in ("sum", "kinds") for c in _COUNTS]]
-    best = F.max_by(F.struct(*columns), F.struct(F.col("t") + F.col("o"), "key"))
-    return full.groupBy((F.col("key") % CELLS[order]).alias("cell")).agg(best.alias("g")).select("g.*").toPandas()
-
-
-class Scorer:
-    """Log-likelihood ratio per byte, from tables of fixed size."""
-
-    def __init__(self, cells: dict, pairs, toxic: str, ordinary: str):
-        self.tables = {}
-        shared = self._shared(pairs, toxic, ordinary)
-        chances: dict[int, tuple] = {}
-        for order in range(SHARED + 1, ORDER + 1):
-            found = cells[order]
-            key = found["key"].to_numpy(np.int64)
-            lower = key & ((1 << 8 * (order - 1)) - 1)
-            own, weights = [], []
-            for side, c in enumerate((toxic, ordinary)):
-                count, total, kinds = (found[x].to_numpy(float) for x in (c, f"sum_{c}", f"kinds_{c}"))
-                backoff = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-                below = shared[lower] if order == SHARED + 1 else self._chance(chances, order - 1, lower, side, shared)
-                own.append(np.maximum(count - DISCOUNT, 0) / np.maximum(total, 1) + backoff * below)
-                weights.append(backoff)
-            keys, contexts = np.full(CELLS[order], -1, np.int64), np.full(CONTEXT_CELLS[order], -1, np.int64)
-            cell, place = key % CELLS[order], (key >> 8) % CONTEXT_CELLS[order]
-            keys[cell], contexts[place] = key, key >> 8
-            p, w = np.ones((2, len(keys))), np.ones((2, len(contexts)))
-            p[:, cell], w[:, place] = own, weights
-            chances[order] = (keys, p, contexts, w)
-            self.tables[order] = (keys, np.log(p[0] / p[1]).astype(np.float32),
-                                  contexts, np.log(w[0] / w[1]).astype(np.float32))
-
-    @staticmethod
-    def _shared(pairs, toxic: str, ordinary: str) -> np.ndarray:
-        """Chance of a byte after another, from the bigrams of both classes, smoothed down to all bytes alike."""
-        table = np.zeros((256, 256))
-        key = pairs["key"].to_numpy(np.int64)
-        table[key >> 8, key & 255] = np.maximum(pairs[toxic], pairs[ordinary])
-        single = (table > 0).sum(axis=0) + 1.0
-        single /= single.sum()
-        total, kinds = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
-        backoff = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-        return (np.maximum(table - DISCOUNT, 0) / np.maximum(total, 1) + backoff * single).ravel()
-
-    @classmethod
-    def _chance(cls, chances, order, key, side, shared):
-        if order == SHARED:
-            return shared[key]
-        keys, p, contexts, w = chances[order]
-        cell, place = key % len(keys), (key >> 8) % len(contexts)
-        below = cls._chance(chances, order - 1, key & ((1 << 8 * (order - 1)) - 1), side, shared)
-        weight = np.where(contexts[place] == key >> 8, w[side][place], 1.0)
-        return np.where(keys[cell] == key, p[side][cell], weight * below)
-
-    def ratios(self, data: np.ndarray) -> np.ndarray:
-        full, out = grams(data), 0.0
-        for order, (keys, ratio, contexts, weight) in self.tables.items():
-            key = full & ((1 << 8 * order) - 1) if order < ORDER else full
-            cell, place = key % len(keys), (key >> 8) % len(contexts)
-            below = np.where(contexts[place] == key >> 8, weight[place], np.float32(0)) + out
-            out = np.where(keys[cell] == key, ratio[cell], below)
-        return out
-
-    def features(self, text: str) -> list[float]:
-        """Mean ratio of the text and of its strongest stretches."""
+def _tagged(key, order: int):
+    """A gram as a key that no gram of another order has."""
+    return key + (order << 8 * ORDER)
+
+
+def _shared(pairs, toxic: str, ordinary: str) -> np.ndarray:
+    """Chance of a byte after another, from the bigrams of both classes, smoothed down to all bytes alike."""
+    table = np.zeros((256, 256))
+    key = pairs["key"].to_numpy(np.int64)
+    table[key >> 8, key & 255] = np.maximum(pairs[toxic], pairs[ordinary])
+    single = (table > 0).sum(axis=0) + 1.0
+    single /= single.sum()
+    total, kinds = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
+    backoff = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
+    return (np.maximum(table - DISCOUNT, 0) / np.maximum(total, 1) + backoff * single).ravel()
+
+
+def gram_table(counted: DataFrame) -> DataFrame:
+    """Every gram of orders 3 to 5 and every context: key (tagged by its length), log ratio of the classes as a gram
+    (``own``) and as a context to back off from (``weight``), null where it isn't one; ``early_`` without the fold for calibration.
+    """
+    spark, levels = counted.sparkSession, _levels(counted)
+    pairs = levels[SHARED].toPandas()
+    below = F.broadcast(spark.createDataFrame(pd.DataFrame(  # one row per pair of bytes
+        {"lower": np.arange(1 << 16), **{f"below_{c}": _shared(pairs, *own) for own in (_COUNTS[:2], _COUNTS[2:]) for c in own}})))
+    ratio = lambda x: [F.log(F.col(f"{x}_t") / F.col(f"{x}_o")), F.log(F.col(f"{x}_ct") / F.col(f"{x}_co"))]
+    none, parts = F.lit(None).cast("double"), []
+    for order in range(SHARED + 1, ORDER + 1):
+        context = Window.partitionBy("h")  # 256 rows at most
+        full = levels[order].withColumn("h", F.shiftright("key", 8)).withColumns(
+            {f"sum_{c}": F.sum(c).over(context) for c in _COUNTS}
+            | {f"kinds_{c}": F.sum((F.col(c) > 0).cast("long")).over(context) for c in _COUNTS})
+        full = full.withColumns({f"w_{c}": F.when(F.col(f"sum_{c}") > 0, DISCOUNT * F.col(f"kinds_{c}") / F.col(f"sum_{c}"))
+                                 .otherwise(1.0) for c in _COUNTS})
+        lower = F.col("key").bitwiseAND((1 << 8 * (order - 1)) - 1)
+        full = full.withColumn("lower", lower).join(below, "lower").withColumns({
+            f"p_{c}": F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.greatest(f"sum_{c}", F.lit(1))
+            + F.col(f"w_{c}") * F.col(f"below_{c}") for c in _COUNTS})
+        full = cut_lineage(full.select("key", "h", *[f"{x}_{c}" for x in "pw" for c in _COUNTS]))
+        below = full.select(F.col("key").alias("lower"), *[F.col(f"p_{c}").alias(f"below_{c}") for c in _COUNTS])
+        weights = full.groupBy("h").agg(*[F.first(f"w_{c}").alias(f"w_{c}") for c in _COUNTS])  # alike within a context
+        parts += [full.select(_tagged(F.col("key"), order), *ratio("p"), none, none).toDF(*_TABLE),
+                  weights.select(_tagged(F.col("h"), order - 1), none, none, *ratio("w")).toDF(*_TABLE)]
+    return cut_lineage(union_all(*parts).groupBy("key").agg(*[F.max(c).cast("float").alias(c) for c in _TABLE[1:]]))
+
+
+_TABLE = ("key", "own", "early_own", "weight", "early_weight")
+
+
+def _pieces(texts):
+    """Grams of texts in lists of about ``_STEP``, with the number of the text; long texts come in several pieces."""
+    waiting, size = [], 0
+    for k, text in enumerate(texts):
         data = _bytes(text)
-        running = [np.zeros(1)]
         for at in range(0, len(data) - ORDER + 1, _STEP):
-            part = self.ratios(data[at:at + _STEP + ORDER - 1]).astype(float)
-            running.append(running[-1][-1] + np.cumsum(part))
-        total = np.concatenate(running)
-        n = len(total) - 1
-        out = [float(total[-1] / max(n, 1))]
-        for size in STRETCHES:
-            out.append(float((total[size:] - total[:-size]).max() / size) if n > size else float(total[-1] / size))
-        return out
+            waiting.append((k, grams(data[at:at + _STEP + ORDER - 1])))
+            size += len(waiting[-1][1])
+            if size >= _STEP:
+                yield waiting
+                waiting, size = [], 0
+    if waiting:
+        yield waiting
+
+
+def _orders(full: np.ndarray):
+    """Per order, lowest first: the last bytes of every gram and their context, as keys of the table."""
+    for order in range(SHARED + 1, ORDER + 1):
+        key = full & ((1 << 8 * order) - 1)
+        yield _tagged(key, order), _tagged(key >> 8, order - 1)
+
+
+def _asked(_: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The keys that the texts of a shard need, each once."""
+    held = np.zeros(0, np.int64)
+    shard = None
+    for batch in batches:
+        shard = batch.column("shard")[0].as_py()
+        for piece in _pieces(x.as_py() for x in batch.column("text")):
+            found = pd.unique(np.concatenate([x for _, x in piece]))
+            held = pd.unique(np.concatenate([held, found]))
+    keys = pd.unique(np.concatenate([x for pair in _orders(held) for x in pair]))
+    for at in range(0, len(keys), 1 << 16):
+        own = keys[at:at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), shard, np.int64)), pa.array(own)], ["shard", "key"])
+
+
+class Ratios:
+    """Log-likelihood ratio per byte, from the rows of the table that a shard needs."""
+
+    def __init__(self, found: pa.Table):
+        rows = found.num_rows  # a shard without any has no columns either
+        column = lambda c, kind: found.column(c).to_numpy().astype(kind) if rows else np.zeros(0, kind)
+        self.index = pd.Index(column("key", np.int64))
+        self.own, self.weight = (np.append(column(c, float), np.nan) for c in ("own", "weight"))
+
+    def __call__(self, full: np.ndarray) -> np.ndarray:
+        places, different = pd.factorize(full)
+        out = np.zeros(len(different))
+        for key, context in _orders(different):
+            own, weight = self.own[self.index.get_indexer(key)], self.weight[self.index.get_indexer(context)]
+            out = np.where(np.isnan(own), np.where(np.isnan(weight), 0, weight) + out, own)
+        return out[places]
+
+    def features(self, texts: list[str]) -> list[list[float]]:
+        """Mean ratio of every text and of its strongest stretches."""
+        out, own, last = [], [], 0
+        for piece in _pieces(texts):
+            ratios = self(np.concatenate([x for _, x in piece]))
+            ends = np.cumsum([len(x) for _, x in piece])
+            for (k, x), end in zip(piece, ends):
+                if k != last:
+                    out.append(_strongest(own))
+                    own, last = [], k
+                own.append(ratios[end - len(x):end])
+        return [*out, _strongest(own)] if own else out
+
+
+def _strongest(parts: list[np.ndarray]) -> list[float]:
+    total = np.concatenate([np.zeros(1), np.cumsum(np.concatenate(parts))])
+    n = len(total) - 1
+    out = [float(total[-1] / n)]
+    for size in STRETCHES:
+        out.append(float((total[size:] - total[:-size]).max() / size) if n > size else float(total[-1] / size))
+    return out
 
 
-def _features(rows: DataFrame, scorer, keep: list[str]) -> DataFrame:
-    sent = rows.sparkSession.sparkContext.broadcast(scorer)
+def _features(rows: DataFrame, found: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns of ``keep`` and the features per row; ``found`` has key, own and weight.
 
-    def run(batches):
-        for batch in batches:
-            found = [sent.value.features(x.as_py()) for x in batch.column(len(keep))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(found, pa.list_(pa.float64()))],
-                                             [*keep, "features"])
+    A gram has a row per shard that needs it, so shards bound how often it is asked for.
+    """
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = max(-(-size // SHARD_BYTES), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.select(*keep, "text", F.pmod(F.xxhash64(*keep, "text"), F.lit(shards)).alias("shard"))
+    asked = dealt.groupBy("shard").applyInArrow(_asked, "shard long, key long")
+    answered = sliced_join(asked, found, ["key"]) if shards > HOT_ROWS else asked.join(found, "key")
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return schema.empty_table()
+        own = Ratios(answers).features(texts.column("text").to_pylist())
+        return pa.table([*[texts.column(c) for c in keep], pa.array(own, pa.list_(pa.float64()))], [*keep, "features"])
 
     kept = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.select(*keep, "text").mapInArrow(run, f"{kept}, features array<double>")
+    schema = to_arrow_schema(rows.select(*keep, F.lit(None).cast("array<double>").alias("features")).schema)
+    return dealt.groupBy("shard").cogroup(answered.groupBy("shard")).applyInArrow(run, f"{kept}, features array<double>")
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -196,8 +253,8 @@ def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, scorer: Scorer, curve: np.ndarray):
-        self.scorer, self.curve = scorer, curve
+    def __init__(self, table: DataFrame, curve: np.ndarray):
+        self.table, self.curve = table, curve
 
 
 def train(docs: DataFrame, labels: DataFrame, calibration, id_col: str = "doc_id", text_col: str = "text",
@@ -214,10 +271,9 @@ def train(docs: DataFrame, labels: DataFrame, calibration, id_col: str = "doc_id
     rows = sieved(rows, sieve(known, "doc_id"), "doc_id").filter("__hit").drop("__hit")
     labelled = rows.join(known, "doc_id").withColumn("calibration", calibration)
     counted = cut_lineage(count_grams(labelled))
-    levels = _levels(counted)
-    cells = {order: _cells(levels[order], order) for order in range(SHARED + 1, ORDER + 1)}
-    pairs = levels[SHARED].toPandas()
-    final, early = (Scorer(cells, pairs, t, o) for t, o in (("t", "o"), ("ct", "co")))
+    known_grams = gram_table(counted)
+    early = known_grams.select("key", F.col("early_own").alias("own"), F.col("early_weight").alias("weight"))
+    final = known_grams.select("key", "own", "weight")
     share = known.filter(calibration).agg(F.count(F.lit(1))).first()[0]
     pick = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1 << 20)) * F.lit(share) < F.lit(CALIBRATION_ROWS << 20)
     sample = _features(labelled.filter(F.col("calibration") & pick), early, ["doc_id", "toxic"]).orderBy("doc_id").collect()
@@ -238,5 +294,5 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     line = F.lit(float(model.curve[-1]))
     for k, weight in enumerate(model.curve[:-1]):
         line = line + F.lit(float(weight)) * F.element_at("features", k + 1)
-    return (_features(rows, model.scorer, ["doc_id"]).withColumn("score", 1 / (1 + F.exp(-line)))
+    return (_features(rows, model.table, ["doc_id"]).withColumn("score", 1 / (1 + F.exp(-line)))
             .select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))

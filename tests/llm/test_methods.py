@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 from helpers import PASSAGE, plain  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from readloom.llm import bpe, components, decontam, exact_dedup, html, pii, queries, sharding, simhash, suffix_dedup  # noqa: E402
+from readloom.llm import bpe, components, decontam, exact_dedup, html, pii, queries, sharding, simhash, suffix_dedup, toxicity  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -267,6 +267,59 @@ def test_toxic_texts_held_out(spark):
     assert area >= 0.85 and got.score.between(0, 1).all() and (got.predicted == (got.score >= 0.5)).all()
 
 
+def test_every_gram_counts_by_brute_force(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(3000)) for _ in range(120)]
+    marks = [int(i % 3 == 0) for i in range(120)]
+    docs, labels = plain(spark, texts), spark.createDataFrame(list(enumerate(marks)), "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, F.col("doc_id") % 2 == 0)
+    model.curve = np.array([1.0, 0.5, 0.2, 0.0])  # one that leaves the digits of the features
+    asked = [t[:1500] for t in texts[:10]] + ["never seen before 12345", "", texts[0] + texts[1]]
+    got = {r.doc_id: r.score for r in toxicity.score(plain(spark, asked), model).collect()}
+
+    padded = lambda t: b"    " + t.lower().encode() + b" "
+    levels = {5: {}}
+    for text, mark in zip(texts, marks):
+        data = padded(text)
+        for i in range(len(data) - 4):
+            levels[5].setdefault(data[i:i + 5], [0, 0])[1 - mark] += 1
+    for order in (4, 3, 2):
+        levels[order] = {}
+        for gram, counts in levels[order + 1].items():
+            own = levels[order].setdefault(gram[1:], [0, 0])
+            for c in (0, 1):
+                own[c] += counts[c] > 0
+    pairs = {g: max(c) for g, c in levels[2].items()}
+    kinds, totals, seen = Counter(g[1] for g in pairs), Counter(), Counter(g[0] for g in pairs)
+    for gram, count in pairs.items():
+        totals[gram[0]] += count
+    contexts = defaultdict(lambda: [0, 0, 0, 0])
+    for order in (3, 4, 5):
+        for gram, counts in levels[order].items():
+            for c in (0, 1):
+                contexts[gram[:-1]][c] += counts[c]
+                contexts[gram[:-1]][2 + c] += counts[c] > 0
+
+    def chance(gram, c):
+        if len(gram) == 2:
+            single = (kinds[gram[1]] + 1) / (len(pairs) + 256)
+            total = totals[gram[0]]
+            return (max(pairs.get(gram, 0) - 0.75, 0) + 0.75 * seen[gram[0]] * single) / total if total else single
+        below, held = chance(gram[1:], c), contexts.get(gram[:-1])
+        if not held or not held[c]:
+            return below
+        count = levels[len(gram)].get(gram, [0, 0])[c]
+        return max(count - 0.75, 0) / held[c] + 0.75 * held[2 + c] / held[c] * below
+
+    for k, text in enumerate(asked):
+        data = padded(text)
+        own = [np.log(chance(data[i:i + 5], 0) / chance(data[i:i + 5], 1)) for i in range(len(data) - 4)]
+        total, n = np.concatenate([[0], np.cumsum(own)]), len(own)
+        features = [total[-1] / n] + [(total[w:] - total[:-w]).max() / w if n > w else total[-1] / w for w in (48, 256)]
+        line = float(np.dot(model.curve[:-1], features) + model.curve[-1])
+        assert abs(np.log(got[k] / (1 - got[k])) - line) < 1e-5 * max(1, abs(line))
+
+
 # 10
 @pytest.mark.parametrize("n", [1, 2, 24, 25, 1000, 1009])
 def test_shuffle_is_a_permutation(spark, n):
