@@ -4,24 +4,23 @@ Base spans are the matches of four patterns. Every pattern is written so that it
 characters and never backtracks over a run, so its cost is linear in the text. Positions come from the lengths of the gaps
 and matches.
 
-The words around a match are weighed by what they tell about it (information-theoretic sanitisation): with p estimated
-by the share of documents, PMI(t, e) = log2(p(t, e) / (p(t) p(e))) and IC(e) = -log2 p(e), the word t reveals the part
-PMI / IC of the entity e. A word seen beside the same entity in at least ``SUPPORT`` different surroundings is
-generalised from ``DISCLOSURE`` on, and removed from ``REMOVAL`` on. Everything is a DataFrame operation.
+The words of a text with a match are weighed by what they tell about it (information-theoretic sanitisation): with p
+estimated by the share of documents, PMI(t, e) = log2(p(t, e) / (p(t) p(e))) and IC(e) = -log2 p(e), the word t reveals
+the part PMI / IC of the entity e. Words are counted over whole texts. Where the texts that hold both show the entity in
+at least ``SUPPORT`` different surroundings, every occurrence of the word in every text with the entity is generalised
+from ``DISCLOSURE`` on, and removed from ``REMOVAL`` on. Everything is a DataFrame operation.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.llm.common import sieve, sieved, text_of
 from readloom.operators.skew import sliced_join
-from readloom.session import cut_lineage
+from readloom.session import cut_lineage, scratch_dir
 
-SURROUNDING = 80     # characters before and after a match whose words are weighed
+SURROUNDING = 80     # characters before and after a match that tell one surrounding from another
 SUPPORT = 3
 DISCLOSURE, REMOVAL = 0.6, 0.9
 HOT_COPIES = 1 << 17
@@ -89,50 +88,72 @@ def _written(kind: str, spans: Column) -> Column:
     return F.transform(spans, lambda s: F.concat_ws(":", F.lit(kind), s["start"].cast("string"), s["end"].cast("string")))
 
 
-def _beside(base: DataFrame) -> DataFrame:
-    """Words beside entities: sha, copies, entity, around (hash of the surroundings), term, start, end; one text once."""
+def _entities() -> Column:
+    """The different entities of a row with the hashes of their different surroundings."""
     one = lambda k: F.transform(F.col(k), lambda s: F.struct(
-        F.concat(F.lit(f"{k}:"), F.lower(s["word"])).alias("entity"), s["start"].alias("from"), s["end"].alias("to"),
-        F.substring(F.col("text"), F.greatest(s["start"] - SURROUNDING, F.lit(0)) + 1,
-                    F.least(s["start"], F.lit(SURROUNDING))).alias("left"),
-        F.substring(F.col("text"), s["end"] + 1, F.lit(SURROUNDING)).alias("right")))
-    held = cut_lineage(base.filter(reduce(Column.__or__, [F.size(k) > 0 for k in KINDS]))
-                       .select("sha", F.concat(*[one(k) for k in KINDS]).alias("entities")))
-    texts = held.groupBy("sha").agg(F.count(F.lit(1)).alias("copies"), F.first("entities").alias("entities"))
-    each = texts.select("sha", "copies", F.explode("entities").alias("x")).select(
-        "sha", "copies", "x.entity", F.xxhash64("x.left", "x.right").alias("around"), F.explode(F.array(
-            F.struct(F.col("x.left").alias("side"), (F.col("x.from") - F.length("x.left")).alias("shift")),
-            F.struct(F.col("x.right").alias("side"), F.col("x.to").alias("shift")))).alias("y"))
-    return (each.select("sha", "copies", "entity", "around", F.col("y.shift").alias("shift"),
-                        F.explode(_matches(F.col("y.side"), _WORD)).alias("w"))
-            .select("sha", "copies", "entity", "around", F.lower("w.word").alias("term"),
-                    (F.col("w.start") + F.col("shift")).alias("start"), (F.col("w.end") + F.col("shift")).alias("end")))
-
-
-def disclosing_terms(docs: DataFrame, beside: DataFrame) -> DataFrame:
-    """entity, term and disclosure (PMI over IC) of the pairs that reach ``DISCLOSURE`` with ``SUPPORT`` surroundings.
-
-    Documents are counted with their copies; surroundings are counted once each, so that copies of one
-    passage give no support. Counts of terms cover all documents.
+        F.concat(F.lit(f"{k}:"), F.lower(s["word"])).alias("entity"),
+        F.xxhash64(F.substring(F.col("text"), F.greatest(s["start"] - SURROUNDING, F.lit(0)) + 1,
+                               F.least(s["start"], F.lit(SURROUNDING))),
+                   F.substring(F.col("text"), s["end"] + 1, F.lit(SURROUNDING))).alias("around")))
+    return F.array_distinct(F.concat(*[one(k) for k in KINDS]))
+
+
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), F.lower))
+
+
+def _supported(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """copies summed over rows, for keys with ``SUPPORT`` different surroundings. ``arounds`` needs no more than that of a row."""
+    each = rows.select("*", F.posexplode("arounds").alias("__at", "__around"))
+    return (each.groupBy(*keys).agg(F.sum(F.when(F.col("__at") == 0, F.col("copies"))).alias("both"),
+                                    F.count_distinct("__around").alias("support"), *more)
+            .filter(F.col("support") >= SUPPORT).drop("support"))
+
+
+def disclosing_words(docs: DataFrame, base: DataFrame) -> DataFrame:
+    """sha, start, end, term and action of every occurrence of a word that discloses an entity of its text.
+
+    ``base`` has sha and entities per row of ``docs``. Documents are counted with their copies; surroundings are counted
+    once each, so that copies of one passage give no support. Counts of words cover all documents. As a pair is never more
+    frequent than its entity, a word that is too frequent for ``DISCLOSURE`` is left out before pairs are made.
     """
-    texts = beside.groupBy("entity", "term", "sha").agg(F.first("copies").alias("copies"), F.min("around").alias("around"))
-    pairs = texts.groupBy("entity", "term").agg(
-        F.sum("copies").alias("both"), F.count_distinct("around").alias("support")).filter(F.col("support") >= SUPPORT)
-    pairs = cut_lineage(pairs)
-    entities = beside.groupBy("entity", "sha").agg(F.first("copies").alias("copies")).groupBy("entity").agg(
-        F.sum("copies").alias("with_entity"))
-    if pairs.isEmpty():
-        return pairs.select("entity", "term", F.lit(0.0).alias("disclosure"))
-    terms = pairs.select("term").distinct()
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)))).alias("term"))
-    counted = (sieved(words, sieve(terms, "term"), "term").filter("__hit")
-               .groupBy("term").agg(F.count(F.lit(1)).alias("with_term")))
-    rows = F.lit(docs.count())
-    weighed = pairs.join(entities, "entity").join(counted, "term")
-    pmi = F.log2(F.col("both") * rows / (F.col("with_term") * F.col("with_entity")))
-    content = F.log2(rows / F.col("with_entity"))
-    return (weighed.withColumn("disclosure", F.when(content > 0, pmi / content).otherwise(0.0))
-            .filter(F.col("disclosure") >= DISCLOSURE).select("entity", "term", "disclosure"))
+    spark, total = docs.sparkSession, docs.count()
+    empty = spark.createDataFrame([], "sha string, start int, end int, term string, action string")
+    texts = base.filter(F.size("entities") > 0).groupBy("sha").agg(
+        F.count(F.lit(1)).alias("copies"), F.first("entities").alias("entities"))
+    each = cut_lineage(texts.select("sha", "copies", F.explode("entities").alias("x")).groupBy("sha", "copies", "x.entity")
+                       .agg(F.slice(F.array_sort(F.collect_set("x.around")), 1, SUPPORT).alias("arounds")))
+    entities = _supported(each, ["entity"]).withColumnRenamed("both", "with_entity").filter(F.col("with_entity") < total)
+    most = F.col("with_entity") * F.pow(total / F.col("with_entity"), F.lit(1 - DISCLOSURE)) * (1 + 1e-9)
+    held = cut_lineage(sliced_join(each, entities.withColumn("most", most), ["entity"]))
+    if held.isEmpty():
+        return empty
+    of_text = held.groupBy("sha", "copies").agg(F.collect_list(F.struct("entity", "arounds", "with_entity", "most")).alias("entities"))
+    ids, path = held.select("sha").distinct(), scratch_dir(spark, "pii-texts")
+    (sieved(docs.select("text").withColumn("sha", F.sha2("text", 256)), sieve(ids, "sha"), "sha").filter("__hit")
+     .groupBy("sha").agg(F.first("text").alias("text")).join(ids, "sha").write.parquet(path))
+    texts = spark.read.parquet(path)
+    words = texts.select("sha", F.explode(_terms(F.col("text"))).alias("term"))
+    counted = (sieved(docs.select(F.explode(_terms(F.col("text"))).alias("term")), sieve(words, "term"), "term")
+               .filter("__hit").groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+               .filter(F.col("with_term") <= held.agg(F.max("most")).first()[0]))
+    fits = F.filter("entities", lambda e: F.col("with_term") <= e["most"])
+    seen = cut_lineage(sliced_join(words, counted, ["term"]).join(of_text, "sha")
+                       .select("sha", "copies", "term", "with_term", F.explode(fits).alias("x"))
+                       .select("sha", "copies", "term", "with_term", "x.entity", "x.arounds", "x.with_entity"))
+    pairs = _supported(seen, ["entity", "term"], F.max("with_term").alias("with_term"), F.max("with_entity").alias("with_entity"))
+    pmi = F.log2(F.col("both") * F.lit(total) / (F.col("with_term") * F.col("with_entity")))
+    flagged = cut_lineage(
+        pairs.withColumn("disclosure", pmi / F.log2(F.lit(total) / F.col("with_entity"))).filter(F.col("disclosure") >= DISCLOSURE)
+        .select("entity", "term", F.when(F.col("disclosure") >= REMOVAL, "remove").otherwise("generalise").alias("action")))
+    marks = cut_lineage(sliced_join(seen.select("sha", "entity", "term"), flagged, ["entity", "term"])
+                        .groupBy("sha", "term").agg(F.max("action").alias("action")))
+    found = F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))
+    pieces = F.arrays_zip(F.slice(F.split("text", _WORD, -1), F.lit(1), F.size(found)).alias("gap"), found.alias("word"))
+    end = F.sum(F.length("x.gap") + F.length("x.word")).over(Window.partitionBy("sha").orderBy("at")).cast("int")
+    placed = (texts.join(marks.select("sha").distinct(), "sha").select("sha", F.posexplode(pieces).alias("at", "x"))
+              .select("sha", F.lower("x.word").alias("term"), (end - F.length("x.word")).alias("start"), end.alias("end")))
+    return placed.join(marks, ["sha", "term"]).select("sha", "start", "end", "term", "action")
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,15 +165,11 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     found = rows.withColumns({k: base_spans(F.col("text"), k) for k in KINDS}).withColumn("sha", F.sha2("text", 256))
-    base = cut_lineage(found.select("doc_id", "sha", *KINDS))
-    beside = cut_lineage(_beside(found))
-    flagged = disclosing_terms(rows, beside).withColumn(
-        "action", F.when(F.col("disclosure") >= REMOVAL, "remove").otherwise("generalise"))
+    base = cut_lineage(found.select("doc_id", "sha", *KINDS, _entities().alias("entities")))
     spans = cut_lineage(
-        beside.join(flagged, ["entity", "term"]).groupBy("sha", "start", "end", "term")
-        .agg(F.max("action").alias("action")).groupBy("sha")
+        disclosing_words(rows, base).groupBy("sha")
         .agg(F.array_sort(F.collect_list(F.struct("start", "end", F.col("term").alias("word"), "action"))).alias("term")))
-    out = sliced_join(base, spans, ["sha"], "left", HOT_COPIES)
+    out = sliced_join(base.drop("entities"), spans, ["sha"], "left", HOT_COPIES)
     covered = F.concat(*KINDS)
     clear = F.filter("term", lambda t: ~F.exists(covered, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     none = F.array().cast("array<struct<start:int,end:int,word:string,action:string>>")

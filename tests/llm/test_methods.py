@@ -227,6 +227,21 @@ def test_words_that_give_an_entity_away(spark):
     assert clean and not any("zanzibar" in x.lower() or "joe@" in x for x in clean) and any("[email]" in x for x in clean)
 
 
+def test_words_anywhere_in_the_text(spark):
+    far = "plain words go on and on here " * 30
+    told = [f"Zanzibar {far} number{i} tells joe@corp.org more{i} {far} then Zanzibar's end" for i in range(4)]
+    twice = ["first ann@corp.net is here, " + far + "Quixote, then ann@corp.net is there; " + far + "last, ann@corp.net was gone"]
+    other = [f"{far} tells of number{i} and more{i} is here then there, last was gone first, end" for i in range(60)]
+    texts = told + twice + other
+    spans = {r.doc_id: r.spans.split(",") for r in pii.report(plain(spark, texts)).collect()}
+    for d, word in [*((i, "Zanzibar") for i in range(4)), (4, "Quixote")]:
+        assert {f"term:{m.start()}:{m.end()}" for m in re.finditer(word, texts[d])} <= set(spans[d])
+    marked = {texts[d][int(a):int(b)] for d in spans for k, a, b in (x.split(":") for x in spans[d] if x) if k == "term"}
+    assert marked == {"Zanzibar", "Quixote"}  # whole words only
+    assert not any("term" in x for d in range(5, 65) for x in spans[d])
+    assert not any("zanzibar" in r.sanitised.lower() for r in pii.sanitise(plain(spark, texts)).collect())
+
+
 # 8
 def test_windows_by_brute_force(spark, docs):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
