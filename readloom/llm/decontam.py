@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.llm.common import text_of, without_ids
+from readloom.operators.skew import union_all
 
 WINDOW = 13
 SHARD_BYTES = 8 << 20    # text of one index
@@ -167,37 +168,37 @@ class Windows:
         return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str):
-    """Benchmark items in lists of about BLOCK_BYTES, read one block at a time."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[DataFrame]:
+    """Benchmark items in tables of about BLOCK_BYTES."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), text_of(text_col).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-size // BLOCK_BYTES) or 1
-    for k in range(count):
-        part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k)
-        yield [(r.item, r.text) for r in part.distinct().collect()]
+    return [items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k).distinct() for k in range(count)]
 
 
-def _search(docs: DataFrame, items: list[tuple[str, str]], size: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(items)
+def _search(docs: DataFrame, block: DataFrame, size: int) -> DataFrame:
+    """The columns of ``docs`` but its last, the text, with the verdict of one block; blocks are read one at a time."""
+    sent = docs.sparkSession.sparkContext.broadcast([(r.item, r.text) for r in block.collect()])
+    keep = docs.columns[:-1]
 
     def run(batches):
         windows = Windows([(item or "", text) for item, text in sent.value], size)
         for batch in batches:
-            sizes = pc.binary_length(batch.column(1)).to_numpy()
+            sizes = pc.binary_length(batch.column(len(keep))).to_numpy()
             shard = np.cumsum(sizes) // SHARD_BYTES
             for own in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(shard)) + 1):
                 rows = batch.slice(own[0], len(own)) if len(own) else batch
-                found = windows.hits(rows.column(1).to_pylist())
+                found = windows.hits(rows.column(len(keep)).to_pylist())
                 yield pa.RecordBatch.from_arrays([
-                    rows.column(0), pa.array([x[0] for x in found], pa.int64()),
+                    *rows.columns[:-1], pa.array([x[0] for x in found], pa.int64()),
                     pa.array([[{"start": a, "end": b} for a, b in x[1]] for x in found], _SPANS),
-                    pa.array([x[2] for x in found], pa.list_(pa.string()))], ["doc_id", "n_words", "spans", "items"])
+                    pa.array([x[2] for x in found], pa.list_(pa.string()))], [*keep, "n_words", "spans", "items"])
 
-    key = docs.schema["doc_id"].dataType
-    return docs.mapInArrow(run, f"doc_id {key.simpleString()}, n_words bigint, spans array<struct<start:bigint,end:bigint>>, "
-                                "items array<string>")
+    kept = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.mapInArrow(run, f"{kept}, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>")
 
 
+_COPIES = 1 << 16
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -209,14 +210,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     null item id is the empty string. Repeated documents are judged each. An empty benchmark hits nothing.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    parts = [_search(rows, items, window) for items in _blocks(benchmark, item_col, item_text_col)]
-    out = parts[0]
-    if len(parts) > 1:  # a benchmark of many blocks: join the verdicts of each document
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        out = (out.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
-                                         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-               .withColumn("spans", merged_spans(F.col("spans"))))
+    blocks = _blocks(benchmark, item_col, item_text_col)
+    if len(blocks) == 1:
+        out = _search(rows, blocks[0], window)
+    else:  # join the verdicts of each text; rows alike in id and text have the same, and there are as many as before
+        keyed, key = rows.select("doc_id", F.sha2("text", 256).alias("sha"), "text"), ["doc_id", "sha"]
+        parts = [_search(keyed, block, window).groupBy(*key).agg(
+            F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n_words", "spans", "items")]) for block in blocks]
+        out = (union_all(*parts).groupBy(*key).agg(
+            F.max("copies").alias("copies"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+            .withColumn("spans", merged_spans(F.col("spans")))
+            .withColumn("from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"), F.lit(_COPIES))))  # arrays of bounded size
+            .withColumn("copy", F.explode(F.sequence("from", F.least(F.col("from") + _COPIES - 1, "copies"))))
+            .select("doc_id", "n_words", "spans", "items"))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return out.withColumn("n_hit", hit)
 

@@ -16,7 +16,7 @@ import xxhash
 
 sys.path.insert(0, os.path.dirname(__file__))
 
-from helpers import PASSAGE, plain  # noqa: E402
+from helpers import PASSAGE, edge_docs, plain  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from readloom.llm import bpe, components, decontam, exact_dedup, html, pii, queries, sharding, simhash, suffix_dedup, toxicity  # noqa: E402
@@ -273,6 +273,17 @@ def test_benchmark_in_blocks(spark, docs, monkeypatch):
     assert sorted(decontam.verdicts(docs, bench).collect()) == whole
 
 
+def test_benchmark_in_blocks_with_repeated_ids(spark, monkeypatch):
+    told = [(1, PASSAGE), (1, "clean"), (1, PASSAGE + " a b c"), (20, PASSAGE), (20, PASSAGE), (None, PASSAGE), (None, "a b c"), (None, None)]
+    docs = edge_docs(spark).select("doc_id", "text").unionByName(spark.createDataFrame(told, "doc_id long, text string"))
+    bench = spark.createDataFrame([("p", PASSAGE), ("q", "a b c")] + [(f"f{i}", f"filler{i} " * 20) for i in range(20)],
+                                  "item_id string, text string")
+    whole = Counter(map(tuple, decontam.verdicts(docs, bench).collect()))
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 1000)
+    assert Counter(map(tuple, decontam.verdicts(docs, bench).collect())) == whole
+    assert sum(whole.values()) == docs.count()
+
+
 # 9
 def test_toxic_texts_held_out(spark):
     sf = "/root/testdata/sf0.01"
