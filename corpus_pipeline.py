@@ -8,15 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from readloom.llm import bpe, decontam, exact_dedup, langid, simhash
-from readloom.llm.common import fold_of, table, without_ids
+from readloom.llm.common import fold_of, table, without_rows
 from readloom.session import scratch_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told (``und``: no letters, or nothing to learn from but no text) go."""
     model = langid.train(docs.filter(fold_of("doc_id", 3) != 1))
-    rejected = langid.predict(docs, model).filter(~langid.accepted())
-    return without_ids(docs, rejected.select("doc_id"))
+    return without_rows(docs, lambda rows: langid.predict(rows, model).filter(~langid.accepted()))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

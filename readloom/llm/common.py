@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +71,19 @@ def without_ids(docs: DataFrame, dropped: DataFrame, name: str = "doc_id") -> Da
     suspects = marked.filter(flag).drop(flag)
     return (marked.filter(~F.col(flag)).drop(flag)
             .unionByName(suspects.join(ids, F.col(name) == F.col(own), "left_anti")))
+
+
+def row_key(ident: Column, digest: Column) -> Column:
+    """A key of the rows alike in id and text; it is never null and sorts by id, null ids last."""
+    return F.struct(ident.isNull().alias("none"), ident.alias("id"), digest.alias("digest"))
+
+
+def without_rows(docs: DataFrame, rejected: Callable[[DataFrame], DataFrame], name: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the rows that ``rejected`` picks from doc_id and text, where doc_id is the key of a row.
+
+    Rows that repeat an id or have none are judged by their own text.
+    """
+    key = fresh(docs, "__key")
+    keyed = docs.withColumn(key, row_key(F.col(name), F.sha2(text_of(text), 256)))
+    dropped = rejected(keyed.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
+    return without_ids(keyed, dropped.select(F.col("doc_id").alias(key)), key).drop(key)

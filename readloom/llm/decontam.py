@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import text_of, without_ids
+from readloom.llm.common import text_of, without_rows
 from readloom.operators.skew import union_all
 
 WINDOW = 13
@@ -248,4 +248,4 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents, all columns as they were."""
-    return without_ids(docs, verdicts(docs, benchmark).filter("contaminated").select("doc_id"))
+    return without_rows(docs, lambda rows: verdicts(rows, benchmark).filter("contaminated"))

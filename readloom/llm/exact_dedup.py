@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import sieve, sieved, text_of, without_ids
+from readloom.llm.common import fresh, row_key, sieve, sieved, text_of, without_ids
 from readloom.operators.skew import sliced_join
 from readloom.session import cut_lineage
 
@@ -146,6 +146,17 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group of equal texts, all columns as they were."""
-    verdict = exact_duplicates(docs, id_col, text_col)
-    return without_ids(docs, verdict.filter(~F.col("kept")).select(F.col("doc_id").alias(id_col)), id_col)
+    """``docs`` with one document of each group of equal texts, all columns as they were.
+
+    Rows that repeat an id or have none are judged by their own text; of rows alike in id and text one stays.
+    """
+    own, key = docs.columns, fresh(docs, "__key")
+    verdict = cut_lineage(exact_duplicates(docs, id_col, text_col).filter("group_size > 1")
+                          .select(row_key(F.col("doc_id"), F.col("text_sha256")).alias(key), "kept"))
+    alike = verdict.filter("kept").groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key)
+    keyed = docs.withColumn(key, row_key(F.col(id_col), F.sha2(normalised(F.col(text_col)), 256)))
+    flag = fresh(keyed, "__hit")
+    one = (sieved(keyed, sieve(alike, key), key, flag).filter(flag).join(alike, key, "left_semi").groupBy(key)
+           .agg(F.min_by(F.struct(*own), F.xxhash64(*own)).alias("row")).select("row.*"))
+    gone = verdict.filter(~F.col("kept")).select(key).unionByName(alike)
+    return without_ids(keyed, gone, key).drop(key).unionByName(one)

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import sieve, sieved, text_of, without_ids
+from readloom.llm.common import sieve, sieved, text_of, without_rows
 from readloom.llm.components import components
 from readloom.operators.skew import sliced_join
 from readloom.session import cut_lineage
@@ -165,5 +165,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BI
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with the document of smallest id of each component, all columns as they were."""
-    return without_ids(docs, near_duplicates(docs, size, max_bits).filter(~F.col("kept")).select("doc_id"))
+    """``docs`` with the document of smallest id of each component, all columns as they were; null ids come last.
+
+    Of several texts with that id one stays.
+    """
+    return without_rows(docs, lambda rows: near_duplicates(rows, size, max_bits).filter(~F.col("kept")))

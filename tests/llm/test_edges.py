@@ -89,6 +89,27 @@ def test_stages_on_difficult_rows(spark, stage):
     assert run(spark, no_docs(spark), SF).collect() == []
 
 
+def test_stages_judge_rows_by_their_own_text(spark):
+    """Null and repeated ids: a row goes for its own verdict, not for that of another row with its id."""
+    passage = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    other = "a stone bridge of the old town stands where two rivers meet below the hill"
+    table = [(None, "..."), (None, "fine words"), (7, "!"), (7, "letters"), (None, passage), (8, passage), (8, other),
+             (9, other), (9, other), (None, other)]
+    docs = spark.createDataFrame([(*r, "en") for r in table], "doc_id long, text string, lang string")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def left(stage, rows=docs):
+        return Counter((r.doc_id, r.text) for r in stages[stage](spark, rows, SF).collect())
+
+    assert left("language_id") == Counter(table[1:2] + table[3:])
+    assert left("decontamination") == Counter(t for t in table if t[1] != passage)
+    assert left("exact_dedup") == Counter([*table[:4], (8, passage), (8, other)])
+    twins = docs.filter("doc_id = 9 or (doc_id is null and text = '...')")
+    assert left("exact_dedup", twins.unionByName(twins)) == Counter([(9, other), (None, "...")])
+    assert left("simhash_near_dedup", docs.filter("length(text) > 3").dropDuplicates()) == Counter(
+        [(None, "fine words"), (7, "letters"), (8, passage), (8, other)])
+
+
 def test_pages(spark):
     pages = spark.createDataFrame(
         [(1, "u", None), (2, None, ""), (3, "u", "<p>Just one paragraph, with a comma, and a stop."), (3, "u", "<div" * 5000),
