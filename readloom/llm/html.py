@@ -293,10 +293,13 @@ def labelled_layouts() -> list[str]:
 
 
 def train(pages: DataFrame, bound: int = SAMPLE, html_col: str = "html") -> Model:
-    """A model from the layouts and about ``bound`` corpus pages at most, chosen by a hash of their text."""
+    """A model from the layouts and ``bound`` different corpus pages at most, those with the lowest hashes of their text."""
     rows = pages.select(F.col(html_col).alias("html")).filter("html is not null")
-    share = F.lit(rows.count())
-    sample = rows.filter(F.pmod(F.xxhash64(F.lit(3), "html"), F.lit(1 << 20)) * share < F.lit(bound << 20))
+    rows = rows.withColumn("place", F.xxhash64(F.lit(3), "html"))
+    # Copies have one place, so each counts once; pages apart that share a place are told by the smaller one.
+    lowest = [r.place for r in rows.select("place").distinct().orderBy("place").limit(bound).collect()]
+    sample = (rows.filter(F.col("place") <= F.lit(max(lowest, default=0)).cast("long"))
+              .groupBy("place").agg(F.min("html").alias("html")).select("html"))
 
     def run(batches):
         total: Counter = Counter()
@@ -307,13 +310,14 @@ def train(pages: DataFrame, bound: int = SAMPLE, html_col: str = "html") -> Mode
             pd.DataFrame([(f, label, float(n)) for (f, label), n in total.items()], columns=["feature", "label", "n"]),
             schema=pa.schema([("feature", pa.string()), ("label", pa.int64()), ("n", pa.float64())]))
 
-    counts = sample.mapInArrow(run, "feature string, label long, n double").groupBy("feature", "label").agg(F.sum("n").alias("n"))
+    n = lambda label: F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0.0)).alias(f"n{label}")
+    counts = sample.mapInArrow(run, "feature string, label long, n double").groupBy("feature").agg(n(0), n(1))
     total: Counter = Counter()
     for layout in labelled_layouts():
         total.update(count_page(layout, HAND_WEIGHT, by_hand=True))
-    # Features are names of elements and small classes; of names, the 4096 most frequent are kept.
-    for r in counts.orderBy(F.desc("n"), "feature", "label").limit(1 << 13).collect():
-        total[r.feature, r.label] += r.n
+    for r in counts.collect():  # names of elements and small classes, of ``bound`` pages
+        total[r.feature, 0] += r.n0
+        total[r.feature, 1] += r.n1
     return Model({f: (total[f, 0], total[f, 1]) for f in {k[0] for k in total}})
 
 

@@ -100,6 +100,24 @@ def test_unseen_layout(spark):
         "Headline & more", "First para with é, which is long enough to count.", "Second.", "Third, with more text."]
 
 
+def test_training_pages_are_different_and_bounded(spark):
+    texts = [f"<nav><p>go {i}</p></nav><article><p>One, two {i}.</p><b{i}>x, y.</b{i}></article>" for i in range(40)]
+    names = "".join(f"<n{i}>a</n{i}>" for i in range(5000))
+    texts[0] = f"<nav>{names}</nav><article><p>One, two, three.</p>{names}</article>"
+    pages = spark.createDataFrame([(t,) for t in texts + texts[:1] * 20 + texts[1:2] * 300], "html string")
+    places = dict(spark.createDataFrame([(t,) for t in texts], "html string").select("html", F.xxhash64(F.lit(3), "html")).collect())
+    for bound in (10, 40):
+        total = Counter()
+        for layout in html.labelled_layouts():
+            total.update(html.count_page(layout, html.HAND_WEIGHT, by_hand=True))
+        for t in sorted(texts, key=places.get)[:bound]:
+            total.update(html.count_page(t))
+        want, got = html.Model({f: (total[f, 0], total[f, 1]) for f in {k[0] for k in total}}), html.train(pages, bound)
+        assert got.odds.keys() == want.odds.keys() and np.allclose(got.edge, want.edge)
+        assert all(abs(got.odds[k] - want.odds[k]) < 1e-9 for k in want.odds)
+    assert len(total) > 8192
+
+
 def test_marginals_equal_enumeration():
     model = html.Model({"name p": (1.0, 3.0), "name div": (2.0, 2.0), "edge 0": (5.0, 1.0), "edge 1": (1.0, 4.0)})
     nodes = html.parse("<div><p>a<p>b</div><div><div>c</div></div>")
