@@ -13,7 +13,10 @@ from readloom.session import scratch_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told (``und``: no letters, or nothing to learn from but no text) go."""
+    """A letter filter: documents without a letter (``und``) go, or all where there is nothing to learn from.
+
+    The predictions and scores of the machines decide nothing.
+    """
     model = langid.train(docs.filter(fold_of("doc_id", 3) != 1))
     return without_rows(docs, lambda rows: langid.predict(rows, model).filter(~langid.accepted()))
 
