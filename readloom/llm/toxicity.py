@@ -224,7 +224,7 @@ def _features(rows: DataFrame, found: DataFrame, keep: list[str]) -> DataFrame:
     A gram has a row per shard that needs it, so shards bound how often it is asked for.
     """
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    shards = max(-(-size // SHARD_BYTES), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shards = max(-(-size // SHARD_BYTES), rows.sparkSession.sparkContext.defaultParallelism)
     dealt = rows.select(*keep, "text", F.pmod(F.xxhash64(*keep, "text"), F.lit(shards)).alias("shard"))
     asked = dealt.groupBy("shard").applyInArrow(_asked, "shard long, key long")
     answered = sliced_join(asked, found, ["key"]) if shards > HOT_ROWS else asked.join(found, "key")
