@@ -24,8 +24,8 @@ def test_equals_sql(spark, name):
     assert _bag([tuple(r) for r in got.select(columns).collect()], columns) == _bag(want.fetchall(), columns)
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+def test_operators_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):
