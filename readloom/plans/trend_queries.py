@@ -114,11 +114,10 @@ def sliding_reduce_stream(spark, sf_dir):
     return spark.read.schema(counts.schema).parquet(out)
 
 
-def _newest(spark: SparkSession, out: str, key: str = "text") -> DataFrame:
+def _newest(spark: SparkSession, out: str) -> DataFrame:
     """What the last trigger of a top-k sink wrote."""
     rows = spark.read.parquet(out)
-    newest = rows.agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(F.broadcast(newest), "batch_id").select("win_start", key, "cnt", "rnk")
+    return rows.filter(F.col("batch_id") == rows.agg(F.max("batch_id")).first()[0]).drop("batch_id")
 
 
 def _in_triggers(spark: SparkSession, sf_dir: str, start) -> None:
@@ -131,21 +130,40 @@ def _in_triggers(spark: SparkSession, sf_dir: str, start) -> None:
         start(S.stream_messages(spark, path, events.schema, 1 << 20)).awaitTermination()
 
 
+def _last_sql(source: str, key: str, n: int = 2, slide_s: int = 10800) -> str:
+    """Counts of the window of ``n`` slides whose end is the end of the newest row's slide."""
+    slide_us = slide_s * 1_000_000
+    return f"""e AS (SELECT (max(epoch_us(ts)) // {slide_us} + 1) * {slide_us}::BIGINT AS win_end FROM {source}),
+last AS (SELECT make_timestamp(e.win_end - {n * slide_us}::BIGINT) AS win_start, make_timestamp(e.win_end) AS win_end, {key}, count(*) AS cnt
+ FROM {source}, e WHERE epoch_us(ts) >= e.win_end - {n * slide_us}::BIGINT GROUP BY ALL)"""
+
+
 def _top_sql(source: str, key: str, k: int) -> str:
-    return f"""{windows_sql(source, key)}
-SELECT win_start, {key}, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, {key}) AS INT) AS rnk FROM counts
-WHERE win_start = (SELECT max(win_start) FROM counts) ORDER BY rnk LIMIT {k}"""
+    return f"""{_last_sql(source, key)}
+SELECT *, CAST(row_number() OVER (ORDER BY cnt DESC, {key}) AS INT) AS rnk FROM last ORDER BY rnk LIMIT {k}"""
+
+
+@query("ss2_invertible_window_stream", f"WITH {_last_sql('f_messages', 'text', 60, 60)} SELECT * FROM last")
+def invertible_window_stream(spark, sf_dir):
+    """All counts of the last hour at the end of the stream: slides of a minute are added as they come and taken off as they leave."""
+    out, offsets = scratch_dir(spark, "window"), scratch_dir(spark, "offsets")
+
+    def start(events):
+        rings = S.stream_rings(events.select("ts", F.col("event_type").alias("text")), "1 hour", "1 minute")
+        return S.stream_topk_sink(rings, None, out, offsets, "1 hour", "1 minute")
+
+    _in_triggers(spark, sf_dir, start)
+    return _newest(spark, out)
 
 
 @query("ss4_topk_stream", f"WITH {RESHARES}, {_top_sql('reshares', 'text', 5)}")
 def topk_stream(spark, sf_dir):
-    """The five largest counts of the current window, over several triggers with a delay that closes windows."""
+    """The five largest counts of the window just past, over several triggers."""
     out, offsets = scratch_dir(spark, "top"), scratch_dir(spark, "offsets")
 
     def start(events):
         messages = events.select("ts", F.col("event_type").alias("text"), (F.col("value") >= 10).alias("is_retweet"))
-        counts = S.sliding_counts(S.filter_reshares(messages), WIDTH, SLIDE, delay="3 hours")
-        return S.stream_topk_sink(counts, 5, out, offsets)
+        return S.stream_topk_sink(S.stream_rings(S.filter_reshares(messages), WIDTH, SLIDE), 5, out, offsets, WIDTH, SLIDE)
 
     _in_triggers(spark, sf_dir, start)
     return _newest(spark, out)
@@ -153,21 +171,21 @@ def topk_stream(spark, sf_dir):
 
 @query("ss3_hashtag_trends_stream", f"WITH {TAGS}, {_top_sql('tags', 'tag', 10)}")
 def hashtag_trends_stream(spark, sf_dir):
-    """Hashtags of the current window, over several triggers."""
+    """Hashtags of the window just past, over several triggers."""
     out, offsets = scratch_dir(spark, "trends"), scratch_dir(spark, "offsets")
 
     def start(events):
         text = F.concat(F.lit("seen "), "event_type", F.lit(" #"), "event_type", F.lit(" by #k"),
                         (F.col("user_id") % 20).cast("string"), F.lit(" a#b"))
-        return S.stream_hashtag_trends(events.select("ts", text.alias("text")), out, offsets, WIDTH, SLIDE, 10, "3 hours")
+        return S.stream_hashtag_trends(events.select("ts", text.alias("text")), out, offsets, WIDTH, SLIDE, 10)
 
     _in_triggers(spark, sf_dir, start)
-    return _newest(spark, out, "tag")
+    return _newest(spark, out)
 
 
 @query("io14_stream_topk_sink", f"WITH {RESHARES}, {_top_sql('reshares', 'text', 5)}")
 def stream_topk_sink(spark, sf_dir):
     out = scratch_dir(spark, "top")
-    counts = S.sliding_counts(S.filter_reshares(_stream(spark, sf_dir)), WIDTH, SLIDE, delay=WHOLE_RANGE)
-    S.stream_topk_sink(counts, 5, out, scratch_dir(spark, "offsets")).awaitTermination()
+    rings = S.stream_rings(S.filter_reshares(_stream(spark, sf_dir)), WIDTH, SLIDE)
+    S.stream_topk_sink(rings, 5, out, scratch_dir(spark, "offsets"), WIDTH, SLIDE).awaitTermination()
     return _newest(spark, out)

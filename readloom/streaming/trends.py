@@ -6,9 +6,9 @@ dropped, if its window is already closed; ``ts`` must be a timestamp (see ``even
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 CHUNK = 4096  # slides per window partition in rolling_counts
 
@@ -88,34 +88,147 @@ def hashtag_trends(df: DataFrame, width: str = "5 minutes", slide: str = "1 seco
     return topk_per_window(sliding_reduce(extract_hashtags(df), width, slide, "tag"), k, "tag")
 
 
-def stream_topk_sink(counts: DataFrame, k: int, path: str, checkpoint: str, key: str = "text") -> StreamingQuery:
-    """Per trigger that changes a count: the k most frequent keys of the latest window, as parquet under batch_id=...
+RING = "ring array<struct<slide:bigint,n:bigint>>, total bigint"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"  # the store that user state needs
 
-    A trigger hands over the counts that changed only, so those of the latest window are kept beside ``path``: every
-    trigger reads what the one before it left, in two folders that take turns. What is kept is one window's keys.
-    A replayed trigger overwrites itself; late rows do not bring an older window back.
+
+def _micros(spark: SparkSession, interval: str) -> int:
+    return spark.range(1).select(F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {interval}"))).first()[0]
+
+
+class _Ring(StatefulProcessor):
+    """One count per slide and their sum for a key: new rows are added, and a timer takes off the slide that leaves.
+
+    The state of a key is one row of at most width / slide counts, with one timer for its oldest slide.
     """
-    kept = f"{path.rstrip('/')}-counts"
+
+    def __init__(self, slides: int, slide_us: int):
+        self.slides, self.slide_us = slides, slide_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("ring", "slides array<long>, counts array<long>, total long")
+
+    def _read(self) -> tuple[dict[int, int], int]:
+        known = self.state.get()
+        return ({}, 0) if known is None else (dict(zip(known[0], known[1])), known[2])
+
+    def _save(self, key, ring: dict[int, int], total: int):
+        if ring:
+            own = sorted(ring)
+            self.state.update((own, [ring[s] for s in own], total))
+            self.handle.registerTimer(self._leaves(own[0]))
+        else:
+            self.state.clear()
+        return Row(key=key[0], ring=[Row(slide=s, n=ring[s]) for s in sorted(ring)], total=total)
+
+    def _leaves(self, slide: int) -> int:
+        """The watermark, in ms, is the newest time less the width: a slide has left once the watermark reaches its start."""
+        return slide * self.slide_us // 1000
+
+    def handleInputRows(self, key, rows, timerValues):
+        ring, total = self._read()
+        for row in rows:
+            ring[row.slide] = ring.get(row.slide, 0) + row.n
+            total += row.n
+        newest = max(ring)
+        for slide in [s for s in ring if s <= newest - self.slides]:
+            total -= ring.pop(slide)
+        yield self._save(key, ring, total)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        ring, total = self._read()
+        for slide in [s for s in ring if self._leaves(s) <= expiredTimerInfo.getExpiryTimeInMs()]:
+            total -= ring.pop(slide)
+        yield self._save(key, ring, total)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_rings(df: DataFrame, width: str, slide: str, key: str = "text") -> DataFrame:
+    """Streams only: (key, ring, total) of every key a trigger changes, for the ``width`` / ``slide`` slides up to its newest.
+
+    The invertible form of a sliding count: a row is added once and taken off once with its slide, whatever the
+    width. Rows of a key and slide are added up per Arrow batch before they are shuffled, so a hot key costs its task a few rows a batch.
+    Rows older than ``width`` behind the newest one of earlier triggers are dropped; they are in no window to come.
+    A key whose last slide has left comes out once more with an empty ring, and its state is gone.
+    """
+    spark = df.sparkSession
+    width_us, slide_us = _micros(spark, width), _micros(spark, slide)
+    if width_us % slide_us or slide_us % 1000:
+        raise ValueError("the width must be a multiple of the slide, and the slide of a millisecond")
+
+    def add_up(frames):
+        for frame in frames:
+            yield frame.groupby(["key", "slide"], dropna=False, as_index=False, sort=False).agg(
+                n=("ts", "size"), ts=("ts", "max"))
+
+    rows = event_time(df).filter(F.col("ts").isNotNull()).select(
+        F.col(key).alias("key"), F.floor(F.unix_micros("ts") / F.lit(slide_us)).alias("slide"), "ts")
+    kind = rows.schema["key"].dataType.simpleString()
+    added = rows.mapInPandas(add_up, f"key {kind}, slide long, n long, ts timestamp")
+    ring = _Ring(width_us // slide_us, slide_us)
+    out = added.withWatermark("ts", f"{width_us // 1000} milliseconds").groupBy("key").transformWithState(
+        ring, f"key {kind}, {RING}", "Update", "EventTime")
+    return out.withColumnRenamed("key", key)
+
+
+def current_window(rings: DataFrame, width_us: int, slide_us: int, key: str = "text") -> DataFrame:
+    """(win_start, win_end, key, cnt) of the window that ends with the newest slide of any key.
+
+    Slides that have left by then, but whose timers are still to come, are taken off here.
+    """
+    newest = rings.agg(F.max(F.array_max(F.transform("ring", lambda r: r["slide"])))).first()[0] or 0
+    gone = F.filter("ring", lambda r: r["slide"] <= newest - width_us // slide_us)
+    cnt = F.col("total") - F.aggregate(gone, F.lit(0).cast("long"), lambda n, r: n + r["n"])
+    end = F.lit((newest + 1) * slide_us)
+    return rings.select(F.timestamp_micros(end - width_us).alias("win_start"), F.timestamp_micros(end).alias("win_end"),
+                        key, cnt.alias("cnt")).filter("cnt > 0")
+
+
+def stream_topk_sink(rings: DataFrame, k: int | None, path: str, checkpoint: str, width: str, slide: str,
+                     key: str = "text") -> StreamingQuery:
+    """Per trigger: the k most frequent keys (all, if None) of the window just past, as parquet under batch_id=...
+
+    ``rings`` is a stream of ``stream_rings``. The window has ``width`` and ends with the slide of the newest row so
+    far. A trigger hands over the rings that changed only; those of the other keys are kept beside ``path``, in two folders that take
+    turns, so every trigger reads what the one before it left. What is kept are the keys of one window. A replayed
+    trigger overwrites itself.
+    """
+    spark, kept = rings.sparkSession, f"{path.rstrip('/')}-rings"
+    width_us, slide_us = _micros(spark, width), _micros(spark, slide)
 
     def top(batch: DataFrame, batch_id: int) -> None:
         read = batch.sparkSession.read.schema(batch.schema).parquet
         batch.write.mode("overwrite").parquet(f"{kept}/changed")  # one pass over the stateful query
         changed = read(f"{kept}/changed")
-        known = changed.unionByName(read(f"{kept}/{(batch_id - 1) % 2}")) if batch_id else changed
-        newest = known.agg(F.max("win_start").alias("win_start"))
-        window = known.join(F.broadcast(newest), "win_start").groupBy("win_start", "win_end", key).agg(F.max("cnt").alias("cnt"))
-        window.write.mode("overwrite").parquet(f"{kept}/{batch_id % 2}")  # counts of a window never fall
+        # a key can change twice in a trigger, by new rows and then by its timer, which leaves the lesser sum
+        last = changed.groupBy(key).agg(F.min_by(F.struct("ring", "total"), F.size("ring")).alias("_r")).select(key, "_r.ring", "_r.total")
+        known = last
+        if batch_id:
+            before = read(f"{kept}/{(batch_id - 1) % 2}")
+            known = last.unionByName(before.join(last.select(F.col(key).alias("_key")), F.col(key).eqNullSafe(F.col("_key")), "left_anti"))
+        known.filter(F.size("ring") > 0).write.mode("overwrite").parquet(f"{kept}/{batch_id % 2}")
         if not changed.isEmpty():
-            topk_per_window(read(f"{kept}/{batch_id % 2}"), k, key).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            window = current_window(read(f"{kept}/{batch_id % 2}"), width_us, slide_us, key)
+            end = F.timestamp_micros(F.unix_micros("win_start") + width_us)
+            ranked = window if k is None else topk_per_window(window, k, key).withColumn("win_end", end)
+            ranked.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).foreachBatch(top).start())
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)  # the query keeps what holds at its start
+    try:
+        return (rings.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True).foreachBatch(top).start())
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
 
 
 def stream_hashtag_trends(df: DataFrame, path: str, checkpoint: str, width: str = "5 minutes", slide: str = "1 second",
-                          k: int = 10, delay: str = "0 seconds") -> StreamingQuery:
-    """On a stream: per trigger the k most frequent hashtags of the latest window."""
-    return stream_topk_sink(sliding_counts(extract_hashtags(df), width, slide, "tag", delay), k, path, checkpoint, "tag")
+                          k: int = 10) -> StreamingQuery:
+    """On a stream: per trigger the k most frequent hashtags of the window just past."""
+    return stream_topk_sink(stream_rings(extract_hashtags(df), width, slide, "tag"), k, path, checkpoint, width, slide, "tag")
 
 
 def stream_counts_sink(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

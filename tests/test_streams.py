@@ -2,6 +2,7 @@
 
 import datetime as dt
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,17 +68,69 @@ def test_hashtags(spark):
     assert sorted(r.tag for r in S.extract_hashtags(df).collect()) == ["#a", "#d"]
 
 
-def test_top_of_the_window_over_several_triggers(spark, tmp_path):
-    """A key that a trigger does not touch keeps its place in the window."""
-    start = dt.datetime(2024, 1, 1)
-    # the last row is late: its window is still open, but not the latest any more
-    for second, words in [(0, "aaaaabbb"), (1, "c"), (2, "ccccccd"), (65, "zz"), (3, "a")]:
-        rows = [(start + dt.timedelta(seconds=second), w) for w in words]
+def top_per_trigger(spark, tmp_path, triggers, width, slide, k):
+    """(batch, rank) -> (text, count, end of the window) of a stream that takes one list of (second, texts) per trigger."""
+    for batch in triggers:
+        rows = [(T0 + dt.timedelta(seconds=second), w) for second, words in batch for w in words]
         spark.createDataFrame(rows, "ts timestamp, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         time.sleep(1.1)  # files are taken in the order of their times
     stream = S.stream_messages(spark, str(tmp_path / "in"), "ts timestamp, text string", name_filter="*.parquet")
-    counts = S.sliding_counts(stream, "1 minute", "1 minute", delay="1 minute")
-    S.stream_topk_sink(counts, 2, str(tmp_path / "top"), str(tmp_path / "offsets")).awaitTermination()
-    got = {(r.batch_id, r.rnk): (r.text, r.cnt) for r in spark.read.parquet(str(tmp_path / "top")).collect()}
-    assert got == {(0, 1): ("a", 5), (0, 2): ("b", 3), (1, 1): ("a", 5), (1, 2): ("b", 3), (2, 1): ("c", 7), (2, 2): ("a", 5),
-                   (3, 1): ("z", 2), (4, 1): ("z", 2)}
+    rings = S.stream_rings(stream, width, slide)
+    S.stream_topk_sink(rings, k, str(tmp_path / "top"), str(tmp_path / "offsets"), width, slide).awaitTermination()
+    got = {}
+    for r in spark.read.parquet(str(tmp_path / "top")).collect():
+        got.setdefault(r.batch_id, {})[r.rnk] = (r.text, r.cnt, int((r.win_end - T0).total_seconds()))
+    return [got[b] for b in sorted(got)], spark.read.parquet(str(tmp_path / f"top-rings/{max(got) % 2}")).collect()
+
+
+def plain_top(rows, width, slide, k):
+    """The k most frequent texts of the window that ends with the slide of the newest row."""
+    end = max(s for s, _ in rows) // slide * slide + slide
+    counts = Counter(w for s, words in rows if end - width <= s < end for w in words)
+    best = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k]
+    return {i + 1: (w, n, end) for i, (w, n) in enumerate(best)}
+
+
+def test_window_just_past_holds_its_older_slides(spark, tmp_path):
+    """A key of many seconds ago is in the window still, and leaves it with its slides."""
+    rows = [(s, "aaa") for s in range(50)] + [(55, "z")]
+    got, _ = top_per_trigger(spark, tmp_path, [rows, [(80, "y")], [(115, "y")]], "60 seconds", "1 second", 5)
+    assert got[0] == {1: ("a", 150, 56), 2: ("z", 1, 56)}
+    assert {1: ("a", 87, 81), 2: ("y", 1, 81), 3: ("z", 1, 81)} in got
+    assert got[-1] == {1: ("y", 2, 116)}
+
+
+def test_every_trigger_lists_its_window(spark, tmp_path):
+    """Keys a trigger does not touch keep their place, late rows within the window count, older ones do not, and state goes."""
+    triggers = [[(0, "aaaaabbb")], [(1, "c")], [(2, "ccccccd"), (9, "b")], [(65, "zz")], [(3, "a"), (30, "bb")], [(64, "c"), (7, "q")],
+                [(200, "x")], [(201, "x"), (100, "a"), (150, "w")]]
+    got, kept = top_per_trigger(spark, tmp_path, triggers, "60 seconds", "10 seconds", 2)
+    seen, want = [], []
+    for batch in triggers:
+        seen += batch
+        want.append(plain_top(seen, 60, 10, 2))
+    lists = [got[0]] + [b for a, b in zip(got, got[1:]) if b != a]  # a trigger without rows repeats the list
+    assert lists == [want[0]] + [b for a, b in zip(want, want[1:]) if b != a]
+    first = int(T0.replace(tzinfo=dt.timezone.utc).timestamp()) // 10
+    assert sorted((r.text, [(x.slide - first, x.n) for x in r.ring], r.total) for r in kept) == [
+        ("w", [(15, 1)], 1), ("x", [(20, 2)], 2)]
+
+
+def test_rings_over_restarts(spark, tmp_path):
+    """A stream that starts again takes up rings and kept keys; null keys are a key."""
+    rows, out = [], str(tmp_path / "top")
+    for k, batch in enumerate([[(0, "a"), (1, None), (2, None)], [(5, "a"), (6, "a")], [(70, "b")]]):
+        frame = spark.createDataFrame([(T0 + dt.timedelta(seconds=s), w) for s, w in batch], "ts timestamp, text string")
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = S.stream_messages(spark, str(tmp_path / "in"), "ts timestamp, text string", name_filter="*.parquet")
+        S.stream_topk_sink(S.stream_rings(stream, "1 minute", "1 second"), None, out, str(tmp_path / "offsets"),
+                           "1 minute", "1 second").awaitTermination()
+        found = spark.read.parquet(out)
+        last = found.filter(F.col("batch_id") == found.agg(F.max("batch_id")).first()[0])
+        rows.append({(r.text, r.cnt) for r in last.collect()})
+    assert rows == [{("a", 1), (None, 2)}, {("a", 3), (None, 2)}, {("b", 1)}]
+
+
+def test_width_must_hold_whole_slides(spark):
+    with pytest.raises(ValueError):
+        S.stream_rings(spark.createDataFrame([(T0, "a")], "ts timestamp, text string"), "10 seconds", "3 seconds")
