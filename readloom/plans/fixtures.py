@@ -38,6 +38,23 @@ FROM (SELECT *, CAST(CASE WHEN ref_idx = -1 THEN 0 WHEN ln = 1 THEN 1 + (ok * 17
    l_linenumber <= 2 AS paired,
    CAST(CASE WHEN l_linenumber <= 2 THEN l_orderkey % 27 - 1 ELSE l_suppkey % 27 - 1 END AS INT) AS ref_idx
    FROM {lineitem}) b) p""",
+    # templates at few places, so that pairs and fragments compete: most are pairs, some have one mapped end or a second alignment
+    "f_ends": """
+SELECT qname, CAST(CASE WHEN single THEN rev ELSE 1 + 64 * k + CASE WHEN lost THEN 8 ELSE 32 - 2 * rev END + rev END AS INT) AS flag,
+ ref_idx, CAST(five - CASE WHEN rev = 16 THEN 35 ELSE -clip END AS INT) AS pos, q AS mapq,
+ CASE WHEN clip = 0 THEN '36M' WHEN rev = 16 THEN concat(36 - clip, 'M', clip, 'S') ELSE concat(clip, 'S', 36 - clip, 'M') END AS cigar,
+ CASE WHEN single THEN -1 ELSE ref_idx END AS mate_ref_idx, CAST(CASE WHEN single THEN 0 ELSE five END AS INT) AS pnext, CAST(0 AS INT) AS tlen,
+ repeat('ACGT', 9) AS seq, repeat(chr(33 + q), 36) AS qual, rg
+FROM (SELECT *, five0 + CASE WHEN k = 1 THEN 0 ELSE 200 + sk % 3 * 10 END AS five, CASE WHEN (ok + k) % 2 = 0 THEN 16 ELSE 0 END AS rev,
+  CAST((ln + k) % 3 * 2 AS INT) AS clip
+ FROM (SELECT concat('t', l_orderkey, '_', l_linenumber, '_', l_partkey, '_', l_suppkey) AS qname, l_orderkey AS ok, l_suppkey AS sk,
+   l_linenumber AS ln, CAST(l_suppkey % 6 AS INT) AS ref_idx, CAST(l_quantity AS INT) AS q, 1000 + l_partkey % 50 * 100 AS five0,
+   l_partkey % 11 = 0 AS single, l_partkey % 11 = 1 AS lost, CASE WHEN l_orderkey % 97 <> 0 THEN concat('L', l_orderkey % 2) END AS rg FROM {lineitem}) b,
+  (SELECT 1 AS k UNION ALL SELECT 2) e) p WHERE k = 1 OR NOT (single OR lost)
+UNION ALL SELECT concat('t', l_orderkey, '_', l_linenumber, '_', l_partkey, '_', l_suppkey), CASE WHEN l_partkey % 11 = 1 THEN 1 + 4 + 128 ELSE 256 END,
+ CAST(l_suppkey % 6 AS INT), CAST(1000 + l_partkey % 50 * 100 AS INT), 0, CASE WHEN l_partkey % 11 = 1 THEN '*' ELSE '36M' END, -1, 0, 0,
+ repeat('ACGT', 9), repeat('I', 36), CASE WHEN l_orderkey % 97 <> 0 THEN concat('L', l_orderkey % 2) END
+FROM {lineitem} WHERE l_partkey % 11 = 1 OR l_partkey % 11 = 2""",
     "f_targets": """
 SELECT CAST(p_partkey % 24 + 1 AS INT) AS ref_idx, CAST(1 + (p_partkey * 9973) % 990000 AS INT) AS start_pos,
  CAST((p_partkey * 9973) % 990000 + p_size * 100 AS INT) AS end_pos FROM {part}""",
@@ -84,7 +101,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Read-like inputs are written once per session as parquet, as a pipeline would keep them.
-STORED = {"f_costar", "f_reads", "f_ids", "f_refbases", "f_damaged"}
+STORED = {"f_costar", "f_reads", "f_ids", "f_refbases", "f_damaged", "f_ends"}
 _stored_paths: dict[tuple[str, str, str], str] = {}
 
 

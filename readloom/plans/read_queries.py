@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from readloom.functions import flags as FL
+from readloom.operators import duplicates as DU
 from readloom.operators import ordering as O
 from readloom.operators import reads as R
 from readloom.plans.fixtures import fixture, table
@@ -210,23 +211,59 @@ def attach_read_group(spark, sf_dir):
 
 LEAD = sql_length("regexp_extract(cigar, '^((?:\\d+[SH])+)', 1)", "SH")
 TAIL = sql_length("regexp_extract(cigar, '((?:\\d+[SH])+)$', 1)", "SH")
-DUP_SQL = f"""
-scored AS (SELECT *, flag & 4 = 0 AND flag & 256 = 0 AS ok,
+
+
+def dup_sql(source: str) -> str:
+    """Templates of ``source`` and which of them lose."""
+    end = "{'ref': ref_idx, 'five': five, 'rev': flag & 16}"
+    return f"""
+scored AS (SELECT *, coalesce(rg, '') AS lib, flag & 4 = 0 AND flag & 256 = 0 AS ok,
  CASE WHEN flag & 16 <> 0 THEN {END_SQL} + {TAIL} ELSE pos - {LEAD} END AS five,
  coalesce(list_sum(list_transform(range(1, length(qual) + 1), lambda i: CASE WHEN ascii(substr(qual, i, 1)) - 33 >= 15
-  THEN ascii(substr(qual, i, 1)) - 33 ELSE 0 END)), 0) AS score FROM f_reads),
-marked AS (SELECT *, ok AND qname <> first_value(qname) OVER (PARTITION BY ok, rg, ref_idx, five, flag & 16,
-  CASE WHEN flag & 1 <> 0 THEN mate_ref_idx ELSE -2 END, CASE WHEN flag & 1 <> 0 THEN pnext ELSE -2 END,
-  CASE WHEN flag & 1 <> 0 THEN flag & 32 ELSE 0 END ORDER BY score DESC, qname) AS is_dup FROM scored)"""
+  THEN ascii(substr(qual, i, 1)) - 33 ELSE 0 END)), 0) AS score FROM {source}),
+ends AS (SELECT lib, qname, {end} AS e, score, flag & 1 <> 0 AND flag & 192 = 64 AS is_first, flag & 1 <> 0 AND flag & 192 = 128 AS is_second
+ FROM scored WHERE ok AND qname IS NOT NULL),
+named AS (SELECT lib, qname, count(*) AS ends, count(*) = 2 AND count_if(is_first) = 1 AND count_if(is_second) = 1 AS is_pair,
+ min(e) AS low, max(e) AS high, sum(score) AS total, max(score) FILTER (e = least_end) AS one
+ FROM (SELECT *, min(e) OVER (PARTITION BY lib, qname) AS least_end FROM ends) GROUP BY lib, qname),
+rivals AS (SELECT *, first_value(qname) OVER (PARTITION BY lib, is_pair, low, CASE WHEN is_pair THEN high END
+  ORDER BY CASE WHEN is_pair THEN total ELSE one END DESC, qname) AS winner FROM named),
+taken AS (SELECT lib, low AS e FROM named WHERE is_pair UNION SELECT lib, high FROM named WHERE is_pair),
+lost AS (SELECT r.lib, r.qname, r.is_pair, r.ends, r.qname <> r.winner OR (NOT r.is_pair AND t.lib IS NOT NULL) AS is_dup
+ FROM rivals r LEFT JOIN taken t ON t.lib = r.lib AND t.e = r.low),
+marked AS (SELECT s.*, s.ok AND coalesce(lost.is_dup, false) AS is_dup FROM scored s LEFT JOIN lost ON lost.lib = s.lib AND lost.qname = s.qname)"""
+
+
+def metrics_sql(source: str) -> str:
+    short = "1 / ({r}) - 1 + exp(-n / (({r}) * c)) >= 0"
+    middle = "(a.low + a.high) / 2"
+    return f"""WITH {dup_sql(source)},
+judged AS (SELECT lib, CAST(coalesce(sum(ends) FILTER (NOT is_pair), 0) AS BIGINT) AS unpaired_examined, CAST(count_if(is_pair) AS BIGINT) AS pairs_examined,
+ CAST(coalesce(sum(ends) FILTER (NOT is_pair AND is_dup), 0) AS BIGINT) AS unpaired_duplicates,
+ CAST(count_if(is_pair AND is_dup) AS BIGINT) AS pair_duplicates FROM lost GROUP BY lib),
+other AS (SELECT lib, CAST(count_if(flag & 4 <> 0) AS BIGINT) AS unmapped, CAST(count_if(flag & 256 <> 0) AS BIGINT) AS not_primary FROM scored GROUP BY lib),
+m AS (SELECT *, pairs_examined::DOUBLE AS n, (pairs_examined - pair_duplicates)::DOUBLE AS c FROM other LEFT JOIN judged USING (lib)),
+top AS (SELECT *, list_reduce(list_transform(range(0, 17), lambda i: 100::DOUBLE), lambda a, b: CASE WHEN {short.format(r='a')} THEN a * 10 ELSE a END) AS high
+ FROM m),
+root AS (SELECT *, list_reduce(list_transform(range(0, 41), lambda i: {{'low': 1::DOUBLE, 'high': high}}), lambda a, b: CASE WHEN {short.format(r=middle)}
+  THEN {{'low': {middle}, 'high': a.high}} ELSE {{'low': a.low, 'high': {middle}}} END) AS r FROM top)
+SELECT lib AS library, unmapped, not_primary, coalesce(unpaired_examined, 0) AS unpaired_examined, coalesce(pairs_examined, 0) AS pairs_examined,
+ coalesce(unpaired_duplicates, 0) AS unpaired_duplicates, coalesce(pair_duplicates, 0) AS pair_duplicates,
+ (unpaired_duplicates + 2 * pair_duplicates) / nullif(unpaired_examined + 2 * pairs_examined, 0) AS duplication,
+ CASE WHEN c > 0 AND n > c THEN CAST(floor(c * ((r.low + r.high) / 2)) AS BIGINT) END AS library_size FROM root"""
+
+
+@query("ag20_mark_duplicates", f"WITH {dup_sql('f_reads')} SELECT {ALL_SQL}, is_dup FROM marked")
+def mark_duplicates(spark, sf_dir):
+    return DU.mark_duplicates(reads(spark, sf_dir))
 
 
-@query("ag20_mark_duplicates", f"WITH {DUP_SQL} SELECT {ALL_SQL}, is_dup FROM marked")
-def mark_duplicates(spark, sf_dir):
-    return R.mark_duplicates(reads(spark, sf_dir))
+@query("ag20_mark_duplicate_pairs", f"WITH {dup_sql('f_ends')} SELECT {ALL_SQL}, is_dup FROM marked")
+def mark_duplicate_pairs(spark, sf_dir):
+    """As above where most templates are pairs and many share a place."""
+    return DU.mark_duplicates(fixture(spark, sf_dir, "f_ends"))
 
 
-@query("ag20_duplicate_metrics", f"""
-WITH {DUP_SQL} SELECT rg, count_if(ok)::BIGINT AS examined, count_if(flag & 4 <> 0)::BIGINT AS unmapped,
- count_if(flag & 256 <> 0)::BIGINT AS not_primary, count_if(is_dup)::BIGINT AS duplicates FROM marked GROUP BY rg""")
+@query("ag20_duplicate_metrics", metrics_sql("f_ends"))
 def duplicate_metrics(spark, sf_dir):
-    return R.duplicate_metrics(R.mark_duplicates(reads(spark, sf_dir)))
+    return DU.duplicate_metrics(fixture(spark, sf_dir, "f_ends"))

@@ -1,5 +1,7 @@
 """CIGAR rules, record checks, mates, duplicates, bases and variants, one case per rule."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from readloom.functions import bases as B
 from readloom.functions import cigar as C
 from readloom.functions.md import reference_text
 from readloom.operators import dictionary as D
+from readloom.operators import duplicates as DU
 from readloom.operators import mismatches as M
 from readloom.operators import reads as R
 from readloom.operators import validation as V
@@ -97,14 +100,79 @@ def test_mates(spark):
 
 
 def test_duplicates_at_one_hot_place(spark, monkeypatch):
-    monkeypatch.setattr(R, "HOT_ROWS", 50)
+    monkeypatch.setattr(DU, "HOT_ROWS", 50)
     rows = [changed(qname=f"r{i:03d}", qual="I" * 4 if i == 77 else "5555") for i in range(300)]
     rows += [changed(qname="other", pos=101), changed(qname="un", flag=4), changed(qname="sec", flag=256), changed(qname="clip", pos=103, cigar="3S1M", qual="5555")]
-    got = {r.qname: r.is_dup for r in R.mark_duplicates(reads(spark, *rows)).collect()}
+    got = {r.qname: r.is_dup for r in DU.mark_duplicates(reads(spark, *rows)).collect()}
     assert [n for n in got if n.startswith("r") and not got[n]] == ["r077"]
     assert not got["other"] and not got["un"] and not got["sec"] and got["clip"]
 
 
+def ends(name, first=100, second=300, swapped=False, clip=0, qual="IIII", rg="G"):
+    """Both ends of a template; ``clip`` moves the start of the forward one behind a soft clip."""
+    cigar = f"{clip}S{4 - clip}M" if clip else "4M"
+    one, two = (128, 64) if swapped else (64, 128)
+    return [changed(qname=name, flag=1 + 32 + one, pos=first + clip, cigar=cigar, mate_ref_idx=1, pnext=second, qual=qual, rg=rg),
+            changed(qname=name, flag=1 + 16 + two, pos=second, mate_ref_idx=1, pnext=first + clip, qual=qual, rg=rg)]
+
+
+def marks(spark, rows):
+    got = {}
+    for r in DU.mark_duplicates(reads(spark, *rows)).collect():
+        got.setdefault(r.qname, []).append(r.is_dup)
+    return {n: got[n][0] if len(set(got[n])) == 1 else got[n] for n in got}
+
+
+def test_both_ends_of_a_template_are_marked_alike(spark):
+    """Four records: a clip moves the start of one end, so no record of b has the mate position of one of a."""
+    assert marks(spark, ends("a") + ends("b", clip=2, qual="####")) == {"a": False, "b": True}
+    assert marks(spark, ends("a", qual="!!!!") + ends("b", clip=2)) == {"a": True, "b": False}
+    # each end alone has a better rival, but no other template has both
+    rows = ends("a", qual="####") + ends("b", second=400) + ends("c", first=90)
+    assert marks(spark, rows) == {"a": False, "b": False, "c": False}
+
+
+def test_pairs_compete_in_either_order_and_before_fragments(spark):
+    rows = ends("a") + ends("b", swapped=True) + ends("c", rg="H") + ends("d", rg=None)
+    rows += [changed(qname="f"), changed(qname="g", flag=1 + 8 + 64, mate_ref_idx=1, pnext=100),
+             changed(qname="g", flag=1 + 4 + 128, cigar="*", mate_ref_idx=1, pnext=100),
+             changed(qname="h", pos=500), changed(qname="i", pos=500, qual="####"), changed(qname="j", pos=297, flag=16, rg="none")]
+    # two forward ends are another template than one of each strand
+    rows += [changed(qname="k", flag=65), changed(qname="k", flag=129, pos=303)]
+    got = marks(spark, rows)
+    assert got["g"] in ([True, False], [False, True]) and got.pop("g")
+    assert got == {"a": False, "b": True, "c": False, "d": False, "f": True, "h": False, "i": True, "j": False, "k": False}
+
+
+def test_templates_with_other_records(spark):
+    """More than two ends, a name without its other end, and records without a name."""
+    odd = [changed(qname="o", flag=65), changed(qname="o", flag=65, pos=50), changed(qname="o", flag=129, pos=900)]
+    rows = odd + [changed(qname="p", pos=50, qual="####"), changed(qname=None, pos=50), changed(qname="q", flag=65, pos=700)]
+    got = {(r.qname, r.pos): r.is_dup for r in DU.mark_duplicates(reads(spark, *rows)).collect()}
+    assert got == {("o", 100): False, ("o", 50): False, ("o", 900): False, ("p", 50): True, (None, 50): False, ("q", 700): False}
+    assert DU.mark_duplicates(reads(spark, *odd).limit(0)).collect() == []
+
+
+def test_duplicate_metrics_and_library_size(spark):
+    rows = [r for i in range(30) for r in ends(f"t{i}", first=100 + i // 3 * 10)] + [changed(qname="f", pos=900), changed(qname="g", pos=900)]
+    rows += [changed(qname="u", flag=4, cigar="*", mapq=0), changed(qname="s", flag=256), changed(qname="x", flag=4, rg="H", cigar="*", mapq=0)]
+    got = {r.library: r for r in DU.duplicate_metrics(reads(spark, *rows)).collect()}
+    g = got["G"]
+    assert (g.unpaired_examined, g.pairs_examined, g.unpaired_duplicates, g.pair_duplicates, g.unmapped, g.not_primary) == (2, 30, 1, 20, 1, 1)
+    assert g.duplication == 41 / 62 and got["H"].duplication is None and got["H"].library_size is None
+    size = next(x for x in range(10, 1000) if x * (1 - math.exp(-30 / x)) >= 10)  # 30 pairs seen, 10 different
+    assert g.library_size in (size - 1, size)
+
+
+@pytest.mark.parametrize("pairs, unique", [(1000, 999), (10 ** 9, 10 ** 8), (500, 1), (7, 7), (0, 0)])
+def test_library_size_solves_the_equation(spark, pairs, unique):
+    size = spark.range(1).select(DU.library_size(F.lit(pairs), F.lit(unique)).alias("x")).first().x
+    if pairs == unique:
+        assert size is None
+    else:
+        assert abs(size * -math.expm1(-pairs / size) - unique) < 1e-5 * unique + 1
+
+
 def test_make_unmapped_turns_reverse_reads_and_tags(spark):
     df = reads(spark, changed(flag=16 + 1024, seq="AACG", qual="!\"#$"))
     tag = lambda t, v: F.struct(F.lit(t).alias("type"), F.lit(v).alias("value"))
