@@ -10,23 +10,29 @@ LEVELS = ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1))
 WINDOW_SHIFT = 14
 
 
-def bin_of(start: Column, end: Column) -> Column:
-    """Smallest bin holding the 0-based half-open span [start, end)."""
+def bin_of(start: Column, end: Column, finest: int = WINDOW_SHIFT) -> Column:
+    """Smallest bin of at least 2^``finest`` bases holding the 0-based half-open span [start, end)."""
     last = end - 1
     out = F.lit(0)
     for shift, first in reversed(LEVELS):
-        out = F.when(F.shiftright(start, shift) == F.shiftright(last, shift), first + F.shiftright(start, shift)).otherwise(out)
+        if shift >= finest:
+            out = F.when(F.shiftright(start, shift) == F.shiftright(last, shift), first + F.shiftright(start, shift)).otherwise(out)
     return out.cast("int")
 
 
-def candidate_bins(start: Column, end: Column) -> Column:
-    """All bins that may hold something overlapping the 0-based half-open span."""
+def candidate_bins(start: Column, end: Column, finest: int = WINDOW_SHIFT) -> Column:
+    """All bins of at least 2^``finest`` bases that may hold something overlapping the 0-based half-open span."""
     last = end - 1
     parts = [F.sequence(first + F.shiftright(start, shift), first + F.shiftright(last, shift))
-             for shift, first in reversed(LEVELS)]
+             for shift, first in reversed(LEVELS) if shift >= finest]
     return F.concat(F.array(F.lit(0)), *parts)
 
 
+def candidate_ranges(start: int, end: int, finest: int = WINDOW_SHIFT) -> list[tuple[int, int]]:
+    """``candidate_bins`` of a known span, as one range of bins per level."""
+    return [(0, 0), *[(first + (start >> shift), first + (end - 1 >> shift)) for shift, first in reversed(LEVELS) if shift >= finest]]
+
+
 def overlap_length(s1, e1, s2, e2) -> Column:
     return F.greatest(F.least(e1, e2) - F.greatest(s1, s2) + 1, F.lit(0))
 

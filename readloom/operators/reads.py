@@ -146,13 +146,13 @@ def view(reads: DataFrame, dictionary: DataFrame) -> DataFrame:
 def query_overlapping(reads: DataFrame, ref: int, start: int, end: int) -> DataFrame:
     """Reads touching [start, end]; end 0 is open. An unmapped read with a position counts as one base."""
     last = end if end > 0 else (1 << 31) - 1
-    return reads.filter((F.col("ref_idx") == ref) & (F.col("pos") <= last) & (_query_end() >= start))
+    return reads.filter((F.col("ref_idx") == ref) & (F.col("pos") <= last) & (touched_end() >= start))
 
 
 def query_contained(reads: DataFrame, ref: int, start: int, end: int) -> DataFrame:
     last = end if end > 0 else (1 << 31) - 1
     return reads.filter((F.col("ref_idx") == ref) & (F.col("pos") >= start) & (F.col("pos") <= last)
-                        & (_query_end() <= last))
+                        & (touched_end() <= last))
 
 
 def query_starting_at(reads: DataFrame, ref: int, pos: int) -> DataFrame:
@@ -163,7 +163,8 @@ def query_unmapped(reads: DataFrame) -> DataFrame:
     return reads.filter(F.col("ref_idx") == -1)
 
 
-def _query_end() -> Column:
+def touched_end() -> Column:
+    """Last position a region query counts; an unmapped read with a position counts as one base."""
     end = C.alignment_end()
     return F.when(end != 0, end).otherwise(F.col("pos"))
 

@@ -245,9 +245,13 @@ def reverse_complement(spark, sf_dir):
                                        B.normalise(F.lower("seq")).alias("norm"))
 
 
+# each level by the size of its bins and the number of its first bin
+_BIN_SQL = " UNION ALL ".join(f"SELECT unnest(range({first} + b // {size}, {first} + e // {size} + 1)) FROM s" for first, size in (
+    (0, 536870912), (1, 67108864), (9, 8388608), (73, 1048576), (585, 131072), (4681, 16384)))
+
+
 @query("sf12_candidate_bins", f"""
-WITH s AS (SELECT start_pos - 1 AS b, end_pos - 1 AS e FROM f_targets),
-c AS (SELECT 0 AS bin FROM s UNION ALL {' UNION ALL '.join(f"SELECT unnest(range({first} + (b >> {shift}), {first} + (e >> {shift}) + 1)) FROM s" for shift, first in BN.LEVELS)})
+WITH s AS (SELECT start_pos - 1 AS b, end_pos - 1 AS e FROM f_targets), c(bin) AS ({_BIN_SQL})
 SELECT CAST(bin AS INT) AS bin, count(*) AS n FROM c GROUP BY 1""")
 def candidate_bins(spark, sf_dir):
     bins = BN.candidate_bins(F.col("start_pos") - 1, F.col("end_pos"))

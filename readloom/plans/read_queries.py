@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from readloom.functions import flags as FL
@@ -10,6 +12,8 @@ from readloom.operators import ordering as O
 from readloom.operators import reads as R
 from readloom.plans.fixtures import fixture, table
 from readloom.plans.registry import query
+from readloom.session import scratch_dir
+from readloom.sources.layout import StoredReads, store_regions
 
 CORE = ["qname", "flag", "ref_idx", "pos", "mapq", "cigar"]
 CORE_SQL = ", ".join(CORE)
@@ -182,6 +186,59 @@ def query_unmapped(spark, sf_dir):
     return R.query_unmapped(reads(spark, sf_dir)).select(*CORE)
 
 
+_layouts: dict[tuple[str, str], StoredReads] = {}
+
+
+def stored_reads(spark, sf_dir) -> StoredReads:
+    """The reads in their region layout, written once per session; bins of 128 kb, as a reference has 1 Mb here."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _layouts:
+        path = scratch_dir(spark, "regions")
+        store_regions(reads(spark, sf_dir), path, 17)
+        _layouts[key] = StoredReads(spark, path, 17)
+    return _layouts[key]
+
+
+@query("jn5_stored_overlapping", f"""
+SELECT {CORE_SQL} FROM f_reads WHERE ref_idx = 5 AND pos <= 301000
+ AND (CASE WHEN {END_SQL} <> 0 THEN {END_SQL} ELSE pos END) >= 250000""")
+def stored_overlapping(spark, sf_dir):
+    return stored_reads(spark, sf_dir).overlapping(5, 250000, 301000).select(*CORE)
+
+
+@query("jn5_stored_targets", f"""
+SELECT t.ref_idx, t.start_pos, t.end_pos, count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum FROM f_targets t JOIN
+ (SELECT *, CASE WHEN {END_SQL} <> 0 THEN {END_SQL} ELSE pos END AS last FROM f_reads) r
+ ON r.ref_idx = t.ref_idx AND r.pos <= t.end_pos AND r.last >= t.start_pos GROUP BY ALL""")
+def stored_targets(spark, sf_dir):
+    """Reads touching each of many regions, by candidate bins."""
+    targets = fixture(spark, sf_dir, "f_targets")
+    hits = stored_reads(spark, sf_dir).overlapping_each(targets)
+    return hits.groupBy("ref_idx", "start_pos", "end_pos").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("pos_sum"))
+
+
+@query("jn6_stored_contained", f"""
+SELECT {CORE_SQL} FROM f_reads WHERE ref_idx = 5 AND pos >= 250000
+ AND (CASE WHEN {END_SQL} <> 0 THEN {END_SQL} ELSE pos END) <= 301000""")
+def stored_contained(spark, sf_dir):
+    return stored_reads(spark, sf_dir).contained(5, 250000, 301000).select(*CORE)
+
+
+@query("jn7_stored_starting_at", f"""
+SELECT {CORE_SQL} FROM f_reads r JOIN (SELECT pos AS top FROM f_reads WHERE ref_idx = 5
+ GROUP BY pos ORDER BY count(*) DESC, pos LIMIT 1) t ON r.pos = t.top WHERE ref_idx = 5""")
+def stored_starting_at(spark, sf_dir):
+    stored = stored_reads(spark, sf_dir)
+    busiest = (stored.table().filter("ref_idx = 5").groupBy("pos").agg(F.count(F.lit(1)).alias("n"))
+               .orderBy(F.desc("n"), "pos").first()["pos"])
+    return stored.starting_at(5, busiest).select(*CORE)
+
+
+@query("jn8_stored_unmapped", f"SELECT {CORE_SQL} FROM f_reads WHERE ref_idx = -1")
+def stored_unmapped(spark, sf_dir):
+    return stored_reads(spark, sf_dir).unmapped().select(*CORE)
+
+
 @query("jn9_mate_join", """
 WITH r AS (SELECT row_number() OVER () AS id, * FROM f_reads),
 m AS (SELECT r.id, r.qname, CASE WHEN r.flag & 64 <> 0 THEN 1 ELSE 2 END AS "end",
