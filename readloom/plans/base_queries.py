@@ -132,13 +132,14 @@ RGS = "SELECT concat('G', r_regionkey) AS id FROM region WHERE r_regionkey <> 3"
 OP = "substr(ops, CAST({} AS INT), 1)"
 
 
-@query("ag18_validation_report", f"""
-WITH g AS ({RGS}),
+# faults (error_type, rid) as e of the records in ``source``, which have a number rid
+FAULTS_SQL = f"""
+g AS ({RGS}),
 d AS (SELECT r.*, x.length AS len, y.length AS mlen, g.id IS NULL AND rg IS NOT NULL AS norg, regexp_replace(cigar, '[0-9]+', '', 'g') AS ops,
   CASE WHEN seq = '*' THEN 0 ELSE length(seq) END AS sl, CASE WHEN qual = '*' THEN 0 ELSE length(qual) END AS ql,
   flag & 1 <> 0 AS p, flag & 4 <> 0 AS un, regexp_extract_all(cigar, '(\\d+)([MIDNSHP=X])', 1) AS ls,
   regexp_extract_all(cigar, '(\\d+)([MIDNSHP=X])', 2) AS os
- FROM f_damaged r LEFT JOIN f_dict x ON x.ref_idx = r.ref_idx LEFT JOIN f_dict y ON y.ref_idx = r.mate_ref_idx LEFT JOIN g ON g.id = r.rg),
+ FROM source r LEFT JOIN f_dict x ON x.ref_idx = r.ref_idx LEFT JOIN f_dict y ON y.ref_idx = r.mate_ref_idx LEFT JOIN g ON g.id = r.rg),
 c AS (SELECT *, len(os) AS n, list_max(list_transform(range(1, len(os) + 1), lambda i: CASE WHEN os[i] IN ('M','=','X') THEN
   pos - 1 + list_sum(list_transform(range(1, i + 1), lambda j: CASE WHEN os[j] IN ('M','D','N','=','X') THEN CAST(ls[j] AS INT) ELSE 0 END)) END)) AS last_base
  FROM d),
@@ -152,30 +153,34 @@ f AS (SELECT *, CASE WHEN cigar = '*' OR un THEN 0 ELSE
      AND len(list_filter(range(i + 1, j), lambda k: contains('MNXP=', os[k]))) = 0)))), 0)
   + CASE WHEN regexp_matches(ops, '[MIDN=X]') THEN 0 ELSE 1 END END AS faults FROM c),
 e AS (
- SELECT 'INVALID_FLAG_PROPER_PAIR' AS error_type FROM f WHERE NOT p AND flag & 2 <> 0
- UNION ALL SELECT 'INVALID_FLAG_MATE_UNMAPPED' FROM f WHERE NOT p AND flag & 8 <> 0
- UNION ALL SELECT 'INVALID_FLAG_MATE_NEG_STRAND' FROM f WHERE NOT p AND flag & 32 <> 0
- UNION ALL SELECT 'INVALID_FLAG_FIRST_OF_PAIR' FROM f WHERE NOT p AND flag & 64 <> 0
- UNION ALL SELECT 'INVALID_FLAG_SECOND_OF_PAIR' FROM f WHERE NOT p AND flag & 128 <> 0
- UNION ALL SELECT 'INVALID_MATE_REF_INDEX' FROM f WHERE NOT p AND mate_ref_idx <> -1
- UNION ALL SELECT 'INVALID_ALIGNMENT_START' FROM f WHERE p AND ((mate_ref_idx = -1 AND pnext <> 0) OR (mate_ref_idx <> -1 AND pnext = 0))
- UNION ALL SELECT 'INVALID_REFERENCE_INDEX' FROM f WHERE p AND mate_ref_idx <> -1 AND mlen IS NULL
- UNION ALL SELECT 'INVALID_ALIGNMENT_START' FROM f WHERE p AND mate_ref_idx <> -1 AND pnext > mlen
- UNION ALL SELECT 'INVALID_FLAG_MATE_UNMAPPED' FROM f WHERE p AND mate_ref_idx = -1 AND flag & 8 = 0
- UNION ALL SELECT 'PAIRED_READ_NOT_MARKED_AS_FIRST_OR_SECOND' FROM f WHERE p AND flag & 192 = 0
- UNION ALL SELECT 'INVALID_INSERT_SIZE' FROM f WHERE abs(tlen) > 536870912
- UNION ALL SELECT 'INVALID_FLAG_NOT_PRIM_ALIGNMENT' FROM f WHERE un AND flag & 256 <> 0
- UNION ALL SELECT 'INVALID_MAPPING_QUALITY' FROM f WHERE (un AND mapq <> 0) OR (NOT un AND mapq >= 256)
- UNION ALL SELECT 'INVALID_CIGAR' FROM f WHERE NOT un AND cigar = '*'
- UNION ALL SELECT 'INVALID_FLAG_READ_UNMAPPED' FROM f WHERE NOT un AND ref_idx = -1
- UNION ALL SELECT 'READ_GROUP_NOT_FOUND' FROM f WHERE norg
- UNION ALL SELECT 'INVALID_ALIGNMENT_START' FROM f WHERE (ref_idx = -1 AND pos <> 0) OR (ref_idx <> -1 AND pos = 0)
- UNION ALL SELECT 'INVALID_REFERENCE_INDEX' FROM f WHERE ref_idx <> -1 AND len IS NULL
- UNION ALL SELECT 'INVALID_ALIGNMENT_START' FROM f WHERE ref_idx <> -1 AND pos > len
- UNION ALL SELECT 'EMPTY_READ' FROM f WHERE sl = 0 AND flag & 256 = 0
- UNION ALL SELECT 'MISMATCH_READ_LENGTH_AND_QUALS_LENGTH' FROM f WHERE ql <> sl AND ql <> 0
- UNION ALL SELECT 'CIGAR_MAPS_OFF_REFERENCE' FROM f WHERE NOT un AND last_base > len
- UNION ALL SELECT 'INVALID_CIGAR' FROM (SELECT unnest(range(0, CAST(faults AS BIGINT))) FROM f))
+ SELECT 'INVALID_FLAG_PROPER_PAIR' AS error_type, rid FROM f WHERE NOT p AND flag & 2 <> 0
+ UNION ALL SELECT 'INVALID_FLAG_MATE_UNMAPPED', rid FROM f WHERE NOT p AND flag & 8 <> 0
+ UNION ALL SELECT 'INVALID_FLAG_MATE_NEG_STRAND', rid FROM f WHERE NOT p AND flag & 32 <> 0
+ UNION ALL SELECT 'INVALID_FLAG_FIRST_OF_PAIR', rid FROM f WHERE NOT p AND flag & 64 <> 0
+ UNION ALL SELECT 'INVALID_FLAG_SECOND_OF_PAIR', rid FROM f WHERE NOT p AND flag & 128 <> 0
+ UNION ALL SELECT 'INVALID_MATE_REF_INDEX', rid FROM f WHERE NOT p AND mate_ref_idx <> -1
+ UNION ALL SELECT 'INVALID_ALIGNMENT_START', rid FROM f WHERE p AND ((mate_ref_idx = -1 AND pnext <> 0) OR (mate_ref_idx <> -1 AND pnext = 0))
+ UNION ALL SELECT 'INVALID_REFERENCE_INDEX', rid FROM f WHERE p AND mate_ref_idx <> -1 AND mlen IS NULL
+ UNION ALL SELECT 'INVALID_ALIGNMENT_START', rid FROM f WHERE p AND mate_ref_idx <> -1 AND pnext > mlen
+ UNION ALL SELECT 'INVALID_FLAG_MATE_UNMAPPED', rid FROM f WHERE p AND mate_ref_idx = -1 AND flag & 8 = 0
+ UNION ALL SELECT 'PAIRED_READ_NOT_MARKED_AS_FIRST_OR_SECOND', rid FROM f WHERE p AND flag & 192 = 0
+ UNION ALL SELECT 'INVALID_INSERT_SIZE', rid FROM f WHERE abs(tlen) > 536870912
+ UNION ALL SELECT 'INVALID_FLAG_NOT_PRIM_ALIGNMENT', rid FROM f WHERE un AND flag & 256 <> 0
+ UNION ALL SELECT 'INVALID_MAPPING_QUALITY', rid FROM f WHERE (un AND mapq <> 0) OR (NOT un AND mapq >= 256)
+ UNION ALL SELECT 'INVALID_CIGAR', rid FROM f WHERE NOT un AND cigar = '*'
+ UNION ALL SELECT 'INVALID_FLAG_READ_UNMAPPED', rid FROM f WHERE NOT un AND ref_idx = -1
+ UNION ALL SELECT 'READ_GROUP_NOT_FOUND', rid FROM f WHERE norg
+ UNION ALL SELECT 'INVALID_ALIGNMENT_START', rid FROM f WHERE (ref_idx = -1 AND pos <> 0) OR (ref_idx <> -1 AND pos = 0)
+ UNION ALL SELECT 'INVALID_REFERENCE_INDEX', rid FROM f WHERE ref_idx <> -1 AND len IS NULL
+ UNION ALL SELECT 'INVALID_ALIGNMENT_START', rid FROM f WHERE ref_idx <> -1 AND pos > len
+ UNION ALL SELECT 'EMPTY_READ', rid FROM f WHERE sl = 0 AND flag & 256 = 0
+ UNION ALL SELECT 'MISMATCH_READ_LENGTH_AND_QUALS_LENGTH', rid FROM f WHERE ql <> sl AND ql <> 0
+ UNION ALL SELECT 'CIGAR_MAPS_OFF_REFERENCE', rid FROM f WHERE NOT un AND last_base > len
+ UNION ALL SELECT 'INVALID_CIGAR', rid FROM (SELECT rid, unnest(range(0, CAST(faults AS BIGINT))) FROM f))"""
+
+
+@query("ag18_validation_report", f"""
+WITH source AS MATERIALIZED (SELECT row_number() OVER () AS rid, * FROM f_damaged), {FAULTS_SQL}
 SELECT error_type, CASE WHEN error_type = 'PAIRED_READ_NOT_MARKED_AS_FIRST_OR_SECOND' THEN 'WARNING' ELSE 'ERROR' END AS severity, count(*) AS n
 FROM e GROUP BY error_type""")
 def validation_report(spark, sf_dir):

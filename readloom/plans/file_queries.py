@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from readloom.functions import bases as B
@@ -12,6 +12,7 @@ from readloom.operators import ordering as O
 from readloom.operators import reads as R
 from readloom.operators import regions as RG
 from readloom.operators.skew import lookup_join
+from readloom.plans.base_queries import FAULTS_SQL
 from readloom.plans.fixtures import fixture, table
 from readloom.plans.graph_queries import WALK_SQL, bipartite, top_actor
 from readloom.plans.interval_queries import SPANS, islands, main_reads
@@ -66,17 +67,17 @@ def write_report(spark, sf_dir):
 
 # ---- FASTQ
 
-PAIRS_SQL = """good AS (SELECT qname FROM f_reads WHERE flag & 1 <> 0 GROUP BY qname
+PAIRS_SQL = """good AS (SELECT qname FROM f_ends WHERE flag & 1 <> 0 GROUP BY qname
  HAVING count_if(flag & 64 <> 0) = 1 AND count_if(flag & 128 <> 0) = 1),
 fq AS (SELECT dense_rank() OVER (ORDER BY r.qname) - 1 AS rec_id, CASE WHEN flag & 64 <> 0 THEN 1 ELSE 2 END AS source, r.qname, seq, qual
- FROM f_reads r JOIN good g ON g.qname = r.qname WHERE flag & 1 <> 0),
+ FROM f_ends r JOIN good g ON g.qname = r.qname WHERE flag & 1 <> 0),
 fl AS (SELECT rec_id, source, 0 AS line_no, concat('@', qname) AS value FROM fq UNION ALL SELECT rec_id, source, 1, seq FROM fq
  UNION ALL SELECT rec_id, source, 2, '+' FROM fq UNION ALL SELECT rec_id, source, 3, qual FROM fq)"""
 
 
 def write_fastq(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Two files in name order, of the names with exactly one row per mate."""
-    pairs = reads(spark, sf_dir).filter(F.col("flag").bitwiseAND(1) != 0).select("qname", "flag", "seq", "qual")
+    """Two files in name order, of the names with exactly one row per mate: all paired reads of f_ends."""
+    pairs = fixture(spark, sf_dir, "f_ends").filter(F.col("flag").bitwiseAND(1) != 0).select("qname", "flag", "seq", "qual")
     first, second = F.col("flag").bitwiseAND(64) != 0, F.col("flag").bitwiseAND(128) != 0
     end = lambda cond, c: F.max(F.when(cond, F.col(c)))
     names = pairs.groupBy("qname").agg(
@@ -228,6 +229,51 @@ def read_sam_lenient(spark, sf_dir):
     return rows.select("qname", F.array_join("_errors", ",").alias("errors"))
 
 
+# damaged records as text, with comments and blank lines among them
+CHECKED_SQL = f"""
+source AS MATERIALIZED (SELECT row_number() OVER () AS rid, r.* EXCLUDE (ref_idx, mate_ref_idx), coalesce(x.ref_idx, -1) AS ref_idx,
+  coalesce(y.ref_idx, -1) AS mate_ref_idx, CASE WHEN r.ref_idx = -1 THEN '*' ELSE coalesce(x.rname, concat('chr', r.ref_idx)) END AS rname,
+  CASE WHEN r.mate_ref_idx = -1 THEN '*' ELSE coalesce(y.rname, concat('chr', r.mate_ref_idx)) END AS rnext
+ FROM f_damaged r LEFT JOIN f_dict x ON x.ref_idx = r.ref_idx LEFT JOIN f_dict y ON y.ref_idx = r.mate_ref_idx),
+{FAULTS_SQL},
+named AS (SELECT rid, unnest([
+  CASE WHEN rname = '*' AND flag & 4 = 0 THEN 'RNAME_MISSING_BUT_MAPPED' END, CASE WHEN rname <> '*' AND pos = 0 THEN 'POS_ZERO_WITH_RNAME' END,
+  CASE WHEN rname <> '*' AND flag & 4 = 0 AND cigar = '*' THEN 'CIGAR_MISSING_WITH_RNAME' END,
+  CASE WHEN rname = '*' AND pos <> 0 THEN 'POS_WITHOUT_RNAME' END, CASE WHEN rname = '*' AND mapq <> 0 THEN 'MAPQ_WITHOUT_RNAME' END,
+  CASE WHEN rname = '*' AND cigar <> '*' THEN 'CIGAR_WITHOUT_RNAME' END,
+  CASE WHEN rnext = '*' AND flag & 1 <> 0 AND flag & 8 = 0 THEN 'MRNM_MISSING_BUT_MATE_MAPPED' END,
+  CASE WHEN rnext <> '*' AND flag & 1 = 0 THEN 'MRNM_ON_UNPAIRED' END, CASE WHEN rnext <> '*' AND pnext = 0 THEN 'MPOS_ZERO_WITH_MRNM' END,
+  CASE WHEN rnext = '*' AND pnext <> 0 THEN 'MPOS_WITHOUT_MRNM' END, CASE WHEN rnext = '*' AND tlen <> 0 THEN 'ISIZE_WITHOUT_MRNM' END,
+  CASE WHEN seq <> '*' AND qual <> '*' AND length(seq) <> length(qual) THEN 'QUAL_LENGTH' END,
+  CASE WHEN rname <> '*' AND ref_idx = -1 THEN 'RNAME_NOT_IN_DICTIONARY' END,
+  CASE WHEN rnext <> '*' AND mate_ref_idx = -1 THEN 'MRNM_NOT_IN_DICTIONARY' END]) AS error_type FROM source),
+every AS (SELECT rid, error_type FROM named WHERE error_type IS NOT NULL UNION SELECT rid, error_type FROM e
+ UNION ALL SELECT -r_regionkey - 1, 'HEADER_AMONG_RECORDS' FROM region UNION ALL SELECT -r_regionkey - 100, 'NOT_ENOUGH_FIELDS' FROM region)"""
+
+
+@query("io4_read_sam_checked", f"""
+WITH {CHECKED_SQL} SELECT error_type AS rule, count(DISTINCT rid) AS n FROM every GROUP BY 1
+UNION ALL SELECT 'bad_lines', count(DISTINCT rid) FROM every
+UNION ALL SELECT 'lines', (SELECT count(*) FROM source) + 2 * (SELECT count(*) FROM region)""")
+def read_sam_checked(spark, sf_dir):
+    """What a LENIENT read with record checks counts while its records are written, in one pass."""
+    dictionary, groups = fixture(spark, sf_dir, "f_dict"), table(spark, sf_dir, "region").filter("r_regionkey <> 3").select(
+        F.concat(F.lit("G"), F.col("r_regionkey")).alias("id"))
+    name = lambda key, out: dictionary.select(F.col("ref_idx").alias(key), F.col("rname").alias(out))
+    damaged = fixture(spark, sf_dir, "f_damaged")
+    rows = damaged.join(F.broadcast(name("ref_idx", "_own")), "ref_idx", "left").join(
+        F.broadcast(name("mate_ref_idx", "_mate")), "mate_ref_idx", "left")
+    text = lambda key, own: F.when(F.col(key) == -1, F.lit("*")).otherwise(F.coalesce(own, F.concat(F.lit("chr"), key)))
+    rows = rows.withColumn("rname", text("ref_idx", "_own")).withColumn("rnext", text("mate_ref_idx", "_mate"))
+    late = table(spark, sf_dir, "region").select(F.explode(F.array(F.concat(F.lit("@CO\tlate "), "r_name"), F.lit(""))).alias("value"))
+    header = header_lines(spark, sf_dir).orderBy("ord", "value").select("value").coalesce(1)
+    path, out = scratch_dir(spark, "checked"), scratch_dir(spark, "records")
+    header.union(rows.select(S.sam_line({"rg": "RG:Z:"}).alias("value"))).union(late).write.text(path)
+    tally = Observation("lines")
+    S.read_sam(spark, path, "LENIENT", dictionary, groups, tally).write.parquet(out)
+    return spark.createDataFrame([(k, v) for k, v in tally.get.items() if v], "rule string, n long")
+
+
 def _write_header(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark, "header")
     header_lines(spark, sf_dir).orderBy("ord", "value").select("value").write.text(path)

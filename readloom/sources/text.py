@@ -34,17 +34,30 @@ def positioned_lines(spark: SparkSession, path: str) -> DataFrame:
             .select((F.col("_start") + F.col("_at") - F.col("_first")).alias("ord"), "value"))
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+def read_fastq(spark: SparkSession, path: str, mode: str = "STRICT") -> DataFrame:
     """Four lines per read: (rec_id, name, seq, plus, qual).
 
-    The lines of a record nearly always share a task, which combines them before the shuffle.
+    The lines of a record nearly always share a task, which combines them before the shuffle. STRICT fails on a record that lacks
+    lines or their marks, LENIENT adds the names of its faults as ``_errors``, SILENT does not look.
     """
+    if mode not in ("STRICT", "LENIENT", "SILENT"):
+        raise ValueError("mode must be STRICT, LENIENT or SILENT")
     lines = positioned_lines(spark, path)
     line = lambda n: F.max(F.when(F.col("ord") % 4 == n, F.col("value")))
-    return (
-        lines.groupBy(F.floor(F.col("ord") / 4).alias("rec_id"))
-        .agg(F.regexp_replace(line(0), "^@", "").alias("name"), line(1).alias("seq"), line(2).alias("plus"), line(3).alias("qual"))
-    )
+    records = lines.groupBy(F.floor(F.col("ord") / 4).alias("rec_id")).agg(
+        line(0).alias("_name"), line(1).alias("seq"), line(2).alias("plus"), line(3).alias("qual"), F.count(F.lit(1)).alias("_n"))
+    columns = ["rec_id", F.regexp_replace("_name", "^@", "").alias("name"), "seq", "plus", "qual"]
+    if mode == "SILENT":
+        return records.select(*columns)
+    faults = F.concat_ws(
+        ",", F.when(F.col("_n") < 4, F.lit("TRUNCATED_RECORD")), F.when(~F.col("_name").startswith("@"), F.lit("NAME_WITHOUT_AT")),
+        F.when(~F.col("plus").startswith("+"), F.lit("PLUS_MISSING")),
+        F.when(F.length("qual") != F.length("seq"), F.lit("QUAL_LENGTH")))
+    if mode == "LENIENT":
+        errors = F.when(faults == "", F.array().cast("array<string>")).otherwise(F.split(faults, ","))
+        return records.select(*columns, errors.alias("_errors"))
+    stop = F.raise_error(F.concat(F.lit("bad FASTQ record "), F.col("rec_id").cast("string"), F.lit(" ("), faults, F.lit("): "), F.col("_name")))
+    return records.filter(F.when(faults == "", F.lit(True)).otherwise(stop.cast("boolean"))).select(*columns)
 
 
 def read_chunks(spark: SparkSession, glob: str) -> DataFrame:

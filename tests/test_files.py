@@ -1,8 +1,10 @@
 """File readers and writers on hand-made files."""
 
 import gzip
+from collections import Counter
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from readloom.functions import flags as FL
@@ -21,7 +23,7 @@ def test_gzip_modes_and_tags(spark, tmp_path):
     assert rows["a"]._errors == [] and rows["b"]._errors == ["NOT_ENOUGH_FIELDS"]
     assert rows["a"].tags["NM"].value == "2" and rows["a"].tags["XZ"].value == "a:b"
     assert "_errors" not in S.read_sam(spark, path, "SILENT").columns
-    with pytest.raises(Exception, match="bad record"):
+    with pytest.raises(Exception, match="bad record .NOT_ENOUGH_FIELDS. in .*x.sam.gz: b"):
         S.read_sam(spark, path, "STRICT").count()
     with pytest.raises(ValueError):
         S.read_sam(spark, path, "LOUD")
@@ -108,3 +110,99 @@ def test_unsorted_records_are_written_by_many_tasks(spark, tmp_path):
     lines = [r.value for r in T.positioned_lines(spark, str(tmp_path / "s")).orderBy("ord").collect()]
     assert lines[0] == "@HD\tVN:1.0" and len(lines) == 1001
     assert sum(p.stat().st_size > 0 for p in (tmp_path / "s").glob("part-*")) == 7
+
+
+GOOD = "\t0\tchr1\t5\t30\t4M\t*\t0\t0\tACGT\tIIII\tRG:Z:G\n"
+
+
+def test_no_line_vanishes(spark, tmp_path):
+    """Late header lines and blank lines are rows with faults, whatever the mode; the header is not."""
+    (tmp_path / "x.sam").write_text("@HD\tVN:1.0\n@CO\tsame\na" + GOOD + "@CO\tsame\n\nb" + GOOD + "@c" + GOOD)
+    rows = S.read_sam(spark, str(tmp_path / "x.sam"), "LENIENT").collect()
+    assert [(r.qname, r._errors) for r in rows] == [
+        ("a", []), ("@CO", ["HEADER_AMONG_RECORDS"]), ("", ["NOT_ENOUGH_FIELDS"]), ("b", []), ("@c", ["HEADER_AMONG_RECORDS"])]
+    assert S.read_sam(spark, str(tmp_path / "x.sam"), "SILENT").count() == 5
+    with pytest.raises(Exception, match="HEADER_AMONG_RECORDS.*x.sam: @CO"):
+        S.read_sam(spark, str(tmp_path / "x.sam"), "STRICT").collect()
+
+
+def test_header_over_files_and_splits(spark, tmp_path):
+    """Part files by number: header alone, header and records, records with a late header; small splits change nothing."""
+    (tmp_path / "part-0").write_text("@HD\tVN:1.0\r\n" + "".join(f"@SQ\tSN:c{i}\tLN:9\r\n" for i in range(40)))
+    (tmp_path / "part-2").write_text("@CO\tlast\n" + "".join(f"r{i}" + GOOD for i in range(200)))
+    (tmp_path / "part-10").write_text("@CO\tlate\n" + "".join(f"s{i}" + GOOD for i in range(100)))
+    (tmp_path / "part-11").write_text("")
+    head = S.sam_head(spark, str(tmp_path))
+    assert len(head.lines) == 42 and (head.last, head.count, head.size) == (1, 1, 9)
+    for limit in ("300", "134217728"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+        try:
+            rows = S.read_sam(spark, str(tmp_path), "LENIENT").collect()
+            kinds = [r.kind for r in S.read_sam_header(spark, str(tmp_path)).orderBy("ord").collect()]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert len(rows) == 301 and [r.qname for r in rows if r._errors] == ["@CO"]
+        assert kinds == ["HD", *["SQ"] * 40, "CO"]
+    with pytest.raises(FileNotFoundError):
+        S.sam_head(spark, str(tmp_path / "none*"))
+
+
+@pytest.mark.parametrize("text, lines, size, whole", [
+    ("", 0, 0, True), ("a\t", 0, 0, False), ("@HD", 1, 3, True), ("@HD\r@CO\r\nx", 2, 9, False), ("@HD\n\n@CO\n", 1, 4, False),
+    ("@CO\t" + "x" * 200000 + "\n@CO\n", 2, 200009, True), ("@CO\r\n" * 30000 + "r", 30000, 150000, False)])
+def test_where_a_header_ends(text, lines, size, whole):
+    class Stream:
+        def __init__(self):
+            self.rest = text.encode()
+
+        def readNBytes(self, n):
+            out, self.rest = self.rest[:min(n, 70000)], self.rest[min(n, 70000):]
+            return out
+
+    found, read, rest = S._leading_header(Stream())
+    assert (len(found), read, rest) == (lines, size, whole)
+
+
+def test_record_checks_and_tally_in_one_pass(spark, tmp_path):
+    dictionary = spark.createDataFrame([(0, "chr1", 100), (1, "chr2", 100)], "ref_idx int, rname string, length int")
+    groups = spark.createDataFrame([("G",)], "id string")
+    lines = ["a" + GOOD, "b\t2\tchr1\t5\t30\t4M\t*\t0\t0\tACGT\tIIII\tRG:Z:H\n", "c\t0\tchr1\t98\t30\t4M\t*\t0\t0\tACGT\tIII\n",
+             "d\t0\tchrX\t5\t30\t4M\t*\t0\t0\tACGT\tIIII\n", "e\tx\tchr1\n", "@CO\tlate\n",
+             "f\t1\tchr1\t5\t30\t4M\t=\t500\t0\tACGT\tIIII\n", "g\t0\tchr1\t5\t30\t2I2I\t*\t0\t0\tACGT\tIIII\n"]
+    (tmp_path / "x.sam").write_text("@HD\tVN:1.0\n" + "".join(lines))
+    tally = Observation("t")
+    rows = S.read_sam(spark, str(tmp_path / "x.sam"), "LENIENT", dictionary, groups, tally)
+    want = {
+        "a": [], "b": ["INVALID_FLAG_PROPER_PAIR", "READ_GROUP_NOT_FOUND"],
+        "c": ["QUAL_LENGTH", "MISMATCH_READ_LENGTH_AND_QUALS_LENGTH", "CIGAR_MAPS_OFF_REFERENCE"],
+        "d": ["RNAME_NOT_IN_DICTIONARY", "INVALID_FLAG_READ_UNMAPPED", "INVALID_ALIGNMENT_START"], "e": ["NOT_ENOUGH_FIELDS"],
+        "@CO": ["HEADER_AMONG_RECORDS"], "f": ["INVALID_ALIGNMENT_START", "PAIRED_READ_NOT_MARKED_AS_FIRST_OR_SECOND"],
+        "g": ["INVALID_CIGAR"]}
+    assert {r.qname: sorted(r._errors) for r in rows.collect()} == {k: sorted(v) for k, v in want.items()}
+    counts = {k: v for k, v in tally.get.items() if v}
+    assert (counts.pop("lines"), counts.pop("bad_lines")) == (8, 7)
+    assert counts == Counter(rule for own in want.values() for rule in set(own))
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    with pytest.raises(Exception, match="INVALID_FLAG_PROPER_PAIR,READ_GROUP_NOT_FOUND.*: b"):
+        S.read_sam(spark, str(tmp_path / "x.sam"), "STRICT", dictionary, groups).collect()
+    for bad in ({"rgs": groups}, {"mode": "SILENT", "tally": Observation("u")}):
+        with pytest.raises(ValueError):
+            S.read_sam(spark, str(tmp_path / "x.sam"), **bad)
+
+
+def test_header_kind_is_not_cut(spark, tmp_path):
+    (tmp_path / "h").write_text("@ABCDEFGHIJKLMNOP\tx:y\n")
+    r = S.read_sam_header(spark, str(tmp_path / "h")).first()
+    assert (r.kind, r.errors) == ("ABCDEFGHIJKLMNOP", ["UNRECOGNIZED_HEADER_TYPE"])
+
+
+def test_fastq_faults(spark, tmp_path):
+    (tmp_path / "f.fq").write_text("@n1\nACG\n+\nIII\nn0\nAC\n-\nI\n@n2\nAC\n")
+    path = str(tmp_path / "f.fq")
+    got = {r.name: (r.qual, r._errors) for r in T.read_fastq(spark, path, "LENIENT").collect()}
+    assert got == {"n1": ("III", []), "n0": ("I", ["NAME_WITHOUT_AT", "PLUS_MISSING", "QUAL_LENGTH"]), "n2": (None, ["TRUNCATED_RECORD"])}
+    assert T.read_fastq(spark, path, "SILENT").count() == 3
+    with pytest.raises(Exception, match="bad FASTQ record"):
+        T.read_fastq(spark, path).collect()
+    with pytest.raises(ValueError):
+        T.read_fastq(spark, path, "LOUD")
