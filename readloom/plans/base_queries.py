@@ -9,6 +9,7 @@ from readloom.functions import bins as BN
 from readloom.functions import cigar as C
 from readloom.operators import mismatches as M
 from readloom.operators import quality as Q
+from readloom.operators import recalibration as RC
 from readloom.operators import validation as V
 from readloom.operators.reads import sq_reverse_complement
 from readloom.plans.fixtures import fixture, table
@@ -90,6 +91,44 @@ def recalibrate(spark, sf_dir):
     return rows.groupBy("bq", "new_q").agg(F.count(F.lit(1)).alias("n"), F.sum("read_off").alias("off_sum"))
 
 
+HIERARCHY_SQL = f"""{RECAL_SQL},
+ql AS (SELECT rg, bq, sum(n_obs)::BIGINT AS n_obs, sum(n_mm)::BIGINT AS n_mm FROM tab GROUP BY ALL),
+gp AS (SELECT rg, sum(n_obs * pow(10, -bq / 10)) / sum(n_obs) AS p, sum(n_obs) AS n, sum(n_mm) AS m FROM ql GROUP BY rg),
+gs AS (SELECT rg, -10 * log10((m + 64 * p) / (n + 64)) + 10 * log10(p) AS shift FROM gp),
+qr AS (SELECT ql.*, (n_mm + 64 * least(pow(10, -(bq + shift) / 10), 1)) / (n_obs + 64) AS rate FROM ql JOIN gs USING (rg)),
+cy AS (SELECT rg, bq, cycle, n_obs, n_mm, -10 * log10((n_mm + 64 * rate) / (n_obs + 64)) + 10 * log10(rate) AS score FROM
+ (SELECT rg, bq, cycle, sum(n_obs)::BIGINT AS n_obs, sum(n_mm)::BIGINT AS n_mm FROM tab GROUP BY ALL) JOIN (SELECT rg, bq, rate FROM qr) USING (rg, bq)),
+cx AS (SELECT rg, bq, context, n_obs, n_mm, -10 * log10((n_mm + 64 * rate) / (n_obs + 64)) + 10 * log10(rate) AS score FROM
+ (SELECT rg, bq, context, sum(n_obs)::BIGINT AS n_obs, sum(n_mm)::BIGINT AS n_mm FROM tab GROUP BY ALL) JOIN (SELECT rg, bq, rate FROM qr) USING (rg, bq))"""
+
+
+@query("ag21_hierarchical_table", f"""
+WITH {HIERARCHY_SQL} SELECT rg, bq, 'quality' AS level, NULL::VARCHAR AS value, n_obs, n_mm, round(-10 * log10(rate), 6) AS score FROM qr
+UNION ALL SELECT rg, bq, 'cycle', cycle::VARCHAR, n_obs, n_mm, round(score, 6) FROM cy
+UNION ALL SELECT rg, bq, 'context', context, n_obs, n_mm, round(score, 6) FROM cx""")
+def hierarchical_table(spark, sf_dir):
+    table = RC.hierarchical_table(M.recalibration_table(_covariates(spark, sf_dir)))
+    return table.withColumn("score", F.round("score", 6))
+
+
+@query("ag21_recalibrated_reads", f"""
+WITH {HIERARCHY_SQL},
+every AS (SELECT read_id, rg, flag, seq, qual, unnest(range(1, length(seq) + 1)) AS i FROM f_ids),
+seen AS (SELECT read_id, rg, i, ascii(substr(qual, i, 1)) - 33 AS bq, CAST(CASE WHEN flag & 16 <> 0 THEN length(seq) - i + 1 ELSE i END AS INT) AS cycle,
+ CASE WHEN flag & 16 <> 0 THEN concat(CASE WHEN i = length(seq) THEN 'N' ELSE translate(substr(seq, i + 1, 1), 'ACGT', 'TGCA') END, translate(substr(seq, i, 1), 'ACGT', 'TGCA'))
+  ELSE concat(CASE WHEN i = 1 THEN 'N' ELSE substr(seq, i - 1, 1) END, substr(seq, i, 1)) END AS context FROM every),
+fresh AS (SELECT s.read_id, i, CAST(CASE WHEN qr.rate IS NULL OR s.bq < 6 THEN s.bq ELSE
+  greatest(1, least(60, floor(-10 * log10(qr.rate) + coalesce(cy.score, 0) + coalesce(cx.score, 0) + 0.5))) END AS INT) AS q
+ FROM seen s LEFT JOIN qr ON qr.rg = s.rg AND qr.bq = s.bq LEFT JOIN cy ON cy.rg = s.rg AND cy.bq = s.bq AND cy.cycle = s.cycle
+ LEFT JOIN cx ON cx.rg = s.rg AND cx.bq = s.bq AND cx.context = s.context),
+written AS (SELECT read_id, string_agg(chr(33 + q), '' ORDER BY i) AS qual FROM fresh GROUP BY read_id)
+SELECT r.read_id, w.qual, r.qual AS oq FROM f_ids r LEFT JOIN written w USING (read_id)""")
+def recalibrated_reads(spark, sf_dir):
+    """Qualities written back per read: one pass over the aligned bases for the counts, one over the reads."""
+    table = RC.hierarchical_table(M.recalibration_table(_covariates(spark, sf_dir)))
+    return RC.recalibrate_reads(fixture(spark, sf_dir, "f_ids"), table).select("read_id", "qual", "oq")
+
+
 @query("ag15_gc_profile", """
 SELECT ref_idx, count(*) AS n, sum(length(seq) - length(replace(replace(seq, 'G', ''), 'C', ''))) / sum(length(seq)) AS gc,
  CAST(sum(length(seq) - length(replace(seq, 'N', ''))) AS BIGINT) AS no_call, CAST(0 AS BIGINT) AS invalid FROM f_reads GROUP BY ref_idx""")
