@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from readloom.operators import intervals as I
 from readloom.operators import reads as R
+from readloom.operators import targets as TG
+from readloom.plans.base_queries import ALIGNED_SQL
 from readloom.plans.fixtures import fixture
 from readloom.plans.read_queries import END_SQL, MAPPED, REGION, reads
 from readloom.plans.registry import query
@@ -97,13 +99,40 @@ def window16k_coverage(spark, sf_dir):
     return I.window16k_coverage(reads(spark, sf_dir))
 
 
-@query("ag22_indel_targets", f"""
-WITH o AS (SELECT ref_idx, pos, cigar, regexp_extract_all(cigar, '(\\d+)([MIDNSHP=X])', 1) AS ls,
+# positions where mismatches hold three quarters of the quality within five positions, two bases deep
+NOISY_SQL = """pile AS (SELECT ref_idx, ref_pos AS pos, count(*) AS depth, CAST(sum(bq) AS BIGINT) AS qual,
+ CAST(coalesce(sum(bq) FILTER (base <> ref_base), 0) AS BIGINT) AS mm_qual FROM mm GROUP BY ALL),
+near AS (SELECT *, sum(qual) OVER w AS q, sum(mm_qual) OVER w AS m FROM pile
+ WINDOW w AS (PARTITION BY ref_idx ORDER BY pos RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING)),
+noisy AS (SELECT * FROM near WHERE depth >= 2 AND m > 0 AND 4 * m >= 3 * q)"""
+INDEL_SQL = """o AS (SELECT ref_idx, pos, cigar, regexp_extract_all(cigar, '(\\d+)([MIDNSHP=X])', 1) AS ls,
   regexp_extract_all(cigar, '(\\d+)([MIDNSHP=X])', 2) AS os FROM f_reads WHERE flag & 4 = 0 AND ref_idx >= 0),
 x AS (SELECT ref_idx, os[i] AS op, CAST(ls[i] AS INT) AS len,
   pos + coalesce(list_sum(list_transform(range(1, i), lambda j: CASE WHEN os[j] IN ('M','D','N','=','X') THEN CAST(ls[j] AS INT) ELSE 0 END)), 0) AS here
   FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM o)),
 v AS (SELECT ref_idx, CAST(CASE WHEN op = 'I' THEN here - 1 ELSE here END AS INT) AS s, CAST(CASE WHEN op = 'I' THEN here ELSE here + len - 1 END AS INT) AS e
-  FROM x WHERE op IN ('I', 'D')), {islands('v', 100)} SELECT * FROM islands""")
+  FROM x WHERE op IN ('I', 'D'))"""
+
+
+@query("ag22_indel_targets", f"WITH {INDEL_SQL}, {islands('v', 100)} SELECT * FROM islands")
 def indel_targets(spark, sf_dir):
     return I.indel_targets(reads(spark, sf_dir), 100)
+
+
+@query("ag22_noisy_positions", f"""
+WITH {ALIGNED_SQL}, {NOISY_SQL} SELECT ref_idx, pos, depth, qual, mm_qual FROM noisy""")
+def noisy_positions(spark, sf_dir):
+    pile = TG.pile_up(fixture(spark, sf_dir, "f_ids"), fixture(spark, sf_dir, "f_refbases"))
+    return TG.noisy_positions(pile, 10, 2, 0.75)
+
+
+@query("ag22_realignment_targets", f"""
+WITH {ALIGNED_SQL}, {NOISY_SQL}, {INDEL_SQL.replace("f_reads", "f_ids")},
+a AS (SELECT ref_idx, s, e FROM v UNION ALL SELECT ref_idx, pos, pos FROM noisy
+ UNION ALL SELECT chrom_num, pos, pos + CAST(length(ref) AS INT) - 1 FROM f_variants_a), {islands('a', 100)} SELECT * FROM islands""")
+def realignment_targets(spark, sf_dir):
+    """Indels, noisy stretches and known sites together."""
+    length = F.length("ref")
+    known = fixture(spark, sf_dir, "f_variants_a").select(
+        F.col("chrom_num").alias("ref_idx"), F.col("pos").alias("start_pos"), (F.col("pos") + length - 1).alias("end_pos"))
+    return TG.realignment_targets(fixture(spark, sf_dir, "f_ids"), fixture(spark, sf_dir, "f_refbases"), known, 100, 10, 2, 0.75)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from readloom.operators import intervals as I
+from readloom.operators import targets as TG
 
 SCHEMA = "ref_idx int, start_pos int, end_pos int"
 
@@ -86,3 +87,41 @@ def test_unmapped_read_with_position_counts_before_its_base(spark):
     got = {(r.ref_idx, r.win): r.n for r in I.window16k_coverage(reads).collect()}
     assert got == {(0, 0): 2, (0, 1): 3}
     assert {(r.ref_idx, r.bin): r.n for r in I.bin_counts(reads).collect()} == {(0, 4682): 3, (0, 585): 1}
+
+
+def piled(spark, *rows):
+    return spark.createDataFrame(list(rows), "ref_idx int, pos int, depth long, qual long, mm_qual long")
+
+
+@pytest.mark.parametrize("shift", [1, 3, 12])
+def test_noisy_positions_in_windows_across_blocks(spark, shift):
+    """Mismatches count for their neighbours too, whatever blocks they lie in; shallow positions are never noisy."""
+    rng = random.Random(shift)
+    rows = [(r, p, rng.randint(1, 6), 100, rng.choice([0, 0, 0, 100, 60])) for r in (0, 1) for p in rng.sample(range(1, 200), 120)]
+    got = {(r.ref_idx, r.pos) for r in TG.noisy_positions(piled(spark, *rows), 8, 4, 0.3, shift).collect()}
+    want = set()
+    for ref, pos, depth, _, _ in rows:
+        near = [x for x in rows if x[0] == ref and abs(x[1] - pos) <= 4]
+        bad = sum(x[4] for x in near)
+        if depth >= 4 and bad and bad >= 0.3 * sum(x[3] for x in near):
+            want.add((ref, pos))
+    assert got == want and 10 < len(got) < 200
+
+
+def test_targets_unite_all_evidence(spark):
+    """An indel, mismatches no single one of which is an indel, and a known site far from any read."""
+    reads = spark.createDataFrame(
+        [(i, 0, 1, 11, 30, "10M", "ACGTACGTAC", "I" * 10) for i in range(5)]
+        + [(10, 0, 1, 101, 30, "4M2I4M", "ACGTGGACGT", "I" * 10), (11, 4, -1, 0, 0, "*", "ACGT", "IIII")]
+        + [(20 + i, 0, 1, 201, 30, "10M", "ACGTACGTTC", "IIIIIIII#I") for i in range(4)],
+        "read_id long, flag int, ref_idx int, pos int, mapq int, cigar string, seq string, qual string")
+    genome = "A" * 10 + "ACGTACGTCC" + "A" * 80 + "ACGTACGT" + "A" * 92 + "ACGTACGTAC" + "A" * 90
+    tiles = spark.createDataFrame([(1, k, genome[k * 50:k * 50 + 50]) for k in range(6)], "ref_idx int, tile int, bases string")
+    pile = {r.pos: (r.depth, r.qual, r.mm_qual) for r in TG.pile_up(reads, tiles, 50).collect()}
+    assert pile[19] == (5, 200, 200) and pile[11] == (5, 200, 0) and pile[209] == (4, 8, 8) and 109 not in pile
+    known = spark.createDataFrame([(1, 280, 282), (2, 5, 5)], "ref_idx int, start_pos int, end_pos int")
+    got = TG.realignment_targets(reads, tiles, known, gap=2, window=2, min_depth=4, fraction=0.3, tile=50)
+    # the mismatch at 209 has almost no quality behind it
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 18, 20, 3), (1, 104, 105, 1), (1, 280, 282, 1), (2, 5, 5, 1)]
+    alone = TG.realignment_targets(reads, tiles, None, 2, 2, 4, 0.3, 50)
+    assert sorted(tuple(r) for r in alone.collect()) == [(1, 18, 20, 3), (1, 104, 105, 1)]
