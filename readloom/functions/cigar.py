@@ -28,7 +28,7 @@ def elements(cigar) -> Column:
 
 def is_well_formed(cigar) -> Column:
     cigar = _col(cigar)
-    return (cigar == "*") | cigar.rlike(f"^(\\d+[{OPS}])+$")
+    return (cigar == "*") | cigar.rlike(f"^(?:\\d+[{OPS}])++$")  # possessive: thousands of elements take no stack
 
 
 def format_elements(els) -> Column:

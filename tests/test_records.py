@@ -1,12 +1,15 @@
 """CIGAR rules, record checks, mates, duplicates, bases and variants, one case per rule."""
 
 import math
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from readloom.functions import bases as B
 from readloom.functions import cigar as C
+from readloom.functions.arrays import running
 from readloom.functions.md import reference_text
 from readloom.operators import dictionary as D
 from readloom.operators import duplicates as DU
@@ -32,6 +35,13 @@ def test_cigar_faults(spark, cigar, faults):
     assert got == (2 if cigar == "5S3H5S10M" else faults)
 
 
+def test_long_cigars_take_no_stack(spark):
+    long = "1M1I" * 20000
+    got = spark.createDataFrame([(long + "1M",), (long,), (long + "Q",)], "cigar string").select(
+        C.is_well_formed("cigar").alias("ok"), V.cigar_faults().alias("n")).collect()
+    assert [r.ok for r in got] == [True, True, False] and [r.n for r in got][:2] == [0, 0]
+
+
 OK = ("r", 0, 1, 100, 30, "4M", -1, 0, 0, "ACGT", "IIII", "G")
 
 
@@ -198,8 +208,70 @@ def test_quality_text(spark):
     ("ACGT", "2M2D2M", "2^TT2", False, "ACGT"), ("ACGT", "1S3M", "3", False, "0CGT"), ("ACGT", "1M2I1M", "2", False, "A--T"),
     ("ACGT", "2M3N2M", "4", True, "ACNNNGT"), ("ACGT", "2M3N2M", "4", False, "ACGT"), ("ACGT", "4M", "3", False, None), ("ACGT", "4M", "2?2", False, None),
     ("ACGT", "2M2D2M", "2^T2", True, None), ("ACGT", "2M2D2M", "4", True, None)])
-def test_reference_text(seq, cigar, md, deletions, want):
-    assert reference_text(seq, cigar, md, deletions) == want
+def test_reference_text(spark, seq, cigar, md, deletions, want):
+    df = spark.createDataFrame([(seq, cigar, md)], "seq string, cigar string, md string")
+    assert df.select(reference_text(F.col("seq"), F.col("cigar"), F.col("md"), deletions).alias("t")).first().t == want
+
+
+def drawn_read(rng, runs):
+    """A read with its CIGAR and MD, and the reference under it with deletions and without."""
+    letters = lambda n: "".join(rng.choices("ACGT", k=n))
+    seq, cigar, both, plain, md, same, before = "", "", "", "", "", 0, ""
+    for _ in range(runs):
+        op = rng.choice([o for o in "MMM=XIDNSHP" if o != before])
+        n, before = rng.randint(1, 9), op
+        cigar += f"{n}{op}"
+        if op in "M=X":
+            for base in letters(n):
+                under = rng.choice([base, base, base, letters(1)])
+                seq, both, plain = seq + base, both + under, plain + under
+                if under == base:
+                    same += 1
+                else:
+                    md, same = md + (str(same) if same or rng.random() < 0.5 else "") + under, 0
+        elif op in "IS":
+            seq, both, plain = seq + letters(n), both + "-0"[op == "S"] * n, plain + "-0"[op == "S"] * n
+        elif op == "D":
+            run = letters(n)
+            md, same, both = md + f"{same}^{run}0", 0, both + run  # the 0 keeps a mismatch apart from the deleted run
+        elif op == "N":
+            both += "N" * n
+    return seq, cigar, md + str(same), both, plain
+
+
+def test_reference_of_drawn_reads(spark):
+    """Reads of up to 400 runs tell the reference they were drawn from; a wrong tag tells nothing; no Python is in the plan."""
+    rng = random.Random(11)
+    rows = [(i, *drawn_read(rng, rng.choice([1, 2, 3, 7, 8, 9, 33, 400]))) for i in range(300)]
+    rows = [r for r in rows if r[1]]
+    df = spark.createDataFrame(rows, "read_id int, seq string, cigar string, md string, both string, plain string")
+    for deletions in (True, False):
+        out = M.reconstruct_reference(df, deletions)
+        assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+        assert {r.read_id: r.ref_text for r in out.collect()} == {r[0]: r[4 if deletions else 5] for r in rows}
+    wrong = df.withColumn("md", F.concat("md", F.lit("A")))
+    assert {r.ref_text for r in M.reconstruct_reference(wrong).collect()} == {None}
+
+
+def test_long_reads_take_time_in_proportion(spark):
+    """Ten times the runs: about ten times the time, not a hundred."""
+    def seconds(runs, reads):
+        rng = random.Random(runs)
+        rows = [(i, *drawn_read(rng, runs)) for i in range(reads)]
+        df = spark.createDataFrame(rows, "read_id int, seq string, cigar string, md string, b string, p string").coalesce(1)
+        M.reconstruct_reference(df).agg(F.sum(F.length("ref_text"))).collect()
+        start = time.time()
+        M.reconstruct_reference(df).agg(F.sum(F.length("ref_text"))).collect()
+        return time.time() - start
+
+    assert seconds(20000, 2) < 8 * seconds(2000, 20) + 2
+
+
+def test_running_sums(spark):
+    rng = random.Random(2)
+    rows = [([rng.randint(0, 9) for _ in range(n)],) for n in (0, 1, 2, 3, 4, 5, 8, 9, 16, 17, 1000)]
+    got = spark.createDataFrame(rows, "a array<int>").select("a", running(F.col("a")).alias("s")).collect()
+    assert all(r.s == [sum(r.a[:k]) for k in range(len(r.a))] for r in got) and len(got) == 11
 
 
 def test_mismatches_across_tiles_with_a_hot_tile(spark, monkeypatch):
