@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.operators.skew import HOT_ROWS, copy_rows, hot_keys, slice_rows, sliced_join, sliced_pairs, union_all
+from readloom.operators.ordering import number_rows
+from readloom.operators.skew import HOT_ROWS, copy_rows, heavy_keys, lookup_join, slice_rows, sliced_join, sliced_pairs, union_all
 from readloom.session import cut_lineage, fixed_layout
 
 SEED_NAME = "Bacon, Kevin (I)"  # where the walk starts unless told otherwise
@@ -111,46 +112,122 @@ class _Side:
     def __init__(self, edges: DataFrame, key: str, other: str, hot_rows: int):
         self.key, self.other, self.on = key, other, [key]
         rows = edges.select(key, other)
+        degrees = edges.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         self.hot = None
-        heaviest = edges.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+        heaviest = degrees.agg(F.max("_n").alias("n")).first()["n"]
         if heaviest is not None and heaviest > hot_rows:
-            self.hot = cut_lineage(hot_keys(edges, [key], hot_rows))
+            self.hot = cut_lineage(heavy_keys(degrees, [key], hot_rows))
             self.on = [key, "_slot"]
             rows = slice_rows(rows, self.hot, [key])
         self.rows = cut_lineage(rows.repartition(*self.on).sortWithinPartitions(*self.on))
+        self.vertices = cut_lineage(degrees.select(F.col(key).alias("id"), F.col("_n").alias("degree")).repartition("id"))
 
-    def step(self, frontier: DataFrame) -> DataFrame:
-        start = frontier.select(F.col("id").alias(self.key))
+    def edges_of(self, frontier: DataFrame) -> DataFrame:
+        """(id, other, ...) for every edge of the frontier's vertices, with the frontier's other columns."""
+        start = frontier.withColumnRenamed("id", self.key)
         if self.hot is not None:
             start = copy_rows(start, self.hot, [self.key])
-        return start.join(self.rows, self.on).select(F.col(self.other).alias("id")).distinct()
-
+        return start.join(self.rows, self.on).drop("_slot").withColumnRenamed(self.key, "id").withColumnRenamed(self.other, "other")
 
-def separation(bip: DataFrame, seed=SEED_NAME, max_dist: int = 6, hot_rows: int = HOT_ROWS) -> DataFrame:
+    def step(self, frontier: DataFrame) -> DataFrame:
+        """The other ends of all edges of ``frontier`` (id)."""
+        return self.edges_of(frontier.select("id")).select(F.col("other").alias("id")).distinct()
+
+
+class _Layers:
+    """What a walk has reached on one side: its layers (id, degree), and the edges of the vertices not reached yet."""
+
+    def __init__(self, side: _Side, edges: int):
+        self.side, self.rest, self.layers, self.edges = side, edges, [], 0
+
+    def add(self, found: DataFrame) -> bool:
+        """Keeps a new layer; False if it is empty."""
+        layer = cut_lineage(found)
+        self.edges = layer.agg(F.sum("degree")).first()[0] or 0
+        self.rest -= self.edges
+        self.layers.append(layer)
+        return self.edges > 0
+
+    def reach(self, other: _Layers, direction: str) -> tuple[str, int]:
+        """Adds the vertices next to the last layer of ``other``: (direction taken, edge rows looked at).
+
+        Downward the edges of that layer tell their other ends, most of which are known once a layer is wide. Upward the
+        vertices not reached yet look for the layer among their own neighbours, of which there are fewer then.
+        """
+        frontier, vertices = other.layers[-1], self.side.vertices
+        if direction == "up" or (direction == "auto" and self.rest < other.edges):
+            rows = self.rest
+            rest = vertices.join(union_all(*self.layers).select("id"), "id", "left_anti") if self.layers else vertices
+            seen = sliced_join(self.side.edges_of(rest.select("id")).select("id", "other"),
+                               frontier.select(F.col("id").alias("other")), ["other"], "left_semi")
+            self.add(rest.join(seen.select("id").distinct(), "id", "left_semi"))
+            return "up", rows
+        found = vertices.join(other.side.step(frontier), "id", "left_semi")
+        self.add(found.join(self.layers[-1], "id", "left_anti") if self.layers else found)
+        return "down", other.edges
+
+
+def separation(bip: DataFrame, seed=SEED_NAME, max_dist: int = 6, hot_rows: int = HOT_ROWS, direction: str = "auto",
+               trace: list | None = None) -> DataFrame:
     """(id, dist) for every actor; dist null if not within ``max_dist`` steps of ``seed``.
 
-    Breadth-first over the bipartite graph. A neighbour of layer h lies in layer h-1 or h+1, so a
-    new layer only has to drop what the layer before last held. Each layer is checkpointed.
+    Breadth-first over the bipartite graph, from actors to titles and back. A neighbour of a layer lies in the layer before or
+    after it, so a new layer only has to drop what the last one on its side held. Each half step goes ``down`` from
+    the frontier or ``up`` from the vertices not reached yet; ``auto`` takes the one with fewer edges. Layers are
+    checkpointed. ``trace`` is given (distance, side, direction, edge rows) of every half step.
     """
+    if direction not in ("auto", "down", "up"):
+        raise ValueError("direction must be auto, down or up")
     edges = cut_lineage(bip.select("actor", "title").distinct())
+    n = edges.count()
+    with fixed_layout(bip.sparkSession, n):
+        actors = _Layers(_Side(edges, "actor", "title", hot_rows), n)
+        titles = _Layers(_Side(edges, "title", "actor", hot_rows), n)
+        more, dist = actors.add(actors.side.vertices.filter(F.col("id") == F.lit(seed))), 0
+        while more and dist < max_dist:
+            dist += 1
+            for name, here, there in (("titles", titles, actors), ("actors", actors, titles)):
+                step = here.reach(there, direction)
+                if trace is not None:
+                    trace.append((dist, name, *step))
+            more = actors.edges > 0
+    layers = [layer.select("id", F.lit(k).alias("dist")) for k, layer in enumerate(actors.layers)]
+    return min_by_key(union_all(*layers, actors.side.vertices.select("id", F.lit(None).cast("int").alias("dist"))), "id", "dist")
+
+
+def separation_of_many(bip: DataFrame, seeds: DataFrame, max_dist: int = 6, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(seed, id, dist) for every seed of ``seeds`` (id) and actor within ``max_dist`` steps of it.
+
+    64 seeds walk together as the bits of a word, so a vertex that many seeds reach in the same step is one row. A layer holds
+    (id, word, bits); a step joins the bits at each end by OR, map-side first, and clears those the layer before had.
+    """
+    edges = cut_lineage(bip.select("actor", "title").distinct())
+    numbered = cut_lineage(number_rows(seeds.select(F.col("id").alias("seed")).distinct(), ["seed"], "_k").drop("_total"))
     with fixed_layout(bip.sparkSession, edges.count()):
         by_actor = _Side(edges, "actor", "title", hot_rows)
         by_title = _Side(edges, "title", "actor", hot_rows)
-        vertices = by_actor.rows.select(F.col("actor").alias("id")).distinct()
-        layer = cut_lineage(vertices.filter(F.col("id") == F.lit(seed)))
-        layers = [layer.withColumn("dist", F.lit(0))]
-        titles = None
+        word, bit = F.shiftright("_k", 6).alias("word"), F.expr("shiftleft(1L, int(_k & 63))")
+        start = numbered.join(by_actor.vertices.select(F.col("id").alias("seed")), "seed").groupBy(F.col("seed").alias("id"), word)
+        layer = cut_lineage(start.agg(F.bit_or(bit).alias("bits")).repartition("id"))
+        layers, before = [layer.withColumn("dist", F.lit(0))], None
+        clear = F.bitwise_not(F.coalesce(F.col("_old"), F.lit(0).cast("long")))
+
+        def advance(frontier, side, known):
+            met = side.edges_of(frontier).groupBy(F.col("other").alias("id"), "word").agg(F.bit_or("bits").alias("bits"))
+            if known is not None:
+                old = known.select("id", "word", F.col("bits").alias("_old"))
+                met = met.join(old, ["id", "word"], "left").withColumn("bits", F.col("bits").bitwiseAND(clear)).drop("_old")
+            return cut_lineage(met.filter(F.col("bits") != 0).repartition("id"))
+
         for dist in range(1, max_dist + 1):
-            reached = by_actor.step(layer)
-            if titles is not None:
-                reached = reached.join(titles, "id", "left_anti")
-            titles = cut_lineage(reached)
-            layer = cut_lineage(by_title.step(titles).join(layer, "id", "left_anti"))
+            before = advance(layer, by_actor, before)
+            layer = advance(before, by_title, layer)
             if layer.isEmpty():
                 break
             layers.append(layer.withColumn("dist", F.lit(dist)))
-    found = union_all(*layers, vertices.withColumn("dist", F.lit(None).cast("int")))
-    return min_by_key(found, "id", "dist")
+    places = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda k: F.call_function("getbit", F.col("bits"), k) == 1)
+    reached = union_all(*layers).select("id", "dist", F.explode(F.transform(places, lambda k: F.col("word") * 64 + k)).alias("_k"))
+    return lookup_join(reached, numbered, ["_k"], "inner").select("seed", "id", "dist")
 
 
 def total_records(df: DataFrame) -> DataFrame:
@@ -173,8 +250,8 @@ def names_at_distance(dist: DataFrame, d: int = 6) -> DataFrame:
 def separation_report(bip: DataFrame, seed=SEED_NAME, max_dist: int = 6, records: DataFrame | None = None) -> DataFrame:
     """(ord, label, value): totals, the histogram, then the names at ``max_dist``.
 
-    Names share the last ord; order the report by (ord, value). ``records`` are the raw input
-    records counted in the first line (the distinct actors if not given).
+    Names share the last ord; order the report by (ord, value). ``records`` are the input blocks, which the
+    first line counts; a performer can have several. Without them it counts the distinct performers.
     """
     dist = cut_lineage(separation(bip, seed, max_dist))
     counted = total_records(records if records is not None else dist)

@@ -16,6 +16,11 @@ FIXTURES = {
     "f_costar": """
 SELECT DISTINCT o_custkey AS actor, l_partkey * 1000 + CAST(l_quantity AS INT) * 11 + CAST(round(l_discount * 100) AS INT) AS title
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
+    # few titles, each with most of the performers
+    "f_cast": """
+SELECT DISTINCT o_custkey AS actor, l_suppkey % 20 AS title FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+UNION ALL SELECT c_custkey, 1000 + c_custkey FROM {customer} WHERE c_custkey % 5 < 2
+UNION ALL SELECT c_custkey + 5, 1000 + c_custkey FROM {customer} WHERE c_custkey % 5 = 0""",
     "f_dict": """
 SELECT CAST(n_nationkey AS INT) AS ref_idx, CASE n_nationkey WHEN 0 THEN 'chrM' WHEN 23 THEN 'chrX' WHEN 24 THEN 'chrY'
  ELSE concat('chr', n_nationkey) END AS rname, 1000000 AS length FROM {nation}
@@ -101,7 +106,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Read-like inputs are written once per session as parquet, as a pipeline would keep them.
-STORED = {"f_costar", "f_reads", "f_ids", "f_refbases", "f_damaged", "f_ends"}
+STORED = {"f_costar", "f_cast", "f_reads", "f_ids", "f_refbases", "f_damaged", "f_ends"}
 _stored_paths: dict[tuple[str, str, str], str] = {}
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readloom.operators import costars as K
 from readloom.operators import graph as G
 from readloom.plans.fixtures import fixture, table
 from readloom.plans.registry import query
@@ -141,3 +142,63 @@ UNION ALL SELECT 10, '', CAST(id AS VARCHAR) FROM dist WHERE dist = 6""")
 def separation_report(spark, sf_dir):
     bip = bipartite(spark, sf_dir)
     return G.separation_report(bip, top_actor(bip))
+
+
+# ---- crowded titles and many seeds
+
+CAST_PAIRS_SQL = "cast_pairs AS (SELECT DISTINCT a.actor AS a, b.actor AS b FROM f_cast a JOIN f_cast b ON a.title = b.title)"
+
+
+@query("jn1_costar_edges_crowded", """
+SELECT DISTINCT actor AS src, title AS hub FROM f_cast WHERE title IN (SELECT title FROM f_cast GROUP BY title HAVING count(DISTINCT actor) > 1)""")
+def costar_edges_crowded(spark, sf_dir):
+    return G.costar_edges(fixture(spark, sf_dir, "f_cast"), hot_rows=500)
+
+
+@query("ag2_costar_degree", f"""
+WITH {CAST_PAIRS_SQL} SELECT a AS actor, count(*) - 1 AS degree FROM cast_pairs GROUP BY a""")
+def costar_degree(spark, sf_dir):
+    """From bitmaps, where most casts hold most performers."""
+    return K.costar_degrees(*K.costar_bitmaps(fixture(spark, sf_dir, "f_cast")))
+
+
+PAIRS_SQL = "p AS (SELECT c_custkey AS a, (c_custkey * 7 + 3) % 1600 AS b FROM customer)"
+
+
+@query("ag2_are_costars", f"""
+WITH {CAST_PAIRS_SQL}, {PAIRS_SQL}
+SELECT p.a, p.b, p.a <> p.b AND c.a IS NOT NULL AS linked FROM p LEFT JOIN cast_pairs c ON c.a = p.a AND c.b = p.b""")
+def are_costars(spark, sf_dir):
+    return K.are_costars(_asked(spark, sf_dir), *K.costar_bitmaps(fixture(spark, sf_dir, "f_cast")))
+
+
+@query("ag2_common_costars", f"""
+WITH {CAST_PAIRS_SQL}, {PAIRS_SQL}, n AS (SELECT p.a, p.b, count(*) AS n FROM p JOIN cast_pairs x ON x.a = p.a JOIN cast_pairs y ON y.a = p.b AND y.b = x.b
+ WHERE x.b <> p.a AND x.b <> p.b GROUP BY ALL)
+SELECT p.a, p.b, coalesce(n.n, 0) AS common FROM p LEFT JOIN n ON n.a = p.a AND n.b = p.b""")
+def common_costars(spark, sf_dir):
+    return K.common_costars(_asked(spark, sf_dir), *K.costar_bitmaps(fixture(spark, sf_dir, "f_cast")))
+
+
+def _asked(spark, sf_dir):
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(key.alias("a"), ((key * 7 + 3) % 1600).alias("b"))
+
+
+@query("separation_of_many", f"""
+WITH RECURSIVE seeds AS (SELECT actor AS seed FROM (SELECT DISTINCT actor FROM f_costar) ORDER BY actor DESC LIMIT 70),
+walk AS (
+ SELECT seed, seed AS id, 0 AS dist FROM seeds
+ UNION SELECT w.seed, b.actor, w.dist + 1 FROM walk w JOIN f_costar a ON a.actor = w.id JOIN f_costar b ON b.title = a.title WHERE w.dist < 2)
+SELECT seed, id, CAST(min(dist) AS INT) AS dist FROM walk GROUP BY ALL""")
+def separation_of_many(spark, sf_dir):
+    """Two steps from 70 performers at once: two words of seeds."""
+    bip = bipartite(spark, sf_dir)
+    seeds = bip.select(F.col("actor").alias("id")).distinct().orderBy(F.desc("id")).limit(70)
+    return G.separation_of_many(bip, cut_lineage(seeds), 2)
+
+
+@query("separation_crowded", f"WITH RECURSIVE {WALK_SQL.replace('f_costar', 'f_cast')} SELECT id, dist FROM dist")
+def separation_crowded(spark, sf_dir):
+    bip = fixture(spark, sf_dir, "f_cast")
+    return G.separation(bip, top_actor(bip), hot_rows=500)

@@ -5,6 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from readloom.operators import costars as K
 from readloom.operators import graph as G
 from readloom.sources import text as T
 
@@ -39,6 +40,71 @@ def test_separation(bip, hot_rows, limit):
     assert got == brute(BIP, "a", limit)
 
 
+def ladder(wide):
+    """A seed with one co-star, who plays with ``wide`` others in titles of ten, who all play with a tail of three."""
+    pairs = [("s", "first"), ("hub", "first")] + [(f"w{i}", f"m{i // 10}") for i in range(wide)] + [("hub", f"m{k}") for k in range(wide // 10)]
+    pairs += [(f"w{i}", f"n{(i * 7) % wide // 10}") for i in range(wide)] + [("w0", "last"), ("x", "last"), ("x", "end"), ("y", "end"), ("lone", "own")]
+    return pairs
+
+
+@pytest.mark.parametrize("hot_rows", [20, 1 << 21])
+def test_directions_agree_and_the_widest_layer_moves_fewer_rows(spark, hot_rows):
+    pairs = ladder(600)
+    graph = spark.createDataFrame(pairs, "actor string, title string")
+    traces = {}
+    for way in ("down", "up", "auto"):
+        trace = traces[way] = []
+        got = {r.id: r.dist for r in G.separation(graph, "s", 6, hot_rows, way, trace).collect()}
+        assert got == brute(pairs, "s", 6), way
+    rows = {way: {(d, side): n for d, side, _, n in trace} for way, trace in traces.items()}
+    assert rows["down"][3, "titles"] >= 1200 and rows["auto"][3, "titles"] < rows["down"][3, "titles"] / 1.9
+    assert all(rows["auto"][k] == min(rows["down"][k], rows["up"][k]) for k in rows["auto"])
+    assert {w for _, _, w, _ in traces["auto"]} == {"down", "up"}
+    with pytest.raises(ValueError):
+        G.separation(graph, "s", direction="sideways")
+
+
+@pytest.mark.parametrize("hot_rows", [3, 1 << 21])
+def test_many_seeds_walk_as_bits(spark, hot_rows):
+    pairs = ladder(150)
+    graph = spark.createDataFrame(pairs, "actor string, title string")
+    seeds = ["s", "hub", "lone", "nobody", "y", *[f"w{i}" for i in range(130)]]
+    got = {(r.seed, r.id): r.dist for r in G.separation_of_many(graph, spark.createDataFrame([(s,) for s in seeds], "id string"), 4, hot_rows).collect()}
+    want = {(s, i): d for s in seeds if s != "nobody" for i, d in brute(pairs, s, 4).items() if d is not None}
+    assert got == want
+
+
+@pytest.mark.parametrize("small", [0, 3, 512])
+def test_costar_sets(spark, small):
+    """Bitmaps of every size of cast give the pairs that a list gives."""
+    pairs = [(f"p{i}", "big") for i in range(1200)] + [(f"p{i}", f"t{i // 3}") for i in range(1190, 1300)] + [("alone", "own"), ("p0", "own2")]
+    pairs += [("p0", "big")]
+    numbers, sets = K.costar_bitmaps(spark.createDataFrame(pairs, "actor string, title string"), small, hot_rows=100)
+    cast = defaultdict(set)
+    for actor, title in pairs:
+        cast[title].add(actor)
+    near = defaultdict(set)
+    for members in cast.values():
+        for m in members:
+            near[m] |= members
+    assert {r.actor: r.degree for r in K.costar_degrees(numbers, sets).collect()} == {a: len(n) - 1 for a, n in near.items()}
+    asked = [("p0", "p1"), ("p0", "p1250"), ("p1250", "p1250"), ("p1198", "p1200"), ("alone", "p0"), ("who", "p0"), ("p0", "p0"), ("p0", "p1")]
+    frame = spark.createDataFrame(asked, "a string, b string")
+    linked = [(r.a, r.b, r.linked) for r in K.are_costars(frame, numbers, sets).collect()]
+    assert sorted(linked) == sorted((a, b, a != b and b in near.get(a, ())) for a, b in asked)
+    common = [(r.a, r.b, r.common) for r in K.common_costars(frame, numbers, sets).collect()]
+    assert sorted(common) == sorted((a, b, len((near.get(a, set()) & near.get(b, set())) - {a, b})) for a, b in asked)
+
+
+def test_buckets_of_many_performers(spark):
+    """More performers than a bucket holds: sets of several bitmaps."""
+    wide = spark.range(70000).select(F.concat(F.lit("p"), F.lpad("id", 6, "0")).alias("actor"), F.lit("t").alias("title")).filter("actor like '%7'")
+    bip = wide.unionByName(spark.range(70000).select(F.concat(F.lit("p"), F.lpad("id", 6, "0")).alias("actor"), F.concat(F.lit("u"), "id").alias("title")))
+    numbers, sets = K.costar_bitmaps(bip)
+    got = K.costar_degrees(numbers, sets).groupBy("degree").count().collect()
+    assert {r.degree: r["count"] for r in got} == {0: 63000, 6999: 7000}
+
+
 def test_separation_of_unknown_seed(bip):
     assert {r.dist for r in G.separation(bip, "nobody").collect()} == {None}
 
