@@ -64,6 +64,49 @@ def balance_load(df: DataFrame, n: int, order: list, name: str = "bucket", store
     return rows.withColumn(name, bucket_of(F.col("_ord"), F.col("_total"), n)).drop("_ord", "_total")
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: the length of texts and binaries, of anything nested as JSON, and 8 for other columns."""
+    size = F.lit(0).cast("long")
+    for field in df.schema:
+        kind, own = field.dataType.typeName(), F.col(f"`{field.name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(own), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(own))), F.lit(0))
+        else:
+            size = size + 8
+    return size
+
+
+def with_running_cost(df: DataFrame, order: list, cost: Column, stored: bool = False) -> DataFrame:
+    """Adds, in the given order: ``_row``, ``_cost``, ``_before`` (the cost of all rows before), ``_all`` (of all rows), ``_part`` and
+    ``_local`` (the cost of the rows before in the same range partition).
+
+    Costs are added up inside range partitions; what earlier ones cost comes in as one row per partition.
+    """
+    placed, offsets = _placed(df.withColumn("_cost", cost.cast("long")), order, stored)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    costs = placed.groupBy("_part").agg(F.sum("_cost").alias("_sum")).select(
+        "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_earlier"), F.sum("_sum").over(everything).alias("_all"))
+    upto = Window.partitionBy("_part").orderBy("_local").rowsBetween(Window.unboundedPreceding, -1)
+    rows = placed.withColumn("_inside", F.coalesce(F.sum("_cost").over(upto), F.lit(0)))
+    return (rows.join(F.broadcast(offsets.drop("_total")), "_part").join(F.broadcast(costs), "_part")
+            .withColumns({"_row": F.col("_start") + F.col("_local"), "_before": F.col("_earlier") + F.col("_inside"), "_local": F.col("_inside")})
+            .drop("_at", "_start", "_earlier", "_inside"))
+
+
+def balance_cost(df: DataFrame, n: int, order: list, cost: Column, name: str = "bucket", stored: bool = False) -> DataFrame:
+    """Contiguous buckets 0..n-1 in the given order of about equal cost; a key of many rows is cut like any other.
+
+    A row belongs to the bucket in which its cost begins, so a bucket outweighs its share by less than one row. Costs must not
+    be negative; where all are 0, everything is in bucket 0.
+    """
+    rows = with_running_cost(df, order, cost, stored)
+    share = F.least(F.floor(F.col("_before") * n / F.greatest(F.col("_all"), F.lit(1))), F.lit(n - 1)).cast("int")
+    return rows.withColumn(name, share).drop("_row", "_cost", "_before", "_all", "_part", "_local")
+
+
 def order_key(order: str) -> Column:
     """What consecutive rows of a sorted file are compared by."""
     if order == "coordinate":

@@ -409,6 +409,24 @@ def map_chunks(spark, sf_dir):
     return RG.map_chunks(reads(spark, sf_dir).select("qname", "flag", "seq"), count_g, "qname string, flag int, g long")
 
 
+@query("ud2_apply_regions_by_cost", """
+SELECT lang, count(*) AS n, CAST(sum(octet_length(encode(coalesce(text, '')))) AS BIGINT) AS bytes, true AS bounded FROM documents GROUP BY lang""")
+def apply_regions_by_cost(spark, sf_dir):
+    """Whole texts of all lengths in regions of 256 kB at most, unless one text is longer."""
+    import pandas as pd
+
+    limit = 1 << 18
+
+    def summarise(region):
+        size = region.text.fillna("").str.encode("utf-8").str.len()
+        fits = int(size.sum()) <= limit or len(region) == 1
+        return region.assign(bytes=size).groupby("lang", dropna=False, as_index=False).agg(n=("bytes", "size"), bytes=("bytes", "sum")).assign(fits=fits)
+
+    docs = table(spark, sf_dir, "documents").select("lang", "doc_id", "text")
+    parts = RG.apply_regions_by_cost(docs, ["lang", "doc_id"], summarise, "lang string, n long, bytes long, fits boolean", limit, stored=True)
+    return parts.groupBy("lang").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.min("fits").alias("bounded"))
+
+
 @query("ud2_apply_regions", f"""
 WITH n AS (SELECT CAST(ceil(count(*) / 4000.0) AS BIGINT) AS k FROM f_reads WHERE {MAPPED}),
 o AS (SELECT *, row_number() OVER (ORDER BY {REGION}) - 1 AS i, count(*) OVER () AS t FROM f_reads WHERE {MAPPED}),

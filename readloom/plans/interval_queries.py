@@ -71,6 +71,19 @@ def region_groups(spark, sf_dir):
     return I.region_groups(main_reads(spark, sf_dir), 7, R.region_order(), stored=True)
 
 
+@query("ag8_region_costs", f"""
+WITH o AS (SELECT ref_idx, pos, mapq, coalesce(sum(mapq) OVER (ORDER BY {REGION} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+  sum(mapq) OVER () AS total FROM f_reads WHERE {MAPPED}),
+b AS (SELECT *, least(CAST(floor(before * 7 / greatest(total, 1)) AS INT), 6) AS bucket FROM o),
+f AS (SELECT bucket, count(*) AS n, min(ref_idx::BIGINT * 1000000000 + pos) AS lo, max(ref_idx::BIGINT * 1000000000 + pos) AS hi,
+  CAST(sum(mapq) AS BIGINT) AS cost FROM b GROUP BY bucket)
+SELECT bucket, n, CAST(lo // 1000000000 AS INT) AS first_ref, CAST(lo % 1000000000 AS INT) AS first_pos,
+ CAST(hi // 1000000000 AS INT) AS last_ref, CAST(hi % 1000000000 AS INT) AS last_pos, cost FROM f""")
+def region_costs(spark, sf_dir):
+    """Regions of equal summed mapping quality."""
+    return I.region_groups(main_reads(spark, sf_dir), 7, R.region_order(), stored=True, cost=F.col("mapq"))
+
+
 @query("ag11_reference_stats", """
 WITH c AS (SELECT CASE WHEN pos <> 0 THEN ref_idx ELSE -1 END AS ref_idx, count_if(flag & 4 = 0 AND pos <> 0) AS a,
  count_if(flag & 4 <> 0 OR pos = 0) AS u FROM f_reads GROUP BY 1),
