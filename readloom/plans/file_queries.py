@@ -14,11 +14,11 @@ from readloom.operators import regions as RG
 from readloom.operators.skew import lookup_join
 from readloom.plans.base_queries import FAULTS_SQL
 from readloom.plans.fixtures import fixture, table
-from readloom.plans.graph_queries import WALK_SQL, bipartite, top_actor
+from readloom.plans.graph_queries import BLOCKS_SQL, WALK_SQL, bipartite, top_actor
 from readloom.plans.interval_queries import SPANS, islands, main_reads
-from readloom.plans.read_queries import COORD, MAPPED, REGION, reads
+from readloom.plans.read_queries import COORD, MAPPED, REGION, as_sorted, reads
 from readloom.plans.registry import query
-from readloom.session import scratch_dir
+from readloom.session import cut_lineage, scratch_dir
 from readloom.sources import sam as S
 from readloom.sources import text as T
 from readloom.sources import vcf as V
@@ -51,8 +51,8 @@ def parse_bipartite(spark, sf_dir):
 
 
 @query("io9_write_report", f"""
-WITH RECURSIVE {WALK_SQL}, rep AS (
-SELECT 1 AS ord, '{G.LABEL_ACTORS}' AS label, CAST(count(*) AS VARCHAR) AS value FROM dist
+WITH RECURSIVE {WALK_SQL}, {BLOCKS_SQL}, rep AS (
+SELECT 1 AS ord, '{G.LABEL_ACTORS}' AS label, CAST(count(*) AS VARCHAR) AS value FROM blocks
 UNION ALL SELECT 2, '{G.LABEL_TITLES}', CAST(count(DISTINCT title) AS VARCHAR) FROM f_costar
 UNION ALL SELECT CAST(s.d + 2 AS INT), concat('{G.LABEL_AT}', s.d), CAST(count(x.id) AS VARCHAR)
  FROM (SELECT unnest(range(1, 7)) AS d) s LEFT JOIN dist x ON x.dist = s.d GROUP BY s.d
@@ -60,8 +60,9 @@ UNION ALL SELECT 9, '{G.LABEL_NAMES}6', '' UNION ALL SELECT 10, '', CAST(id AS V
 SELECT row_number() OVER (ORDER BY ord, value) - 1 AS ord, concat('(', label, ',', value, ')') AS value FROM rep""")
 def write_report(spark, sf_dir):
     path = scratch_dir(spark, "report")
-    bip = bipartite(spark, sf_dir)
-    T.write_report(G.separation_report(bip, top_actor(bip)), path)
+    blocks = T.read_blocks(spark, write_actors(spark, sf_dir))
+    bip = cut_lineage(G.parse_bipartite(blocks).select(*[F.substring(c, 2, 1 << 30).cast("long").alias(c) for c in ("actor", "title")]))
+    T.write_report(G.separation_report(bip, top_actor(bip), records=blocks), path)
     return T.positioned_lines(spark, path)
 
 
@@ -110,7 +111,7 @@ def zip_by_position(spark, sf_dir):
 @query("sr7_fastq_order", f"""
 WITH {PAIRS_SQL} SELECT row_number() OVER (ORDER BY rec_id, source, line_no) - 1 AS ord, value FROM fl""")
 def fastq_order(spark, sf_dir):
-    return O.ordinal(zipped(spark, sf_dir), ["rec_id", "source", "line_no"], stored=True).select("ord", "value")
+    return as_sorted(O.fastq_order(zipped(spark, sf_dir))).select("ord", "value")
 
 
 @query("io10_write_chunks", f"""

@@ -67,6 +67,7 @@ SELECT CAST(p_partkey % 24 + 1 AS INT) AS ref_idx, CAST(1 + (p_partkey * 9973) %
 SELECT CAST(o_custkey % 24 + 1 AS INT) AS chrom_num, CAST(1 + (o_orderkey * 37) % 5000 AS INT) AS pos,
  substr('ACGT', CAST(1 + o_orderkey % 4 AS INT), 1) AS ref, substr('CGTA', CAST(1 + o_orderkey % 4 AS INT), 1) AS alt,
  CAST(o_custkey % 60 AS INT) AS qual FROM {orders}""",
+    # a second call set: two thirds of the first's sites, some of them moved by one, so that each set has calls the other lacks
     "f_variants_b": """
 SELECT CAST(o_custkey % 24 + 1 AS INT) AS chrom_num,
  CAST(1 + (o_orderkey * 37) % 5000 + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS INT) AS pos,

@@ -12,7 +12,7 @@ from readloom.operators import ordering as O
 from readloom.operators import reads as R
 from readloom.plans.fixtures import fixture, table
 from readloom.plans.registry import query
-from readloom.session import scratch_dir
+from readloom.session import cut_lineage, scratch_dir
 from readloom.sources.layout import StoredReads, store_regions
 
 CORE = ["qname", "flag", "ref_idx", "pos", "mapq", "cigar"]
@@ -36,6 +36,12 @@ NAME = ("qname, CASE WHEN flag & 1 <> 0 THEN 0 ELSE 1 END, "
         "flag & 16, flag & 256")
 
 
+def as_sorted(df):
+    """``ord``: where each row stands in the order that ``df`` comes in, whatever that order is."""
+    placed = df.withColumn("_at", F.monotonically_increasing_id())
+    return O.ordinal(cut_lineage(placed), ["_at"], stored=True).drop("_at")
+
+
 def reads(spark, sf_dir):
     return fixture(spark, sf_dir, "f_reads")
 
@@ -139,14 +145,14 @@ def sort_violations(spark, sf_dir):
 
 @query("sr3_coordinate_sort", _ranked(COORD))
 def coordinate_sort(spark, sf_dir):
-    return O.ordinal(reads(spark, sf_dir), R.coordinate_order(), stored=True).select("ord", *CORE)
+    return as_sorted(R.coordinate_sort(reads(spark, sf_dir))).select("ord", *CORE)
 
 
 @query("sr4_queryname_sort", f"""
 SELECT qname, min(row_number) - 1 AS first_ord, max(row_number) - 1 AS last_ord, sum(CASE WHEN flag & 64 <> 0 THEN row_number - 1 END)::BIGINT AS first_end_ords
 FROM (SELECT qname, flag, row_number() OVER (ORDER BY {NAME}) AS row_number FROM f_reads) GROUP BY qname""")
 def queryname_sort(spark, sf_dir):
-    rows = O.ordinal(reads(spark, sf_dir), R.queryname_order(), stored=True)
+    rows = as_sorted(R.queryname_sort(reads(spark, sf_dir)))
     return rows.groupBy("qname").agg(
         F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"),
         F.sum(F.when(FL.has(FL.FIRST), F.col("ord"))).alias("first_end_ords"))
@@ -154,7 +160,7 @@ def queryname_sort(spark, sf_dir):
 
 @query("sr5_region_sort", _ranked(REGION, MAPPED))
 def region_sort(spark, sf_dir):
-    return O.ordinal(R.mapped_main_chroms(reads(spark, sf_dir)), R.region_order(), stored=True).select("ord", *CORE)
+    return as_sorted(R.region_sort(R.mapped_main_chroms(reads(spark, sf_dir)))).select("ord", *CORE)
 
 
 @query("jn5_query_overlapping", f"""
