@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_VOCABULARY = 64 << 20  # bytes of a vocabulary file that is sent to the executors
-KEPT_PIECES = 1 << 18      # pieces after which a worker starts to remember afresh
+KEPT_PIECES = 3 << 17      # pieces after which a worker sets those it knows aside; what it meets again it takes back
 STEP_BYTES = 4 << 20       # text whose new pieces are merged together
 KEPT_LENGTH = 64           # longer pieces are merged each time
 
@@ -118,6 +118,7 @@ class Encoder:
         self.cut = regex.compile(pattern).findall
         self.by_blanks = pattern == public_tokenizers.PATTERN  # another pattern may have pieces with inner blanks
         self.known: dict[str, bytes] = {}
+        self.aside: dict[str, bytes] = {}
         self.token = {rank: part for part, rank in self.ranks.items()}
         pairs = {}
         for part, rank in self.ranks.items():
@@ -242,18 +243,25 @@ class Encoder:
         """Ids of each text as little-endian int32; pieces not seen before are merged together."""
         cut = [self.chunks(text) for text in texts]
         if len(self.known) > KEPT_PIECES:
-            self.known = {}
+            self.known, self.aside = {}, self.known
         gc.disable()  # nothing here is cyclic, and walking the pieces kept takes long
         try:
             return self._encode(cut)
         finally:
             gc.enable()
 
+    def _unknown(self, lists) -> set[str]:
+        """The pieces not known yet; those set aside are taken back."""
+        missing = set(chain.from_iterable(lists)).difference(self.known)
+        found = missing.intersection(self.aside)
+        self.known.update(zip(found, map(self.aside.__getitem__, found)))
+        return missing - found
+
     def _encode(self, cut: list[list[str]]) -> list[bytes]:
         known, ids, ranks = self.known, {}, self.ranks
-        pieces = {x: self.cut(x) for x in set(chain.from_iterable(cut)).difference(known)}
+        pieces = {x: self.cut(x) for x in self._unknown(cut)}
         new = []
-        for piece in set(chain.from_iterable(pieces.values())).difference(known):
+        for piece in self._unknown(pieces.values()):
             data = piece.encode()
             whole = ranks.get(data)
             if whole is None:
