@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readloom.llm.common import tidy
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_VOCABULARY = 64 << 20  # bytes of a vocabulary file that is sent to the executors
 KEPT_PIECES = 3 << 17      # pieces after which a worker sets those it knows aside; what it meets again it takes back
@@ -330,7 +332,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
             yield pa.RecordBatch.from_arrays([rows.column(0), ids], ["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None,
@@ -347,7 +349,7 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", pat
     rows = encoded.select(F.col(id_col).alias("doc_id"),
                           F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
     return rows.mapInArrow(
-        run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
+        tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
@@ -364,7 +366,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([rows.column(0), ids, _decoded(encoder, ids)], ["doc_id", "ids", "decoded"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    done = rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
+    done = rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
     return done.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

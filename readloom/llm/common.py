@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,3 +90,21 @@ def without_rows(docs: DataFrame, rejected: Callable[[DataFrame], DataFrame], na
     keyed = docs.withColumn(key, row_key(F.col(name), F.sha2(text_of(text), 256)))
     dropped = rejected(keyed.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
     return without_ids(keyed, dropped.select(F.col("doc_id").alias(key)), key).drop(key)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, after which freed memory goes back to the system.
+
+    Workers stay for later tasks and stages; what allocators keep of the memory of earlier ones adds up beside the JVM.
+    """
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+    return tidied

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import text_of, without_rows
+from readloom.llm.common import text_of, tidy, without_rows
 from readloom.operators.skew import union_all
 
 WINDOW = 13
@@ -195,7 +195,7 @@ def _search(docs: DataFrame, block: DataFrame, size: int) -> DataFrame:
                     pa.array([x[2] for x in found], pa.list_(pa.string()))], [*keep, "n_words", "spans", "items"])
 
     kept = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.mapInArrow(run, f"{kept}, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>")
+    return docs.mapInArrow(tidy(run), f"{kept}, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>")
 
 
 _COPIES = 1 << 16

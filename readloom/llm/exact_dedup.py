@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import fresh, row_key, sieve, sieved, text_of, without_ids
+from readloom.llm.common import fresh, row_key, sieve, sieved, text_of, tidy, without_ids
 from readloom.operators.skew import sliced_join
 from readloom.session import cut_lineage
 
@@ -126,7 +126,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "id", F.spark_partition_id().cast("long").alias("sender"),
         F.shiftrightunsigned(F.xxhash64("norm"), 64 - bits).alias("print"), F.sha2("norm", 256).alias("sha")))
 
-    messages = prints.select("sender", "print").mapInArrow(_messages(owners, bits), _MESSAGE)
+    messages = prints.select("sender", "print").mapInArrow(tidy(_messages(owners, bits)), _MESSAGE)
     bitmaps = messages.groupBy("owner").applyInPandas(_answers(owners, bits), "owner long, sender long, bitmap binary")
     suspects = cut_lineage(
         prints.select("id", "sender", "print").groupBy("sender")

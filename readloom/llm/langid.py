@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.llm.common import text_of
+from readloom.llm.common import text_of, tidy
 from readloom.session import cut_lineage
 
 SAMPLE = 800        # labelled rows of each language that a model is trained on
@@ -131,7 +131,7 @@ def train(labelled: DataFrame, bound: int = SAMPLE, lang_col: str = "lang", text
                 batch.column(0), pa.array([c.astype(np.int32).tobytes() for c, _ in found], pa.binary()),
                 pa.array([w.astype(np.float32).tobytes() for _, w in found], pa.binary())], ["lang", "cells", "weights"])
 
-    sample = cut_lineage(_sample(rows, bound).mapInArrow(vectors, "lang string, cells binary, weights binary"))
+    sample = cut_lineage(_sample(rows, bound).mapInArrow(tidy(vectors), "lang string, cells binary, weights binary"))
     languages = [r.lang for r in sample.select("lang").distinct().collect()]
     model = Model(languages, {})
     tasks = [(group, a, b, lang, sign) for group, names in model.members.items() for a, b in combinations(names, 2)
@@ -180,7 +180,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     rows = rows.withColumn("known", has_letter(F.col("text")))
     return rows.mapInArrow(
-        run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+        tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
 def accepted() -> Column:

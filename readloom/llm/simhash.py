@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import sieve, sieved, text_of, without_rows
+from readloom.llm.common import sieve, sieved, text_of, tidy, without_rows
 from readloom.llm.components import components
 from readloom.operators.skew import sliced_join
 from readloom.session import cut_lineage
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id", t
             found = np.array([fingerprint(x.as_py(), size) for x in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "print"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, print long")
+    return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, print long")
 
 
 def _syndrome(words: np.ndarray) -> np.ndarray:
@@ -135,8 +135,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 index, anchor = anchors.reach(own.view(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(own[index])], ["anchor", "y"])
 
-    homes = cut_lineage(prints.select("print").mapInArrow(home, "anchor long, x long"))
-    copies = prints.select("print").mapInArrow(reach, "anchor long, y long")
+    homes = cut_lineage(prints.select("print").mapInArrow(tidy(home), "anchor long, x long"))
+    copies = prints.select("print").mapInArrow(tidy(reach), "anchor long, y long")
     copies = sieved(copies, sieve(homes, "anchor"), "anchor").filter("__hit").drop("__hit")
     near = (F.col("x") < F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= max_bits)
     meet = homes.alias("h").join(copies.alias("c"), (F.col("h.anchor") == F.col("c.anchor")) & near)
