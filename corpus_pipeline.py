@@ -41,13 +41,24 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs)
 
 
-STAGES = [
+BATCH_ROWS = 1000  # rows a worker is sent at once: a batch of documents is held several times, by JVM and worker
+
+
+def _steady(stage):
+    """``stage`` with batches of bounded rows, so that the memory of an executor does not follow the size of documents."""
+    def steady(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+    return steady
+
+
+STAGES = [(name, _steady(stage)) for name, stage in (
     ("language_id", language_id),
     ("exact_dedup", exact),
     ("simhash_near_dedup", near),
     ("decontamination", clean_of_benchmark),
     ("byte_bpe", encode),
-]
+)]
 
 # The language model and the merges of BPE are beyond SQL; the tests hold run() against brute force.
 ORACLE_SQL = None
