@@ -28,7 +28,7 @@ from readloom.llm.common import tidy
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_VOCABULARY = 64 << 20  # bytes of a vocabulary file that is sent to the executors
-KEPT_PIECES = 3 << 17      # pieces after which a worker sets those it knows aside; what it meets again it takes back
+KEPT_PIECES = 3 << 16      # pieces after which a worker sets those it knows aside; what it meets again it takes back
 STEP_BYTES = 4 << 20       # text whose new pieces are merged together
 KEPT_LENGTH = 64           # longer pieces are merged each time
 
@@ -75,9 +75,9 @@ class RankQueue:
         else:
             heappush(bucket, position)
 
-    def fill(self, rank: int, positions: list[int]) -> None:
-        """A bucket not yet in use gets ascending positions."""
-        self.buckets[rank] = positions
+    def fill(self, rank: int, positions: np.ndarray) -> None:
+        """A bucket not yet in use gets an array of positions for ``take``."""
+        self.buckets[rank] = [positions]
         self._mark(rank)
 
     def add(self, ranks: list[int], positions: list[int]) -> None:
@@ -102,13 +102,17 @@ class RankQueue:
             self._clear(rank)
         return rank, position
 
-    def take(self) -> tuple[int, list[int]] | None:
+    def take(self) -> tuple[int, np.ndarray] | None:
         """The lowest rank and all its positions, in no order."""
         rank = self._lowest()
         if rank < 0:
             return None
         self._clear(rank)
-        return rank, self.buckets.pop(rank)
+        bucket = self.buckets.pop(rank)
+        if isinstance(bucket[0], np.ndarray):
+            first, rest = bucket[0], bucket[1:]
+            return rank, np.concatenate([first, np.array(rest, np.int32)]) if rest else first
+        return rank, np.array(bucket, np.int32)
 
 
 class Encoder:
@@ -170,7 +174,7 @@ class Encoder:
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of joining parts; a negative part joins with nothing."""
-        key = np.where((left < 0) | (right < 0), -1, left * self.size + right)
+        key = np.where((left < 0) | (right < 0), -1, left.astype(np.int64) * self.size + right)
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.joined[at], -1)
 
@@ -184,22 +188,21 @@ class Encoder:
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         starts = np.cumsum(lengths + 1) - lengths - 1
         n = int(lengths.sum()) + len(pieces)
-        part = np.full(n + 1, -1, np.int64)
+        part = np.full(n + 1, -1, np.int32)
         inside = np.ones(n, bool)
         inside[starts + lengths] = False
         part[:n][inside] = self.byte[np.frombuffer(b"".join(pieces), np.uint8)]
-        after, before = np.arange(1, n + 2), np.arange(-1, n)
-        pending = np.full(n + 1, -1, np.int64)
+        after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+        pending = np.full(n + 1, -1, np.int32)
         pending[:n] = self._rank(part[:-1], part[1:])
         odd = []
         queue = RankQueue(self.size)
-        order = np.argsort(pending[:n], kind="stable")
-        order = order[np.searchsorted(pending[:n][order], 0):]
+        order = np.flatnonzero(pending[:n] >= 0).astype(np.int32)
+        order = order[np.argsort(pending[order], kind="stable")]
         for own in np.split(order, np.flatnonzero(np.diff(pending[order])) + 1) if len(order) else []:
-            queue.fill(int(pending[own[0]]), own.tolist())
+            queue.fill(int(pending[own[0]]), own)
         while (got := queue.take()) is not None:
-            rank, places = got
-            at = np.array(places)
+            rank, at = got
             at = at[pending[at] == rank]  # the rest is stale
             if len(at) > 1:
                 at.sort()
