@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1 << 21      # a key with more rows than this is spread over several tasks
@@ -31,10 +31,15 @@ def _with_fan(df: DataFrame, hot: DataFrame, keys: list[str], fan: str) -> DataF
     return df.join(F.broadcast(hot), keys, "left").withColumn(fan, F.coalesce(F.col(fan), F.lit(1)))
 
 
+def _row_hash(df: DataFrame, keys: list[str]) -> Column:
+    """A hash of all columns but ``keys``; maps have none and are left out."""
+    own = [F.col(f"`{f.name}`") for f in df.schema if f.name not in keys and "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*own or [F.lit(0)])
+
+
 def slice_rows(df: DataFrame, hot: DataFrame, keys: list[str], fan: str = "_fan", slot: str = "_slot") -> DataFrame:
     """Give every row one slice number; rows of a hot key spread by the hash of the whole row."""
-    spread = F.xxhash64(*[F.col(c) for c in df.columns if c not in keys] or [F.lit(0)])
-    return _with_fan(df, hot, keys, fan).withColumn(slot, F.pmod(spread, F.col(fan)).cast("int")).drop(fan)
+    return _with_fan(df, hot, keys, fan).withColumn(slot, F.pmod(_row_hash(df, keys), F.col(fan)).cast("int")).drop(fan)
 
 
 def copy_rows(df: DataFrame, hot: DataFrame, keys: list[str], fan: str = "_fan", slot: str = "_slot") -> DataFrame:
@@ -53,8 +58,7 @@ def sliced_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     sliced = slice_rows(left, hot, keys)
     if how in ("left", "left_anti"):  # rows with a null key find nothing wherever they go, so they are spread
         missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        row = F.xxhash64(*[F.col(c) for c in left.columns if c not in keys] or [F.lit(0)])
-        sliced = sliced.withColumn("_slot", F.when(missing, F.pmod(row, F.lit(SPREAD)).cast("int")).otherwise(F.col("_slot")))
+        sliced = sliced.withColumn("_slot", F.when(missing, F.pmod(_row_hash(left, keys), F.lit(SPREAD)).cast("int")).otherwise(F.col("_slot")))
     out = sliced.join(copy_rows(right, hot, keys), [*keys, "_slot"], how)
     return out.drop("_slot")
 

@@ -101,6 +101,8 @@ SELECT qname, CAST(CASE m WHEN 0 THEN flag | 2 WHEN 1 THEN flag | 8 WHEN 2 THEN
 FROM (SELECT *, (pos + mapq * 7 + length(qname)) % 40 AS m FROM {f_reads}) d""",
 }
 
+FIXTURES["f_endbases"] = FIXTURES["f_refbases"].replace("{f_reads}", "{f_ends}")  # reference tiles under f_ends
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -37,6 +37,7 @@ def _in_utc(fn):
 def load_all() -> None:
     from readloom.plans import (  # noqa: F401
         base_queries,
+        dna_queries,
         file_queries,
         graph_queries,
         interval_queries,

@@ -60,3 +60,12 @@ def test_adaptive_plan_splits_skewed_partitions(spark, sides):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_rows_with_maps_are_sliced(spark):
+    """Maps cannot be hashed; the other columns spread the rows."""
+    left = spark.range(400).select(F.lit(1).alias("k"), "id", F.create_map(F.lit("a"), F.col("id")).alias("tags"))
+    right = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    for how in ("inner", "left"):
+        got = K.sliced_join(left, right, ["k"], how, hot_rows=50).collect()
+        assert len(got) == 400 and {r.v for r in got} == {"x"} and all(r.tags["a"] == r.id for r in got)
