@@ -19,6 +19,9 @@ HEADLINE = [
     "ag18_validation_report", "ag19_mismatch_summary", "ag20_mark_duplicates", "ag21_recalibration_table",
     "ag22_indel_targets", "ag14_variant_compare", "sr6_variant_sort", "jn13_zip_by_position", "io4_read_sam",
 ]
+# timed and listed too, but not part of the total, which stays comparable from run to run
+FURTHER = ["sf14_reconstruct_reference", "ag2_adjacency", "ag21_recalibrated_reads", "ag22_realignment_targets",
+           "jn5_stored_targets", "ss4_topk_stream"]
 
 
 def main() -> None:
@@ -28,7 +31,7 @@ def main() -> None:
         "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     registry.load_all()
-    names = sys.argv[1:] or HEADLINE
+    names = sys.argv[1:] or HEADLINE + FURTHER
     fixtures.table(spark, sf_dir, "region").collect()  # start the executors
     times = {}
     for name in sorted(fixtures.STORED):  # the inputs the queries share are timed on their own
@@ -40,8 +43,9 @@ def main() -> None:
         registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
         print(name, times[name], file=sys.stderr, flush=True)
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
+    further = sum(times.get(name, 0) for name in FURTHER)
+    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()) - further, 3), "unit": "sec",
+                      "further_total": round(further, 3), "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
     spark.stop()
 
 
