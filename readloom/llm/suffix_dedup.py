@@ -296,6 +296,7 @@ def _contexts(texts: DataFrame, bitmap: np.ndarray, length: int) -> DataFrame:
                     continue
                 first, last, hashes = anchors(np.frombuffer(data, np.uint8), length)
                 low = hashes & np.uint64((1 << BITMAP_BITS) - 1)
+                digest = hashlib.sha256(data).digest()[:16]
                 for k in np.flatnonzero(bits[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1)).tolist():
                     own = data[first[k]:last[k] + length]
                     ctx = hashlib.blake2b(own, digest_size=16).digest()
@@ -304,8 +305,7 @@ def _contexts(texts: DataFrame, bitmap: np.ndarray, length: int) -> DataFrame:
                         if len(given) >= 1 << 18:
                             given.clear()
                         given.add(ctx)
-                    rows.append((ctx, int(hashes[k].view(np.int64)), hashlib.sha256(data).digest()[:16], int(first[k]),
-                                 own if new else None))
+                    rows.append((ctx, int(hashes[k].view(np.int64)), digest, int(first[k]), own if new else None))
                 if len(rows) >= 1 << 14:
                     yield _batch(rows)
                     rows = []
