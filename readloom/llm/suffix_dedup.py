@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import sieve, sieved, text_of
+from readloom.llm.common import sieve, sieved, text_of, tidy
 from readloom.operators.skew import hot_keys, sliced_join
 from readloom.session import cut_lineage, scratch_dir
 
 LENGTH = 200                # bytes of a string that counts
 GRAM = 32
 BITMAP_BITS = 26            # 8 MB, sent to every executor
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 HOT_CONTEXTS = 1 << 15      # different contexts of one anchor hash after which it leaves the shards
 HOT_ROWS = 1 << 17          # rows of one text or context after which a look-up is split
 _SLICE = 1 << 22            # windows of a text handled at once
@@ -268,7 +268,7 @@ def _anchor_counts(texts: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (found, places)],
                                                  ["anchor", "place"])
 
-    return (texts.select("text").mapInArrow(run, "anchor long, place long")
+    return (texts.select("text").mapInArrow(tidy(run), "anchor long, place long")
             .groupBy("anchor").agg(F.min("place").alias("p"), F.max("place").alias("q")).filter("p <> q").select("anchor"))
 
 
@@ -312,7 +312,7 @@ def _contexts(texts: DataFrame, bitmap: np.ndarray, length: int) -> DataFrame:
             if rows:
                 yield _batch(rows)
 
-    return texts.select("text").mapInArrow(run, "ctx binary, anchor long, digest binary, at long, bytes binary")
+    return texts.select("text").mapInArrow(tidy(run), "ctx binary, anchor long, digest binary, at long, bytes binary")
 
 
 def _batch(rows) -> pa.RecordBatch:
@@ -372,7 +372,7 @@ def strip_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     touched = (sieved(rows.select("text").withColumn("sha", F.sha2("text", 256)).withColumn("digest", _digest("sha")),
                       sieve(spans, "digest"), "digest").filter("__hit")
                .join(spans, "digest").select("sha", "text", "spans"))
-    stripped = touched.mapInArrow(_strip(length), "sha string, n_removed long, n_spans long, kept binary")
+    stripped = touched.mapInArrow(tidy(_strip(length)), "sha string, n_removed long, n_spans long, kept binary")
     empty = F.lit("").cast("binary")
     gone = copied.select("sha", F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
                          empty.alias("kept"))
