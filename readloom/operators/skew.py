@@ -49,12 +49,13 @@ def copy_rows(df: DataFrame, hot: DataFrame, keys: list[str], fan: str = "_fan",
 
 
 def sliced_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int = HOT_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """Equi-join whose hot keys are sliced on the left and copied on the right.
 
-    ``right`` should hold few rows per key; ``how`` may be inner, left, left_semi or left_anti.
+    ``right`` should hold few rows per key; ``how`` may be inner, left, left_semi or left_anti. ``hot`` spares the count of keys
+    where they are known.
     """
-    hot = hot_keys(left, keys, hot_rows)
+    hot = hot_keys(left, keys, hot_rows) if hot is None else hot
     sliced = slice_rows(left, hot, keys)
     if how in ("left", "left_anti"):  # rows with a null key find nothing wherever they go, so they are spread
         missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])

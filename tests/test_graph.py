@@ -163,3 +163,32 @@ def test_report_lines(spark, bip, tmp_path):
     assert lines == ["(Total number of actors,7)", "(Total number of movies (and TV shows etc),5)", "(Total number of actors at distance 1,1)",
                      "(Total number of actors at distance 2,1)", "(Total number of actors at distance 3,1)",
                      "(The name of actors at distance 3,)", "(,d)"]
+
+
+def test_costars_are_counted_by_class(spark, monkeypatch):
+    """Performers alike in crowded titles are one class, so no set of a performer is stored; several buckets and slices."""
+    monkeypatch.setattr(K, "CLASSES", 2)
+    monkeypatch.setattr(K, "ASKED", 3)
+    pairs = [(i, t) for i in range(300) for t in range(4) if i >> t & 1] + [(i, 100 + i // 2) for i in range(40)]
+    edges, sets = K.costar_bitmaps(spark.createDataFrame(pairs, "actor long, title long"), 10)
+    assert sets.classes.count() == 15 and sets.members.count() == 281
+    near = defaultdict(set)
+    for t in {t for _, t in pairs}:
+        cast = {i for i, u in pairs if u == t}
+        for i in cast:
+            near[i] |= cast
+    assert {r.actor: r.degree for r in K.costar_degrees(edges, sets).collect()} == {i: len(n) - 1 for i, n in near.items()}
+    asked = [(i, (7 * i + 3) % 300) for i in range(0, 300, 3)]
+    got = K.common_costars(spark.createDataFrame(asked, "a long, b long"), edges, sets).collect()
+    assert {(r.a, r.b): r.common for r in got} == {(a, b): len((near.get(a, set()) & near.get(b, set())) - {a, b}) for a, b in asked}
+
+
+def test_total_records_counts_every_row(spark, tmp_path):
+    """Two titles of a performer that a block of the list would hold together."""
+    from readloom.plans import registry
+
+    registry.load_all()
+    spark.createDataFrame([(1, 7, 1.0, 0.0), (1, 7, 2.0, 0.0), (2, 7, 1.0, 0.0)], "l_orderkey long, l_partkey long, l_quantity double, l_discount double"
+                          ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 5), (2, 6)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    assert registry.QUERIES["ag3_total_records"](spark, str(tmp_path)).first().n == 3
