@@ -304,3 +304,18 @@ def test_dictionary_checksums_are_numbers(spark):
     a = spark.createDataFrame([(0, "x", 5, "00AB"), (1, "y", 0, None), (2, "z", 3, "1")], schema)
     b = spark.createDataFrame([(0, "q", 5, "ab"), (1, "y", 9, "7"), (2, "z", 3, "2")], schema)
     assert [(r.ref_idx, r.reason) for r in D.compare_dictionaries(a, b).collect()] == [(2, "MD5")]
+
+
+def test_a_small_reference_goes_to_the_reads(spark):
+    """Pieces of reads are not shuffled to few tiles, and more tiles than that give the same rows."""
+    reads = spark.createDataFrame([("r", 0, 1, 998, "6M", "ACGTAC", "IIIIII"), ("s", 16, 1, 5, "3M", "ACG", "III")],
+                                  "read_id string, flag int, ref_idx int, pos int, cigar string, seq string, qual string")
+    tiles = spark.createDataFrame([(1, 0, "ACGTA" * 200), (1, 1, "CCGTA" * 200)], "ref_idx int, tile int, bases string")
+    few = M.mismatch_join(reads, tiles)
+    assert "_slot" not in few._jdf.queryExecution().toString()
+    small, M.SMALL_TILES = M.SMALL_TILES, 0
+    try:
+        many = M.mismatch_join(reads, tiles)
+        assert "_slot" in many._jdf.queryExecution().toString() and sorted(many.collect()) == sorted(few.collect()) and few.count() == 9
+    finally:
+        M.SMALL_TILES = small
