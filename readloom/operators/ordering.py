@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.operators.skew import union_all
+from readloom.operators.skew import lookup_join, union_all
 from readloom.session import cut_lineage
 
 RUN = 1 << 18   # rows per window when a neighbour row is needed
@@ -44,6 +44,19 @@ def number_rows(df: DataFrame, order: list, name: str, stored: bool = False) ->
             .drop("_part", "_at", "_local", "_start"))
 
 
+def stored_position(stored: DataFrame, name: str = "ord") -> DataFrame:
+    """Adds the 0-based position of every row in a table read from parquet, whose part files follow their numbers.
+
+    A row knows its place in its file; only the table of files (one row each) is ranked.
+    """
+    rows = stored.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    part = F.regexp_extract("_file", "^part-([0-9]+)", 1).try_cast("long")
+    before = Window.orderBy(part, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return lookup_join(rows, starts, ["_file"], "inner").withColumn(name, F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")
+
+
 def ordinal(df: DataFrame, order: list, name: str = "ord", stored: bool = False) -> DataFrame:
     """Contiguous 0-based position of every row in the given order; ``stored``: see ``_placed``."""
     return number_rows(df, order, name, stored).drop("_total")

@@ -77,19 +77,26 @@ fl AS (SELECT rec_id, source, 0 AS line_no, concat('@', qname) AS value FROM fq
 
 
 def write_fastq(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Two files in name order, of the names with exactly one row per mate: all paired reads of f_ends."""
-    pairs = fixture(spark, sf_dir, "f_ends").filter(F.col("flag").bitwiseAND(1) != 0).select("qname", "flag", "seq", "qual")
+    """Two files in name order, of the names with exactly one row per mate: all paired reads of f_ends.
+
+    One range shuffle brings the rows of a name together and in order, and both files are written from it, compressed.
+    """
     first, second = F.col("flag").bitwiseAND(64) != 0, F.col("flag").bitwiseAND(128) != 0
+    pairs = fixture(spark, sf_dir, "f_ends").filter((F.col("flag").bitwiseAND(1) != 0) & (first | second)).select("qname", "flag", "seq", "qual")
     end = lambda cond, c: F.max(F.when(cond, F.col(c)))
-    names = pairs.groupBy("qname").agg(
+    names = pairs.repartitionByRange("qname").groupBy("qname").agg(
         F.count_if(first).alias("n1"), F.count_if(second).alias("n2"), end(first, "seq").alias("s1"), end(first, "qual").alias("q1"),
         end(second, "seq").alias("s2"), end(second, "qual").alias("q2")).filter("n1 = 1 AND n2 = 1")
-    paths = []
-    for mate in (1, 2):
-        record = F.concat_ws("\n", F.concat(F.lit("@"), F.col("qname")), f"s{mate}", F.lit("+"), f"q{mate}")
-        paths.append(scratch_dir(spark, f"fastq{mate}"))
-        names.orderBy("qname").select(record.alias("value")).write.text(paths[-1])
-    return tuple(paths)
+    record = lambda mate: F.struct(F.lit(mate).alias("mate"), F.concat_ws(
+        "\n", F.concat(F.lit("@"), F.col("qname")), f"s{mate}", F.lit("+"), f"q{mate}").alias("value"))
+    path = scratch_dir(spark, "fastq")
+    paths = f"{path}/mate=1", f"{path}/mate=2"
+    for folder in paths:  # there is a file even if no name is left
+        spark.createDataFrame([], "value string").write.text(folder)
+    (names.select("qname", F.explode(F.array(record(1), record(2))).alias("_r")).select("qname", "_r.*")
+     .sortWithinPartitions("mate", "qname").select("mate", "value")
+     .write.mode("append").partitionBy("mate").option("compression", "gzip").text(path))
+    return paths
 
 
 @query("io2_read_fastq", f"""
@@ -126,7 +133,7 @@ def write_chunks(spark, sf_dir):
 def read_chunks(spark, sf_dir):
     path = scratch_dir(spark, "chunks")
     T.write_chunks(zipped(spark, sf_dir), 5, path)
-    per_chunk = T.read_chunks(spark, f"{path}/part*").groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
+    per_chunk = T.read_chunks(spark, f"{path}/chunk=*").groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
     return per_chunk.agg(F.count(F.lit(1)).alias("chunks"), F.sum("n").alias("lines"), F.count_if(F.col("n") % 8 != 0).alias("split_records"))
 
 

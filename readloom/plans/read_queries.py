@@ -12,7 +12,7 @@ from readloom.operators import ordering as O
 from readloom.operators import reads as R
 from readloom.plans.fixtures import fixture, table
 from readloom.plans.registry import query
-from readloom.session import cut_lineage, scratch_dir
+from readloom.session import scratch_dir
 from readloom.sources.layout import StoredReads, store_regions
 
 CORE = ["qname", "flag", "ref_idx", "pos", "mapq", "cigar"]
@@ -37,9 +37,10 @@ NAME = ("qname, CASE WHEN flag & 1 <> 0 THEN 0 ELSE 1 END, "
 
 
 def as_sorted(df):
-    """``ord``: where each row stands in the order that ``df`` comes in, whatever that order is."""
-    placed = df.withColumn("_at", F.monotonically_increasing_id())
-    return O.ordinal(cut_lineage(placed), ["_at"], stored=True).drop("_at")
+    """``ord``: where each row stands in the order that ``df`` comes in, whatever that order is: sorted and written once."""
+    path = scratch_dir(df.sparkSession, "sorted")
+    df.write.parquet(path)
+    return O.stored_position(df.sparkSession.read.parquet(path))
 
 
 def reads(spark, sf_dir):

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from readloom.operators.skew import lookup_join
 
+CHUNK_LINES = 1 << 21
+
 
 def read_blocks(spark: SparkSession, path: str, sep: str = "\n\n", encoding: str = "UTF-8") -> DataFrame:
     """Records split on ``sep``: (value). Other encodings than UTF-8 are decoded from the raw bytes."""
@@ -61,14 +63,24 @@ def read_fastq(spark: SparkSession, path: str, mode: str = "STRICT") -> DataFram
 
 
 def read_chunks(spark: SparkSession, glob: str) -> DataFrame:
-    """(chunk, value): lines with the name of the chunk file they come from."""
-    return spark.read.text(glob).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("chunk"), "value")
+    """(chunk, value): lines with the name of the chunk they come from, a file or the folder ``chunk=`` around it."""
+    parts = F.split("_metadata.file_path", "/")
+    folder = F.element_at(parts, -2)
+    return spark.read.text(glob).select(
+        F.when(folder.startswith("chunk="), folder).otherwise(F.element_at(parts, -1)).alias("chunk"), "value")
 
 
 def write_chunks(lines: DataFrame, n: int, path: str) -> None:
-    """``n`` text files of (rec_id, source, line_no, value) lines in record order; no record is split."""
-    (lines.repartitionByRange(n, "rec_id").sortWithinPartitions("rec_id", "source", "line_no")
-     .select("value").write.text(path))
+    """``n`` chunks of (rec_id, source, line_no, value) lines in record order; no record is split.
+
+    A chunk is a folder ``chunk=00000`` whose compressed part files follow each other, so that a task sorts ``CHUNK_LINES`` or so however
+    long the chunk is.
+    """
+    fine = max(1, -(-lines.count() // (n * CHUNK_LINES)))
+    chunk = F.lpad(F.floor(F.spark_partition_id() / fine).cast("string"), 5, "0")
+    (lines.repartitionByRange(n * fine, "rec_id").withColumn("chunk", chunk)
+     .sortWithinPartitions("chunk", "rec_id", "source", "line_no")
+     .select("chunk", "value").write.partitionBy("chunk").option("compression", "gzip").text(path))
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -206,3 +206,15 @@ def test_fastq_faults(spark, tmp_path):
         T.read_fastq(spark, path).collect()
     with pytest.raises(ValueError):
         T.read_fastq(spark, path, "LOUD")
+
+
+def test_chunks_of_several_files(spark, tmp_path, monkeypatch):
+    """A chunk is no single task's work, and its files follow each other."""
+    monkeypatch.setattr(T, "CHUNK_LINES", 100)
+    lines = spark.range(4000).select(F.floor(F.col("id") / 8).alias("rec_id"), (F.floor(F.col("id") / 4) % 2 + 1).cast("int").alias("source"),
+                                     (F.col("id") % 4).cast("int").alias("line_no"), F.col("id").cast("string").alias("value"))
+    path = str(tmp_path / "chunks")
+    T.write_chunks(lines.repartition(7), 5, path)
+    assert [r.value for r in T.positioned_lines(spark, path).orderBy("ord").collect()] == [str(i) for i in range(4000)]
+    sizes = T.read_chunks(spark, f"{path}/chunk=*").groupBy("chunk").count().collect()
+    assert len(sizes) == 5 and all(r["count"] % 8 == 0 for r in sizes) and len(list((tmp_path / "chunks").glob("chunk=*/part*"))) > 25

@@ -98,3 +98,10 @@ def test_regions_by_cost_bound_the_bytes_of_a_group(spark):
 def test_bytes_of_a_row(spark):
     df = spark.createDataFrame([("é", b"abc", 1, [1, 2], {"k": "v"}, None)], "a string, b binary, c int, d array<int>, e map<string,string>, f string")
     assert df.select(O.row_bytes(df).alias("n")).first().n == 2 + 3 + 8 + len('{"d":[1,2]}') + len('{"e":{"k":"v"}}')
+
+
+def test_position_of_stored_rows(spark, tmp_path):
+    path = str(tmp_path / "sorted")
+    spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v")).repartitionByRange(13, "v").sortWithinPartitions("v").write.parquet(path)
+    rows = O.stored_position(spark.read.parquet(path)).collect()
+    assert sorted((r.ord, r.v) for r in rows) == [(i, i) for i in range(5000)]
