@@ -58,6 +58,15 @@ def test_many_regions(spark, layout):
     assert sorted((r.id, r.qname) for r in got.collect()) == want
 
 
+def test_totals_of_many_regions(spark, layout):
+    """Counts and sums without a list of pairs; a region given twice counts twice, one that ends before it starts as listed."""
+    reads, stored = layout
+    regions = [(r, s, e or 3 << 20) for r, s, e in REGIONS] + [(*REGIONS[0][:2], REGIONS[0][2] or 3 << 20), (1, 30, 20), (2, None, 5)]
+    targets = spark.createDataFrame(regions, "ref_idx int, start_pos int, end_pos int")
+    listed = stored.overlapping_each(targets).groupBy("ref_idx", "start_pos", "end_pos").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("sum"))
+    assert sorted(map(tuple, stored.overlapping_each(targets, total="pos").collect())) == sorted(map(tuple, listed.collect()))
+
+
 def scan(df):
     """The plan of the scan and the number of files it read."""
     df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", 10000)
