@@ -186,7 +186,7 @@ def write_sam(spark, sf_dir):
     path = scratch_dir(spark, "sam")
     # equal sort keys may still differ in the read group: leave it out of the compared text
     rows = named_reads(spark, sf_dir).withColumn("rg", F.lit("G"))
-    S.write_sam(rows, header_lines(spark, sf_dir), path, "coordinate", tag_columns=TAGS)
+    S.write_sam(rows, header_lines(spark, sf_dir), path, "coordinate", tag_columns=TAGS, compression="gzip")
     return T.positioned_lines(spark, path)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from readloom.operators.skew import lookup_join
+from readloom.session import cut_lineage
 
 CHUNK_LINES = 1 << 21
 
@@ -28,7 +29,7 @@ def positioned_lines(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"))
-    splits = lines.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    splits = cut_lineage(lines.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first")))
     folder, part = F.regexp_replace("_file", "[^/]*$", ""), F.regexp_extract("_file", "/part-([0-9]+)[^/]*$", 1).try_cast("long")
     before = Window.orderBy(folder, part, "_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

@@ -1,6 +1,7 @@
 """File readers and writers on hand-made files."""
 
 import gzip
+import re
 from collections import Counter
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from readloom.functions import flags as FL
+from readloom.operators import reads as R
 from readloom.sources import sam as S
 from readloom.sources import text as T
 from readloom.sources import vcf as V
@@ -29,6 +31,28 @@ def test_gzip_modes_and_tags(spark, tmp_path):
         S.read_sam(spark, path, "LOUD")
 
 
+@pytest.mark.parametrize("tag,good", [
+    ("NM:i:-7", True), ("NM:i:2147483648", False), ("XA:A:c", True), ("XA:A:cc", False), ("XF:f:1.5", True), ("XF:f:x", False),
+    ("XH:H:1f", True), ("XH:H:1", False), ("XB:B:C,255,0", True), ("XB:B:C,256", False), ("XB:B:S,65535", True), ("XB:B:S,65536", False),
+    ("XB:B:c,1,,2", False), ("XB:B:f,1.5,-2", True), ("XU:Z:", True), ("XQ:Q:1", False), ("NM", False), ("", False)])
+def test_one_pattern_tells_good_tags(tag, good):
+    java = S._GOOD_TAGS.replace("\\z", "\\Z")  # Python's name for the end of a text
+    for text in (f"\t{tag}", f"\tNM:i:1\t{tag}\tXZ:Z:a:b"):
+        assert (re.match(java, text) is not None) == good
+
+
+def test_tags_are_taken_from_one_text(spark, tmp_path):
+    tags = ["NM:i:1\tXA:A:c", "NM:i:1\tNM:i:2\tXZ:Z:", "a::b:c\tplain\t\tXB:B:S,1,65536", ""]
+    (tmp_path / "x").write_text("".join(f"{k}\t0\tc\t5\t30\t4M\t*\t0\t0\tACGT\tIIII\t{t}\n" for k, t in enumerate(tags)))
+    rows = {r.qname: r for r in S.read_sam(spark, str(tmp_path / "x")).collect()}
+    assert {k: {n: tuple(v) for n, v in r.tags.items()} for k, r in rows.items()} == {
+        "0": {"NM": ("i", "1"), "XA": ("A", "c")}, "1": {"NM": ("i", "2"), "XZ": ("Z", "")},
+        "2": {"a:": ("b", "c"), "XB": ("B", "S,1,65536")}, "3": {}}
+    assert rows["2"]._errors == ["EMPTY_FIELD", "MALFORMED_TAG", "BAD_TAG_VALUE"] and rows["3"]._errors == ["EMPTY_FIELD", "MALFORMED_TAG"]
+    plan = S.read_sam(spark, str(tmp_path / "x"), "SILENT")._jdf.queryExecution().analyzed().toString()
+    assert "map_from_arrays(_names" in plan  # without a lambda per field
+
+
 def test_header_and_dictionary(spark, tmp_path):
     (tmp_path / "x.dict").write_text(SAM)
     header = S.read_sam_header(spark, str(tmp_path / "x.dict"))
@@ -50,6 +74,21 @@ def test_write_sam_checks_presorted_rows(spark, tmp_path):
     assert [line.split("\t")[0] for line in lines] == ["@HD", "b", "a"] and lines[1].split("\t")[6] == "="
 
 
+def test_records_are_sorted_as_columns(spark, tmp_path):
+    rows = [(f"q{k % 7}", 16 * (k % 2), "c", k * 37 % 11, 1, "1M", "*", 0, 0, "A", "I", ref, -1)
+            for k in range(200) for ref in (None, -1, 0, 3, (1 << 31) - 1, -(1 << 31))]
+    reads = spark.createDataFrame(rows, "qname string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, "
+                                        "tlen int, seq string, qual string, ref_idx int, mate_ref_idx int")
+    reads = reads.withColumn("pos", F.when(F.col("pos") == 3, F.lit(None)).when(F.col("pos") == 4, -9).otherwise(F.col("pos")))
+    header = spark.createDataFrame([(1, "@SQ\tSN:c\tLN:9"), (0, "@HD\tVN:1.0")], "ord long, value string")
+    S.write_sam(reads.withColumn("rg", F.col("ref_idx").cast("string")), header, str(tmp_path / "s"), tag_columns={"rg": "RG:Z:"}, compression="gzip")
+    assert {f.suffix for f in (tmp_path / "s").glob("part-*")} == {".gz"}
+    lines = [r.value for r in T.positioned_lines(spark, str(tmp_path / "s")).orderBy("ord").collect()]
+    want = R.coordinate_sort(reads).select(S.sam_line(), F.col("ref_idx").cast("string")).collect()
+    assert lines[:2] == ["@HD\tVN:1.0", "@SQ\tSN:c\tLN:9"]
+    assert lines[2:] == [line if ref is None else f"{line}\tRG:Z:{ref}" for line, ref in want]
+
+
 def test_positions_over_many_splits_and_files(spark, tmp_path):
     for part, start in enumerate((0, 700, 1500)):
         end = (700, 1500, 2000)[part]
