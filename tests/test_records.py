@@ -163,6 +163,29 @@ def test_templates_with_other_records(spark):
     assert DU.mark_duplicates(reads(spark, *odd).limit(0)).collect() == []
 
 
+def test_ends_are_compared_as_numbers(spark):
+    low = -(1 << 31) + 1
+    ends = [(ref, five, rev) for ref in (None, -1, 0, 7, (1 << 30) - 1) for five in (None, low, -1, 0, 5, (1 << 31) - 1) for rev in (False, True)]
+    rows = spark.createDataFrame(ends[::-1], "ref int, five int, rev boolean")
+    packed = rows.withColumn("end", DU._packed(F.col("ref"), F.col("five"), F.col("rev"))).orderBy("end")
+    assert [tuple(r) for r in packed.select(*[c.alias(n) for n, c in zip(DU.END, DU._unpacked(F.col("end")))]).collect()] == ends
+    with pytest.raises(Exception, match="out of range: 1073741824"):
+        rows.limit(1).select(DU._packed(F.lit(1 << 30), F.col("five"), F.col("rev"))).collect()
+    plan = DU.templates(spark.createDataFrame(
+        [], "qname string, flag int, ref_idx int, pos int, cigar string, qual string, rg string"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_fragments_are_scored_at_their_least_end(spark):
+    row = lambda name, pos, qual: (name, 0, 1, pos, "4M", qual, "L")
+    rows = [row("a", 9, "IIII"), row("a", 5, "0000"), row("a", 5, "5555"), row("b", 5, None), row("b", 5, "IIII"), row("c", 5, "5550")]
+    reads = spark.createDataFrame(rows, "qname string, flag int, ref_idx int, pos int, cigar string, qual string, rg string")
+    found = {r.qname: (r.ends, r.score, r.low_five, r.high_five) for r in DU.templates(reads).collect()}
+    assert found == {"a": (3, 80, 5, None), "b": (2, None, 5, None), "c": (1, 75, 5, None)}
+    marked = {r.qname: r.is_dup for r in DU.mark_duplicates(reads.withColumn("seq", F.lit("ACGT"))).collect()}
+    assert marked == {"a": True, "b": False, "c": True}
+
+
 def test_duplicate_metrics_and_library_size(spark):
     rows = [r for i in range(30) for r in ends(f"t{i}", first=100 + i // 3 * 10)] + [changed(qname="f", pos=900), changed(qname="g", pos=900)]
     rows += [changed(qname="u", flag=4, cigar="*", mapq=0), changed(qname="s", flag=256), changed(qname="x", flag=4, rg="H", cigar="*", mapq=0)]
