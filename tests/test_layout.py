@@ -111,3 +111,10 @@ def test_bins_hold_their_spans(spark):
         for r in got:
             ranges = BN.candidate_ranges(r.s, r.e, finest)
             assert r.b in r.c and r.c == [b for low, high in ranges for b in range(low, high + 1)]
+
+
+def test_the_cigar_is_read_once(spark):
+    rows = spark.createDataFrame([(None, "4M", 0), (0, "1M", 0), (1, "*", 0), (7, "2M3D", 16), (7, "9M", 4), (7, None, 0)],
+                                 "pos int, cigar string, flag int").select("*", R.touched_end().alias("end"))
+    assert [r.end for r in rows.collect()] == [None, 0, 1, 11, 7, 7]
+    assert rows._jdf.queryExecution().analyzed().toString().count("regexp_extract_all") == 1
