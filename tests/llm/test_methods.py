@@ -10,6 +10,7 @@ from html import unescape
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -380,3 +381,15 @@ def test_shards_are_even_and_gapless(spark, docs):
     assert len(slots) == 24 and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert rows and sorted(map(tuple, rows)) == sorted(map(tuple, sharding.shard_rows(docs.repartition(5)).collect()))
+
+
+def test_toxicity_texts_are_packed_per_shard(spark):
+    rows = [(k % 7, None if k % 5 == 0 else k, f"text {k} é\U0001f600" * (k % 9)) for k in range(300)]
+    packed = toxicity._pack(spark.createDataFrame(rows, "shard long, doc_id long, text string").coalesce(1)).collect()
+    assert sorted(r.shard for r in packed) == list(range(7))
+    got = []
+    for r in packed:
+        part = pa.table({"size": [r["size"]], "rows": [bytes(r["rows"])]})
+        got += [(r.shard, x["doc_id"], x["text"]) for t in toxicity._unpack(part) for x in t.to_pylist()]
+    assert sorted(got, key=str) == sorted(rows, key=str)
+    assert sum(len(r["rows"]) for r in packed) < sum(len(t.encode()) for *_, t in rows)
