@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from readloom.functions import bases as B
 from readloom.functions import cigar as C
 from readloom.functions import flags as FL
-from readloom.operators.skew import lookup_join, sliced_join
+from readloom.operators.skew import hot_keys, lookup_join, sliced_join
+from readloom.session import cut_lineage
 
 FLAG_COLUMNS = {
     "is_paired": FL.PAIRED, "is_proper": FL.PROPER, "is_unmapped": FL.UNMAPPED, "is_mate_unmapped": FL.MATE_UNMAPPED,
@@ -188,7 +189,10 @@ def mate_join(reads: DataFrame) -> DataFrame:
     seekers = reads.filter(paired).select(
         "qname", F.col("mate_ref_idx").alias("_ref"), spot("mate_ref_idx", "pnext").alias("_pos"),
         FL.has(FL.FIRST).alias("_first"), FL.has(FL.SECOND).alias("_second"))
-    joined = sliced_join(seekers, found, ["qname", "_ref", "_pos"], "left")
+    keys = ["qname", "_ref", "_pos"]
+    hot = cut_lineage(hot_keys(seekers, keys))
+    # candidates lie by the keys already; only slices of hot ones (which null names are, too) take another shuffle
+    joined = seekers.join(found, keys, "left") if hot.isEmpty() else sliced_join(seekers, found, keys, "left", hot=hot)
     # a first end skips first ends, anything else skips second ends
     n = F.coalesce(F.when(F.col("_first"), F.col("_n1")).otherwise(F.col("_n2")), F.lit(0))
     mate = lambda c: F.when(n == 1, F.when(F.col("_first"), F.col(f"_{c}1")).otherwise(F.col(f"_{c}2")))

@@ -15,6 +15,7 @@ from readloom.operators import dictionary as D
 from readloom.operators import duplicates as DU
 from readloom.operators import mismatches as M
 from readloom.operators import reads as R
+from readloom.operators import skew
 from readloom.operators import validation as V
 from readloom.operators import variants as VR
 
@@ -109,6 +110,17 @@ def test_mates(spark):
     assert got[("f", 1)] == (5, 1, None) and got[("f", 2)] == (5, 1, None)
 
 
+def test_mates_are_shuffled_once_unless_hot(spark, monkeypatch):
+    rows = [("a", 65, 0, 5, 0, 9), ("a", 129, 0, 9, 0, 5), (None, 65, 0, 5, 0, 9), (None, 65, 0, 5, 0, 9)]
+    reads = spark.createDataFrame(rows, "qname string, flag int, ref_idx int, pos int, mate_ref_idx int, pnext int")
+    want = [("None", 1, None, 0, None)] * 2 + [("a", 1, 9, 1, None), ("a", 2, 5, 1, None)]
+    for hot, slots in ((1 << 21, False), (1, True)):
+        monkeypatch.setattr(R, "hot_keys", lambda df, keys, hot=hot: skew.hot_keys(df, keys, hot))
+        found = R.mate_join(reads)
+        assert ("_slot" in found._jdf.queryExecution().optimizedPlan().toString()) == slots
+        assert sorted((str(r.qname), r.end, r.mate_pos, r.n_mates, r.error) for r in found.collect()) == want
+
+
 def test_duplicates_at_one_hot_place(spark, monkeypatch):
     monkeypatch.setattr(DU, "HOT_ROWS", 50)
     rows = [changed(qname=f"r{i:03d}", qual="I" * 4 if i == 77 else "5555") for i in range(300)]
