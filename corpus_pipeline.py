@@ -38,10 +38,11 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left, with the digests of ids and decoded bytes."""
-    return bpe.round_trip(docs)
+    return bpe.round_trip(docs, kept=KEPT_PIECES)
 
 
-BATCH_ROWS = 1000  # rows a worker is sent at once: a batch of documents is held several times, by JVM and worker
+BATCH_ROWS = 400       # rows a worker is sent at once: a batch of documents is held several times, by JVM and worker
+KEPT_PIECES = 1 << 16  # pieces a worker of the last stage knows: fewer than on its own, beside what earlier stages left
 
 
 def _steady(stage):

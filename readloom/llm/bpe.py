@@ -31,6 +31,7 @@ MAX_VOCABULARY = 64 << 20  # bytes of a vocabulary file that is sent to the exec
 KEPT_PIECES = 3 << 16      # pieces after which a worker sets those it knows aside; what it meets again it takes back
 STEP_BYTES = 4 << 20       # text whose new pieces are merged together
 KEPT_LENGTH = 64           # longer pieces are merged each time
+RANK_SLICE = 1 << 16       # pairs of parts looked up at once
 
 _WIDE = re.compile(r"\s | \s")               # a blank beside other white space
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
@@ -116,12 +117,16 @@ class RankQueue:
 
 
 class Encoder:
-    """Ids of texts. ``vocabulary`` is the content of a rank file; every single byte must be in it."""
+    """Ids of texts. ``vocabulary`` is the content of a rank file; every single byte must be in it.
 
-    def __init__(self, vocabulary: bytes, pattern: str):
+    ``kept`` bounds the pieces remembered and so the memory of a worker; ids do not depend on it.
+    """
+
+    def __init__(self, vocabulary: bytes, pattern: str, kept: int = KEPT_PIECES):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines()) if a}
         self.size = max(self.ranks.values(), default=-1) + 1
         self.cut = regex.compile(pattern).findall
+        self.kept = kept
         self.by_blanks = pattern == public_tokenizers.PATTERN  # another pattern may have pieces with inner blanks
         self.known: dict[str, bytes] = {}
         self.aside: dict[str, bytes] = {}
@@ -173,10 +178,14 @@ class Encoder:
         return tuple(out)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of joining parts; a negative part joins with nothing."""
-        key = np.where((left < 0) | (right < 0), -1, left.astype(np.int64) * self.size + right)
-        at = np.searchsorted(self.keys, key)
-        return np.where(self.keys[at] == key, self.joined[at], -1)
+        """Rank of joining parts; a negative part joins with nothing. Long arrays are looked up in slices."""
+        out = np.empty(len(left), np.int32)
+        for a in range(0, len(left), RANK_SLICE):
+            first, second = left[a:a + RANK_SLICE], right[a:a + RANK_SLICE]
+            key = np.where((first < 0) | (second < 0), -1, first.astype(np.int64) * self.size + second)
+            at = np.searchsorted(self.keys, key)
+            out[a:a + RANK_SLICE] = np.where(self.keys[at] == key, self.joined[at], -1)
+        return out
 
     def merge_all(self, pieces: list[bytes]) -> list[bytes]:
         """Many pieces in one queue: they lie one after another in one linked list, parted by a gap.
@@ -245,13 +254,15 @@ class Encoder:
         return text.replace(" ", "\0 ").split("\0")
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian int32; pieces not seen before are merged together."""
-        cut = [self.chunks(text) for text in texts]
-        if len(self.known) > KEPT_PIECES:
+        """Ids of each text as little-endian int32; pieces not seen before are merged together.
+
+        A text is cut twice, so that the chunks of one text are held at a time and not those of all.
+        """
+        if len(self.known) > self.kept:
             self.known, self.aside = {}, self.known
         gc.disable()  # nothing here is cyclic, and walking the pieces kept takes long
         try:
-            return self._encode(cut)
+            return self._encode(texts)
         finally:
             gc.enable()
 
@@ -262,32 +273,37 @@ class Encoder:
         self.known.update(zip(found, map(self.aside.__getitem__, found)))
         return missing - found
 
-    def _encode(self, cut: list[list[str]]) -> list[bytes]:
+    def _encode(self, texts: list[str]) -> list[bytes]:
         known, ids, ranks = self.known, {}, self.ranks
-        pieces = {x: self.cut(x) for x in self._unknown(cut)}
+        pieces, whole = {}, []
+        for chunk in self._unknown(set(self.chunks(text)).difference(known) for text in texts):
+            parts = self.cut(chunk)
+            if parts == [chunk]:
+                whole.append(chunk)
+            else:
+                pieces[chunk] = parts
         new = []
-        for piece in self._unknown(pieces.values()):
+        for piece in self._unknown(chain([whole], pieces.values())):
             data = piece.encode()
-            whole = ranks.get(data)
-            if whole is None:
+            rank = ranks.get(data)
+            if rank is None:
                 new.append((piece, data))
             else:
-                known[piece] = whole.to_bytes(4, "little")
+                known[piece] = rank.to_bytes(4, "little")
         for (piece, data), own in zip(new, self.merge_all([x[1] for x in new])):
             (known if len(data) <= KEPT_LENGTH else ids)[piece] = own
         for chunk, parts in pieces.items():
-            if len(parts) != 1:
-                own = b"".join([ids[x] if x in ids else known[x] for x in parts])
-                (known if len(chunk) <= KEPT_LENGTH else ids)[chunk] = own
+            own = b"".join([ids[x] if x in ids else known[x] for x in parts])
+            (known if len(chunk) <= KEPT_LENGTH else ids)[chunk] = own
         if ids:
-            return [b"".join([ids[x] if x in ids else known[x] for x in own]) for own in cut]
-        return [b"".join(map(known.__getitem__, own)) for own in cut]
+            return [b"".join([ids[x] if x in ids else known[x] for x in self.chunks(text)]) for text in texts]
+        return [b"".join(map(known.__getitem__, self.chunks(text))) for text in texts]
 
 
 @lru_cache(maxsize=2)
-def _encoder(vocabulary: bytes, pattern: str) -> Encoder:
+def _encoder(vocabulary: bytes, pattern: str, kept: int = KEPT_PIECES) -> Encoder:
     """One for all tasks of a worker, with the pieces it has seen."""
-    return Encoder(vocabulary, pattern)
+    return Encoder(vocabulary, pattern, kept)
 
 
 def read_vocabulary(path: str) -> bytes:
@@ -356,15 +372,16 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", pat
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
-               pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+               pattern: str = public_tokenizers.PATTERN, kept: int = KEPT_PIECES) -> DataFrame:
     """Digests of ids and decoded bytes per row: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
-    As ``decode(encode(docs))``, in one pass through one worker a task. Nulls and repeats: see ``encode``.
+    As ``decode(encode(docs))``, in one pass through one worker a task. Nulls and repeats: see ``encode``. A worker
+    sets the pieces it knows aside once they are more than ``kept``.
     """
     vocabulary = _vocabulary(docs.sparkSession, path)
 
     def run(batches):
-        encoder = _encoder(vocabulary.value, pattern)
+        encoder = _encoder(vocabulary.value, pattern, kept)
         for rows, ids in _encoded(encoder, batches):
             yield pa.RecordBatch.from_arrays([rows.column(0), ids, _decoded(encoder, ids)], ["doc_id", "ids", "decoded"])
 

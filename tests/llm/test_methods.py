@@ -5,6 +5,7 @@ import os
 import random
 import re
 import sys
+import tracemalloc
 from collections import Counter, defaultdict
 from html import unescape
 
@@ -81,6 +82,37 @@ def test_decoding_gives_the_text_back(spark, docs):
     assert back.filter(F.col("decoded") != F.col("text").cast("binary")).count() == 0
 
 
+def test_bpe_holds_the_chunks_of_one_text_at_a_time():
+    own = bpe.Encoder(bpe.read_vocabulary(public_tokenizers.path(bpe.VOCABULARY)), public_tokenizers.PATTERN)
+    texts = [f"the cat sat on a mat {i} " * 500 for i in range(200)]
+    first = own.encode_all(texts)
+    tracemalloc.start()
+    try:
+        again = own.encode_all(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert again == first
+    assert peak < 2 * sum(map(len, texts)) + sum(map(len, again))
+
+
+def test_bpe_ids_do_not_depend_on_pieces_kept_or_slices(spark, monkeypatch):
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path(bpe.VOCABULARY))
+    draw = random.Random(5)
+    words = ["".join(draw.choices("etaonrish", k=draw.randint(1, 12))) for _ in range(400)] + ["  ", "\n", "été", "漢字😀", "x" * 90]
+    texts = ["", *[" ".join(draw.choices(words, k=60)) for _ in range(60)]]
+    few, many = bpe.Encoder(vocabulary, public_tokenizers.PATTERN, kept=50), bpe.Encoder(vocabulary, public_tokenizers.PATTERN)
+    wanted = many.encode_all(texts)
+    monkeypatch.setattr(bpe, "RANK_SLICE", 7)
+    found = []
+    for i in range(0, len(texts), 5):
+        found += few.encode_all(texts[i:i + 5])
+        assert len(few.known) < len(many.known)
+    assert found == wanted
+    rows = plain(spark, texts)
+    assert sorted(bpe.round_trip(rows, kept=10).collect()) == sorted(bpe.round_trip(rows).collect())
+
+
 # 3
 def test_article_of_every_page(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
