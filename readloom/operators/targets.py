@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.functions import bases as B
 from readloom.functions import cigar as C
 from readloom.functions import flags as FL
 from readloom.operators.intervals import merge_ranges
 from readloom.operators.mismatches import TILE, mismatch_join
+from readloom.operators.packed import piled
 from readloom.operators.skew import union_all
 
 BLOCK_SHIFT = 12  # positions of a window partition, as a power of two
@@ -18,12 +18,10 @@ BLOCK_SHIFT = 12  # positions of a window partition, as a power of two
 def pile_up(reads: DataFrame, refbases: DataFrame, tile: int = TILE) -> DataFrame:
     """(ref_idx, pos, depth, qual, mm_qual) per covered position: bases, the sum of their scores, and that of the mismatched ones.
 
-    Bases are added up in every task before the shuffle, so a deep pile is one row per task.
+    Reads of near places come together and are added up batch by batch, so what becomes rows is positions, not bases.
     """
-    mm = mismatch_join(reads, refbases, (), tile)
-    wrong = ~B.same_base("base", "ref_base")
-    return mm.groupBy("ref_idx", F.col("ref_pos").alias("pos")).agg(
-        F.count(F.lit(1)).alias("depth"), F.sum("bq").alias("qual"), F.coalesce(F.sum(F.when(wrong, F.col("bq"))), F.lit(0)).alias("mm_qual"))
+    aligned = mismatch_join(reads, refbases, (), tile, apart=False)
+    return piled(aligned.together()).groupBy("ref_idx", "pos").agg(*[F.sum(c).alias(c) for c in ("depth", "qual", "mm_qual")])
 
 
 def noisy_positions(pile: DataFrame, window: int = 10, min_depth: int = 4, fraction: float = 0.15,
