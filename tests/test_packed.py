@@ -63,3 +63,28 @@ def test_a_pile_makes_no_row_per_base(spark):
     assert "Generate" not in pile._jdf.queryExecution().executedPlan().toString()
     assert {(r.pos, r.depth, r.qual, r.mm_qual) for r in pile.collect()} == {
         (p, 5000, 200000, 0 if (p - 11) % 3 == 0 else 200000) for p in range(11, 41)}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_recalibration_is_that_of_the_bases(spark, monkeypatch, small):
+    reads, _, marked = odd_reads(spark, 5)
+    bases = M.mismatch_join(reads, marked, ("rg",), TILE)
+    table = M.recalibration_table(bases)
+    half = table.filter("n_obs > 1")
+    wanted = M.recalibrate(bases, half)
+    if not small:
+        monkeypatch.setattr(M, "SMALL_TILES", 0)
+    whole = M.mismatch_join(reads, marked, ("rg",), TILE, apart=False)
+    same(M.recalibration_table(whole), table)
+    same(M.recalibrate(whole, half), wanted)
+    monkeypatch.setattr(M, "TABLE_ROWS", 0)  # a table too large to be sent
+    same(M.recalibrate(whole, half), wanted)
+
+
+def test_no_base_is_joined(spark):
+    """Bases are looked up where they are counted; as rows they have their scores only."""
+    reads, _, marked = odd_reads(spark, 5)
+    whole = M.mismatch_join(reads, marked, ("rg",), TILE, apart=False)
+    table = M.recalibration_table(whole)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan(table) and "Join" not in plan(M.recalibrate(whole, table))
